@@ -189,9 +189,10 @@ LENGTH_RATIO = "round(least(length(q.question), length(p.question)) / greatest(l
 def reranked(name: str, source: str, score: str = OVERLAP, k: int = 1_000_000) -> str:
     return f"""
 {name} AS (
-  SELECT c.qid, c.id, row_number() OVER (PARTITION BY c.qid ORDER BY {score} DESC, c.rank) AS rank
-  FROM {source} c JOIN word_sets q ON q.id = c.qid JOIN word_sets p ON p.id = c.id
-  QUALIFY rank <= {k})"""
+  SELECT qid, id, again AS rank FROM (
+    SELECT c.qid, c.id, row_number() OVER (PARTITION BY c.qid ORDER BY {score} DESC, c.rank) AS again
+    FROM {source} c JOIN word_sets q ON q.id = c.qid JOIN word_sets p ON p.id = c.id)
+  WHERE again <= {k})"""
 
 
 def context(name: str, source: str, limit: int = 3) -> str:
