@@ -2,12 +2,24 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, functions as F
 
 # Fixed value: label that a loss ignores.
 IGNORED_LABEL = -100
 
 
+def let(body: Callable[[Column], Column], **values: Column) -> Column:
+    """Evaluate ``values`` once per row and hand them to ``body`` as struct fields.
+
+    An expression that is named inside an element lambda is evaluated again for
+    every element; bound here, it is only read.
+    """
+    held = F.array(F.struct(*[value.alias(name) for name, value in values.items()]))
+    return F.element_at(F.transform(held, body), 1)
+
+
 def keep_first(ids: Column, n: int | None) -> Column:
     return ids if n is None else F.slice(ids, 1, n)
 
@@ -53,19 +65,32 @@ def first_position(ids: Column, token: int) -> Column:
 
 def completion_mask(ids: Column, eos: int) -> Column:
     """1 up to and including the first end token, 0 after it."""
-    end = first_position(ids, eos)
-    return F.transform(ids, lambda _, i: F.when(i <= end, 1).otherwise(0))
+    return let(
+        lambda s: F.transform(s["ids"], lambda _, i: F.when(i <= s["end"], 1).otherwise(0)),
+        ids=ids,
+        end=first_position(ids, eos),
+    )
 
 
 def cut_at_stop(ids: Column, stop: int, pad: int) -> Column:
     """Replace everything after the first stop token by padding."""
-    end = first_position(ids, stop)
-    return F.transform(ids, lambda x, i: F.when(i <= end, x).otherwise(F.lit(pad).cast("bigint")))
+    padding = F.lit(pad).cast("bigint")
+    return let(
+        lambda s: F.transform(s["ids"], lambda x, i: F.when(i <= s["end"], x).otherwise(padding)),
+        ids=ids,
+        end=first_position(ids, stop),
+    )
 
 
 def fill_past(values: Column, length: Column, sentinel: float) -> Column:
     """Per-token values with everything past index ``length`` replaced."""
-    return F.transform(values, lambda x, i: F.when(i > length, F.lit(sentinel)).otherwise(x))
+    return let(
+        lambda s: F.transform(
+            s["values"], lambda x, i: F.when(i > s["length"], F.lit(sentinel)).otherwise(x)
+        ),
+        values=values,
+        length=length,
+    )
 
 
 def masked_reduce(values: Column, labels: Column, average: bool = False) -> Column:
@@ -89,12 +114,27 @@ def mask_before_template(ids: Column, template: list[int]) -> Column:
     Without a match the whole row is ignored.
     """
     n = len(template)
-    wanted = F.array(*[F.lit(t).cast("bigint") for t in template])
-    starts = F.filter(
-        F.sequence(F.lit(1), F.greatest(F.size(ids) - n + 1, F.lit(1))),
-        lambda i: F.slice(ids, i, n) == wanted,
-    )
-    end = F.when(F.size(starts) > 0, F.array_max(starts) + F.lit(n - 1)).otherwise(F.size(ids))
-    return F.transform(
-        ids, lambda x, i: F.when(i < end, F.lit(IGNORED_LABEL).cast("bigint")).otherwise(x)
-    )
+
+    def matches(held: Column, i: Column) -> Column:
+        test = F.lit(True)
+        for j, token in enumerate(template):
+            test = test & F.coalesce(F.get(held, i + j) == token, F.lit(False))
+        return test
+
+    def labels(s: Column) -> Column:
+        end = F.aggregate(
+            F.sequence(F.lit(0), F.size(s["ids"])),
+            F.lit(-1),
+            lambda acc, i: F.when(matches(s["ids"], i), i + n).otherwise(acc),
+        )
+        return let(
+            lambda t: F.transform(
+                t["ids"],
+                lambda x, i: F.when((t["end"] < 0) | (i < t["end"]), ignored_label).otherwise(x),
+            ),
+            ids=s["ids"],
+            end=end,
+        )
+
+    ignored_label = F.lit(IGNORED_LABEL).cast("bigint")
+    return let(labels, ids=ids)

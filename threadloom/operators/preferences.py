@@ -379,10 +379,8 @@ def stepwise_rows(
         tail = F.array().cast("array<bigint>")
     number = F.transform("labels", lambda l: l.cast("bigint"))
     if last_step_only and not is_eval:
-        number = F.transform(
-            number,
-            lambda l, i: F.when(i == F.size("labels") - 1, l).otherwise(F.lit(tk.IGNORED_LABEL).cast("bigint")),
-        )
+        others_ignored = tk.ignored(F.greatest(F.size("labels") - 1, F.lit(0)))
+        number = F.concat(others_ignored, F.slice(number, -1, 1))
     prompt = tokenize(F.col("prompt"))
     if bos is not None:
         prompt = F.array_prepend(prompt, F.lit(bos).cast("bigint"))

@@ -218,7 +218,7 @@ REWARD_COLUMNS = {
 
 def rollouts(spark: SparkSession, sf_dir: str) -> DataFrame:
     entries = [
-        F.struct(F.lit(n).alias("reward_name"), F.round(F.expr(e), 4).alias("reward"))
+        F.struct(F.lit(n).alias("reward_name"), F.expr(e).alias("reward"))
         for n, e in REWARD_COLUMNS.items()
     ]
     return table(spark, sf_dir, "lineitem").select(
@@ -230,6 +230,6 @@ def rollouts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ROLLOUTS = "rollouts AS (" + " UNION ALL ".join(
     f"SELECT l_orderkey AS group_id, CAST(l_linenumber AS BIGINT) AS gen_no, "
-    f"'{n}' AS reward_name, round({e}, 4) AS reward FROM lineitem"
+    f"'{n}' AS reward_name, {e} AS reward FROM lineitem"
     for n, e in REWARD_COLUMNS.items()
 ) + ")"
