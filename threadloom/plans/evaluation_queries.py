@@ -171,7 +171,7 @@ def m5(spark, sf_dir):
       FROM scores JOIN edges USING (model, variant) GROUP BY 1, 2, 3)""",
     )
     + """SELECT model, variant, bin, round(lo + (bin - 1) * ((hi - lo) / 10), 6) AS bin_start, coalesce(n, 0) AS n
-FROM edges, (SELECT unnest(range(1, 11)) AS bin) LEFT JOIN filled USING (model, variant, bin)""",
+FROM (SELECT * FROM edges, (SELECT unnest(range(1, 11)) AS bin)) LEFT JOIN filled USING (model, variant, bin)""",
 )
 def d12(spark, sf_dir):
     scores = ev.score_rows(flat(spark, sf_dir))

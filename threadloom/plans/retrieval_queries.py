@@ -215,6 +215,18 @@ def c9(spark, sf_dir):
     return rt.rerank(found).select("qid", "id", "rank")
 
 
+@query(
+    "e3_rank_by_score",
+    with_(POINTS, WORDS, DENSE, ranked("d", "dense", 20), reranked("best", "d", LENGTH_RATIO))
+    + "SELECT qid, id, rank FROM best",
+)
+def e3(spark, sf_dir):
+    pts = points(spark, sf_dir)
+    queries = self_queries(pts)
+    found = rt.attach_payload(dense_topk(queries, pts, 20), queries, pts)
+    return rt.rerank(found, rt.length_ratio).select("qid", "id", "rank")
+
+
 @query(
     "c14_two_stage_rerank",
     with_(
@@ -472,9 +484,15 @@ def _modes(spark, sf_dir):
     return rt.compare_modes(self_queries(pts), pts, n=5)
 
 
+def compare_rows(spark, sf_dir):
+    return _modes(spark, sf_dir).select(
+        "mode", "qid", "id", F.col("rank").cast("bigint").alias("rank"), "question"
+    )
+
+
 @query("c13_search_comparison", MODES + "SELECT mode, qid, id, rank FROM shown")
 def c13(spark, sf_dir):
-    return _modes(spark, sf_dir).select("mode", "qid", "id", F.col("rank").cast("bigint").alias("rank"))
+    return compare_rows(spark, sf_dir).drop("question")
 
 
 @query(
