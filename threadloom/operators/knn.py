@@ -274,6 +274,44 @@ def _arrow_type(kind: T.DataType) -> pa.DataType:
     return {T.LongType(): pa.int64(), T.IntegerType(): pa.int32(), T.StringType(): pa.string()}[kind]
 
 
+def pair_dots(pairs: DataFrame) -> DataFrame:
+    """(qid, id, qv, pv) -> (qid, id, score) for pairs whose term maps share a term."""
+    schema = T.StructType(
+        [pairs.schema["qid"], pairs.schema["id"], T.StructField("score", T.DoubleType())]
+    )
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            q_rows, q_keys, q_values = _map_parts(_column(batch, "qv"))
+            p_rows, p_keys, p_values = _map_parts(_column(batch, "pv"))
+            terms = pc.unique(q_keys)
+            codes = pc.index_in(p_keys, value_set=terms)
+            known = pc.is_valid(codes).to_numpy(zero_copy_only=False)
+            width = max(1, len(terms))
+            q_code = pc.index_in(q_keys, value_set=terms).to_numpy(zero_copy_only=False)
+            p_code = codes.drop_null().to_numpy(zero_copy_only=False)
+            # (pair, term) as one number; terms are unique inside a map
+            left = q_rows * width + q_code
+            right = p_rows[known] * width + p_code
+            shared, at_left, at_right = np.intersect1d(
+                left, right, assume_unique=True, return_indices=True
+            )
+            row = shared // width
+            products = q_values[at_left] * p_values[known][at_right]
+            total = np.bincount(row, weights=products, minlength=batch.num_rows)
+            hit = np.flatnonzero(np.bincount(row, minlength=batch.num_rows))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("qid").take(pa.array(hit)),
+                    batch.column("id").take(pa.array(hit)),
+                    pa.array(np.round(total[hit], ROUND_DIGITS) + 0.0),
+                ],
+                names=["qid", "id", "score"],
+            )
+
+    return pairs.mapInArrow(score, schema)
+
+
 def dense_topk(queries: DataFrame, points: DataFrame, k: int = 100, **kwargs) -> DataFrame:
     """Top-k by cosine, exact."""
     return topk_join(queries, points, k, "dense", kwargs.pop("vector", "dense"), **kwargs)

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from threadloom.functions import text as tx
 from threadloom.functions import vectors as vx
-from threadloom.operators.knn import ROUND_DIGITS, dense_topk, sparse_topk
+from threadloom.operators.knn import ROUND_DIGITS, dense_topk, pair_dots, sparse_topk
 
 Scorer = Callable[[Column, Column], Column]
 
@@ -25,21 +25,18 @@ def _keep_best(scored: DataFrame, k: int) -> DataFrame:
     return scored.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
-def postings(df: DataFrame, id_col: str, weights: str = "text_sparse") -> DataFrame:
-    return df.select(F.col(id_col), F.explode(weights).alias("term", "weight"))
-
-
 def sparse_scores(candidates: DataFrame, queries: DataFrame, points: DataFrame) -> DataFrame:
-    """Dot product of term weights for given (qid, id) pairs, by equi-joins."""
-    query_terms = postings(queries, "qid").withColumnRenamed("weight", "qw")
-    # only the candidates' own postings are exploded
-    wanted = points.select("id", "text_sparse").join(candidates.select("qid", "id"), "id")
-    point_terms = wanted.select("qid", "id", F.explode("text_sparse").alias("term", "pw"))
-    return (
-        point_terms.join(query_terms, ["qid", "term"])
-        .groupBy("qid", "id")
-        .agg(F.round(F.sum(F.col("qw") * F.col("pw")), ROUND_DIGITS).alias("score"))
+    """Dot product of term weights for given (qid, id) pairs; pairs share a term.
+
+    Each pair meets its two vectors by equi-joins and is scored in Arrow
+    batches, so postings are not multiplied out into rows.
+    """
+    pairs = (
+        candidates.select("qid", "id")
+        .join(points.select("id", F.col("text_sparse").alias("pv")), "id")
+        .join(queries.select("qid", F.col("text_sparse").alias("qv")), "qid")
     )
+    return pair_dots(pairs.select("qid", "id", "qv", "pv"))
 
 
 def dense_scores(candidates: DataFrame, queries: DataFrame, points: DataFrame) -> DataFrame:

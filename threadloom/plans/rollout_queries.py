@@ -66,13 +66,13 @@ def e7_completions(spark, sf_dir):
 @query(
     "e8_leave_one_out",
     """WITH s AS (SELECT user_id, sum(value) AS t, count(*) AS k FROM events GROUP BY 1)
-SELECT event_id, CASE WHEN k > 1 THEN round((t - value) / (k - 1), 6) END AS baseline,
-  CASE WHEN k > 1 THEN round(value - (t - value) / (k - 1), 6) END AS advantage FROM events JOIN s USING (user_id)""",
+SELECT event_id, CASE WHEN k > 1 THEN round((t - value) / (k - 1), 9) END AS baseline,
+  CASE WHEN k > 1 THEN round(value - (t - value) / (k - 1), 9) END AS advantage FROM events JOIN s USING (user_id)""",
 )
 def e8(spark, sf_dir):
     events = inputs.table(spark, sf_dir, "events").select("event_id", "user_id", "value")
     done = ro.leave_one_out(events, "user_id", "value").select("event_id", "baseline", "advantage")
-    return rounded(done, ["event_id"])
+    return done.withColumns({c: F.round(c, 9) for c in ("baseline", "advantage")})
 
 
 @query(
@@ -203,7 +203,7 @@ def whiten_sql(shift: bool) -> str:
         LOGPS,
         f"""t AS (SELECT doc_id, unnest(p) AS p, generate_subscripts(p, 1) AS i, coalesce(nullif(list_position(ids, {END}), 0), len(ids)) AS stop FROM logs),
     s AS (SELECT avg(p) AS m, var_samp(p) AS v FROM t WHERE i <= stop)""",
-    ) + f"""SELECT doc_id, round(sum(((p - m) / sqrt(v + 1e-8){added}) * i), 3) AS weighted, round(max((p - m) / sqrt(v + 1e-8){added}), 6) AS top
+    ) + f"""SELECT doc_id, round(sum(((p - m) / sqrt(v + 1e-8){added}) * i) / sum(i), 6) AS weighted, round(max((p - m) / sqrt(v + 1e-8){added}), 6) AS top
 FROM t, s GROUP BY 1"""
 
 
@@ -211,9 +211,11 @@ def whiten_query(shift: bool):
     def run(spark, sf_dir):
         rows = logs(spark, sf_dir).select("doc_id", "p", tk.completion_mask(F.col("ids"), END).alias("mask"))
         done = ro.masked_whiten(rows, "p", "mask", "w", shift_mean=shift)
-        placed = F.transform("w", lambda x, i: x * (i + 1))
+        placed, n = F.transform("w", lambda x, i: x * (i + 1)), F.size("w").cast("double")
         return done.select(
-            "doc_id", F.round(vx.array_sum(placed), 3).alias("weighted"), F.round(F.array_max("w"), 6).alias("top")
+            "doc_id",
+            F.round(vx.array_sum(placed) / (n * (n + 1) / 2), 6).alias("weighted"),
+            F.round(F.array_max("w"), 6).alias("top"),
         )
 
     return run
@@ -298,8 +300,8 @@ log_pairs AS (
     list_transform(string_split(chosen, ' '), lambda w: length(w) % 7) AS cw, list_transform(string_split(rejected, ' '), lambda w: length(w) % 7) AS rw
   FROM pairs),
 sums AS (
-  SELECT *, list_sum(list_transform(cw, lambda x: -x / 10.0::DOUBLE)) AS cp, list_sum(list_transform(cw, lambda x: -(x % 5) / 10.0::DOUBLE)) AS cr,
-    list_sum(list_transform(rw, lambda x: -x / 10.0::DOUBLE)) AS rp, list_sum(list_transform(rw, lambda x: -(x % 5) / 10.0::DOUBLE)) AS rr,
+  SELECT *, list_sum(list_transform(cw, lambda x: -x / 8.0::DOUBLE)) AS cp, list_sum(list_transform(cw, lambda x: -(x % 5) / 8.0::DOUBLE)) AS cr,
+    list_sum(list_transform(rw, lambda x: -x / 8.0::DOUBLE)) AS rp, list_sum(list_transform(rw, lambda x: -(x % 5) / 8.0::DOUBLE)) AS rr,
     CAST(list_contains(cw, 6) AS INT) AS ce, CAST(list_contains(rw, 6) AS INT) AS re FROM log_pairs)"""
 
 
@@ -312,8 +314,8 @@ def log_pairs(spark, sf_dir):
         words("chosen").alias("cw"),
         words("rejected").alias("rw"),
     )
-    policy = lambda c: F.transform(c, lambda x: -x / F.lit(10.0))
-    reference = lambda c: F.transform(c, lambda x: -(x % 5) / F.lit(10.0))
+    policy = lambda c: F.transform(c, lambda x: -x / F.lit(8.0))
+    reference = lambda c: F.transform(c, lambda x: -(x % 5) / F.lit(8.0))
     return base.select(
         "part", "chosen_score", "rejected_score",
         policy("cw").alias("chosen_logps"), reference("cw").alias("chosen_ref_logps"),
@@ -332,7 +334,7 @@ def log_pairs(spark, sf_dir):
   round(avg((chosen_score + rejected_score - 0.1 * (cp - cr + rp - rr)) / 2), 6) AS objective_rlhf_reward,
   round(avg(-(cp + rp) / 2), 6) AS objective_entropy, round(avg(0.1 * (cp - cr)), 6) AS rewards_chosen,
   round(avg(0.1 * (rp - rr)), 6) AS rewards_rejected, round(avg(0.1 * (cp - cr) - 0.1 * (rp - rr)), 6) AS rewards_margins,
-  round(avg(CASE WHEN round(cp - cr - (rp - rr), 9) > 0 THEN 1.0 ELSE 0.0 END), 6) AS rewards_accuracies FROM sums GROUP BY 1""",
+  round(avg(CASE WHEN cp - cr > rp - rr THEN 1.0 ELSE 0.0 END), 6) AS rewards_accuracies FROM sums GROUP BY 1""",
 )
 def d18_online(spark, sf_dir):
     return rounded(ro.online_pair_statistics(log_pairs(spark, sf_dir), 0.1, by=["part"]), ["part"])
@@ -348,7 +350,7 @@ y AS (SELECT *, CASE WHEN mine THEN cp ELSE rp END AS cm, CASE WHEN mine THEN cr
   round(avg(rm) + avg(rref), 6) AS logps_rejected, round(avg(0.1 * (cm - cref)), 6) AS rewards_chosen, round(avg(0.1 * (rm - rref)), 6) AS rewards_rejected,
   round(avg((cp - cr) + (rp - rr)) / 2, 6) AS objective_kl, round((avg(-cp) + avg(-rp)) / 2, 6) AS objective_entropy,
   round(avg(0.1 * (cm - cref) - 0.1 * (rm - rref)), 6) AS rewards_margins,
-  round(avg(CASE WHEN round((cm - cref) - (rm - rref), 9) > 0 THEN 1.0 ELSE 0.0 END), 6) AS rewards_accuracies,
+  round(avg(CASE WHEN cm - cref > rm - rref THEN 1.0 ELSE 0.0 END), 6) AS rewards_accuracies,
   round(avg(ce), 6) AS val_model_contain_eos_token, round(avg(re), 6) AS val_ref_contain_eos_token FROM y GROUP BY 1""",
 )
 def d18_exploration(spark, sf_dir):
@@ -373,7 +375,7 @@ def d18_exploration(spark, sf_dir):
     + """SELECT part, round(avg(cp), 6) AS logps_chosen, round(avg(cr), 6) AS logps_rejected, round(avg(chosen_score), 6) AS rewards_chosen,
   round(avg(rejected_score), 6) AS rewards_rejected, round(avg(chosen_score / (chosen_score + rejected_score)), 6) AS rewards_probabilities,
   round(avg(-cp), 6) AS objective_entropy, round(avg(cp - cr), 6) AS rewards_margins,
-  round(avg(CASE WHEN round(cp - cr, 9) > 0 THEN 1.0 ELSE 0.0 END), 6) AS rewards_accuracies,
+  round(avg(CASE WHEN cp > cr THEN 1.0 ELSE 0.0 END), 6) AS rewards_accuracies,
   round(avg(ce), 6) AS val_model_contain_eos_token, round(avg(re), 6) AS val_ref_contain_eos_token FROM sums GROUP BY 1""",
 )
 def d18_mixture(spark, sf_dir):
