@@ -131,6 +131,20 @@ def tokenizer_udf(make_tokenizer: Callable[[], Callable[[str], Sequence[int]]])
     return tokenize
 
 
+def list_tokenizer_udf(make_tokenizer: Callable[[], Callable[[str], Sequence[int]]]) -> Callable[[Column], Column]:
+    """Column function of a caller's tokenizer for arrays of texts."""
+
+    @F.pandas_udf("array<array<bigint>>")
+    def tokenize(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        encode = make_tokenizer()
+        for lists in batches:
+            yield lists.map(
+                lambda texts: None if texts is None else [[int(i) for i in encode(t)] for t in texts]
+            )
+
+    return tokenize
+
+
 def joint_answer_tokens(
     make_tokenizer: Callable[[], Callable[[str], Sequence[int]]],
 ) -> Callable[[Column, Column], Column]:

@@ -74,6 +74,7 @@ class _SparseBlock:
     def __init__(self, weights: pa.Array):
         self.size = len(weights)
         rows, keys, values = _map_parts(weights)
+        self.positive = bool((values > 0).all())
         self.slices = []
         for start in range(0, self.size, self.WIDTH):
             stop = min(start + self.WIDTH, self.size)
@@ -93,16 +94,19 @@ class _SparseBlock:
         for start in range(0, len(weights), step):
             part = weights.slice(start, step)
             scores = np.zeros((self.size, len(part)))
-            shared = np.zeros((self.size, len(part)), dtype=bool)
             rows, keys, values = _map_parts(part)
+            # positive weights: a shared term shows as a positive score
+            signed = not self.positive or not (values > 0).all()
+            shared = np.zeros((self.size, len(part)), dtype=bool) if signed else None
             for low, high, terms, matrix, present in self.slices:
                 codes = pc.index_in(keys, value_set=terms)
                 known = np.flatnonzero(pc.is_valid(codes).to_numpy(zero_copy_only=False))
                 if not len(known):
                     continue
                 codes = codes.take(pa.array(known)).to_numpy(zero_copy_only=False)
-                self._add(scores[low:high], shared[low:high], rows[known], codes, values[known], matrix, present)
-            yield start, scores, shared
+                into = None if shared is None else shared[low:high]
+                self._add(scores[low:high], into, rows[known], codes, values[known], matrix, present)
+            yield start, scores, scores > 0 if shared is None else shared
 
     @staticmethod
     def _add(scores, shared, rows, codes, values, matrix, present) -> None:
@@ -116,7 +120,8 @@ class _SparseBlock:
             targets = rows[picked][starts]
             weighted = matrix[codes[picked]] * values[picked, None]
             scores[:, targets] += np.add.reduceat(weighted, starts, axis=0).T
-            shared[:, targets] |= np.logical_or.reduceat(present[codes[picked]], starts, axis=0).T
+            if shared is not None:
+                shared[:, targets] |= np.logical_or.reduceat(present[codes[picked]], starts, axis=0).T
             low = high
 
 
@@ -166,12 +171,23 @@ class _Best:
         self.floor[full] = self.score[place[inside] == self.k - 1]
 
 
-def _rank_block(block, ids: np.ndarray, batches, k: int, names) -> pa.RecordBatch | None:
+def _rank_block(block, ids: np.ndarray, batches, k: int) -> pa.RecordBatch | None:
+    """Best ``k`` points of the batches for every query of the block.
+
+    A batch with an ``asked`` column (the query ids each point may answer) is
+    scored for those pairs only.
+    """
     best = _Best(block.size, k)
+    order = np.argsort(ids, kind="stable")
     for batch in batches:
-        point_ids = _column(batch, names[1]).to_numpy(zero_copy_only=False)
-        for start, scores, shared in block.score(_column(batch, names[2])):
-            best.add(scores, point_ids[start : start + scores.shape[1]], shared)
+        point_ids = _column(batch, "id").to_numpy(zero_copy_only=False)
+        asked = _column(batch, "asked") if "asked" in batch.schema.names else None
+        for start, scores, shared in block.score(_column(batch, "v")):
+            width = scores.shape[1]
+            if asked is not None:
+                allowed = _allowed(asked.slice(start, width), ids, order, scores.shape)
+                shared = allowed if shared is None else shared & allowed
+            best.add(scores, point_ids[start : start + width], shared)
     if best.point is None or not len(best.query):
         return None
     return pa.RecordBatch.from_arrays(
@@ -180,6 +196,15 @@ def _rank_block(block, ids: np.ndarray, batches, k: int, names) -> pa.RecordBatc
     )
 
 
+def _allowed(asked: pa.Array, ids: np.ndarray, order: np.ndarray, shape) -> np.ndarray:
+    """Query-by-point mask from each point's list of query ids."""
+    mask = np.zeros(shape, dtype=bool)
+    wanted = asked.flatten().to_numpy(zero_copy_only=False)
+    columns = np.repeat(np.arange(len(asked)), pc.list_value_length(asked).to_numpy(zero_copy_only=False))
+    mask[order[np.searchsorted(ids, wanted, sorter=order)], columns] = True
+    return mask
+
+
 def topk_join(
     queries: DataFrame,
     points: DataFrame,
@@ -191,35 +216,83 @@ def topk_join(
     max_shipped: int = MAX_SHIPPED_QUERIES,
 ) -> DataFrame:
     """Best ``k`` points per query as (qid, id, score, rank)."""
-    block_type = _BLOCKS[kind]
-    queries = queries.select(F.col(qid).alias("qid"), F.col(vector).alias("v"))
-    points = points.select(F.col(pid).alias("id"), F.col(vector).alias("v"))
-    schema = T.StructType(
+    queries, points = _sides(queries, points, vector, qid, pid)
+    schema = _result_schema(queries, points)
+    shipped = _shippable(queries, max_shipped)
+    if shipped is not None:
+        partial = _score_shipped(shipped, points, k, _BLOCKS[kind], schema)
+    else:
+        partial = _score_blocks(queries, points, k, _BLOCKS[kind], schema)
+    return _best_per_query(partial, k)
+
+
+def topk_among(
+    candidates: DataFrame,
+    queries: DataFrame,
+    points: DataFrame,
+    k: int,
+    kind: str,
+    vector: str,
+    max_shipped: int = MAX_SHIPPED_QUERIES,
+) -> DataFrame:
+    """Best ``k`` per query among given (qid, id) pairs, by another similarity.
+
+    With shippable queries a point travels once, next to the list of queries
+    that asked for it (no longer than the query side). Otherwise every pair
+    meets its two vectors by equi-joins.
+    """
+    queries, points = _sides(queries, points, vector, "qid", "id")
+    schema = _result_schema(queries, points)
+    shipped = _shippable(queries, max_shipped)
+    if shipped is not None:
+        asked = candidates.groupBy("id").agg(F.collect_list("qid").alias("asked"))
+        partial = _score_shipped(shipped, points.join(asked, "id"), k, _BLOCKS[kind], schema)
+    else:
+        pairs = (
+            candidates.select("qid", "id")
+            .join(points.withColumnRenamed("v", "pv"), "id")
+            .join(queries.withColumnRenamed("v", "qv"), "qid")
+        )
+        partial = pairs.select("qid", "id", "qv", "pv").mapInArrow(_PAIR_SCORES[kind], schema)
+    return _best_per_query(partial, k)
+
+
+def _sides(queries: DataFrame, points: DataFrame, vector: str, qid: str, pid: str):
+    return (
+        queries.select(F.col(qid).alias("qid"), F.col(vector).alias("v")),
+        points.select(F.col(pid).alias("id"), F.col(vector).alias("v")),
+    )
+
+
+def _result_schema(queries: DataFrame, points: DataFrame) -> T.StructType:
+    return T.StructType(
         [
             T.StructField("qid", queries.schema["qid"].dataType),
             T.StructField("id", points.schema["id"].dataType),
             T.StructField("score", T.DoubleType()),
         ]
     )
-    shipped = _shippable(queries, max_shipped)
-    if shipped is not None:
-        partial = _score_shipped(shipped, points, k, block_type, schema)
-    else:
-        partial = _score_blocks(queries, points, k, block_type, schema)
+
+
+def _best_per_query(scored: DataFrame, k: int) -> DataFrame:
     order = Window.partitionBy("qid").orderBy(F.desc("score"), "id")
-    return partial.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    return scored.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
 def _shippable(queries: DataFrame, max_rows: int) -> pa.Table | None:
     """The query side, if it is within the checked row and byte bounds."""
     if max_rows <= 0:
         return None
-    rows, width = queries.limit(max_rows + 1).agg(
-        F.count(F.lit(1)), F.coalesce(F.max(F.size("v")), F.lit(0))
-    ).first()
-    if rows > max_rows or rows * width * 16 > MAX_SHIPPED_BYTES:
-        return None
-    return queries.toArrow()
+    held = queries.limit(max_rows + 1).persist()
+    try:
+        rows, entries = held.agg(
+            F.count(F.lit(1)), F.coalesce(F.sum(F.size("v").cast("bigint")), F.lit(0))
+        ).first()
+        if rows > max_rows or entries * 32 > MAX_SHIPPED_BYTES:
+            return None
+        return held.toArrow()
+    finally:
+        held.unpersist()
 
 
 def _score_shipped(table: pa.Table, points: DataFrame, k: int, block_type, schema) -> DataFrame:
@@ -230,7 +303,7 @@ def _score_shipped(table: pa.Table, points: DataFrame, k: int, block_type, schem
         local = shipped.value
         ids = _whole(local.column("qid")).to_numpy(zero_copy_only=False)
         block = block_type(_whole(local.column("v")))
-        found = _rank_block(block, ids, batches, k, ("qid", "id", "v"))
+        found = _rank_block(block, ids, batches, k)
         if found is not None:
             yield found
 
@@ -262,7 +335,7 @@ def _score_blocks(queries: DataFrame, points: DataFrame, k: int, block_type, sch
             return empty
         ids = _whole(query_table.column("qid")).to_numpy(zero_copy_only=False)
         block = block_type(_whole(query_table.column("v")))
-        found = _rank_block(block, ids, point_table.to_batches(), k, ("qid", "id", "v"))
+        found = _rank_block(block, ids, point_table.to_batches(), k)
         return empty if found is None else pa.Table.from_batches([found]).select(names)
 
     return (
@@ -274,42 +347,49 @@ def _arrow_type(kind: T.DataType) -> pa.DataType:
     return {T.LongType(): pa.int64(), T.IntegerType(): pa.int32(), T.StringType(): pa.string()}[kind]
 
 
-def pair_dots(pairs: DataFrame) -> DataFrame:
-    """(qid, id, qv, pv) -> (qid, id, score) for pairs whose term maps share a term."""
-    schema = T.StructType(
-        [pairs.schema["qid"], pairs.schema["id"], T.StructField("score", T.DoubleType())]
-    )
+def _pair_dots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Dot products of (qid, id, qv, pv) pairs whose term maps share a term."""
+    for batch in batches:
+        q_rows, q_keys, q_values = _map_parts(_column(batch, "qv"))
+        p_rows, p_keys, p_values = _map_parts(_column(batch, "pv"))
+        terms = pc.unique(q_keys)
+        codes = pc.index_in(p_keys, value_set=terms)
+        known = pc.is_valid(codes).to_numpy(zero_copy_only=False)
+        width = max(1, len(terms))
+        q_code = pc.index_in(q_keys, value_set=terms).to_numpy(zero_copy_only=False)
+        p_code = codes.drop_null().to_numpy(zero_copy_only=False)
+        # (pair, term) as one number; terms are unique inside a map
+        left = q_rows * width + q_code
+        right = p_rows[known] * width + p_code
+        shared, at_left, at_right = np.intersect1d(
+            left, right, assume_unique=True, return_indices=True
+        )
+        row = shared // width
+        products = q_values[at_left] * p_values[known][at_right]
+        total = np.bincount(row, weights=products, minlength=batch.num_rows)
+        hit = np.flatnonzero(np.bincount(row, minlength=batch.num_rows))
+        yield pa.RecordBatch.from_arrays(
+            [
+                batch.column("qid").take(pa.array(hit)),
+                batch.column("id").take(pa.array(hit)),
+                pa.array(np.round(total[hit], ROUND_DIGITS) + 0.0),
+            ],
+            names=["qid", "id", "score"],
+        )
+
+
+
+def _pair_cosines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Cosines of (qid, id, qv, pv) pairs."""
+    for batch in batches:
+        left, right = _unit_rows(_column(batch, "qv")), _unit_rows(_column(batch, "pv"))
+        scores = np.round(np.einsum("ij,ij->i", left, right), ROUND_DIGITS) + 0.0
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("qid"), batch.column("id"), pa.array(scores)], names=["qid", "id", "score"]
+        )
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            q_rows, q_keys, q_values = _map_parts(_column(batch, "qv"))
-            p_rows, p_keys, p_values = _map_parts(_column(batch, "pv"))
-            terms = pc.unique(q_keys)
-            codes = pc.index_in(p_keys, value_set=terms)
-            known = pc.is_valid(codes).to_numpy(zero_copy_only=False)
-            width = max(1, len(terms))
-            q_code = pc.index_in(q_keys, value_set=terms).to_numpy(zero_copy_only=False)
-            p_code = codes.drop_null().to_numpy(zero_copy_only=False)
-            # (pair, term) as one number; terms are unique inside a map
-            left = q_rows * width + q_code
-            right = p_rows[known] * width + p_code
-            shared, at_left, at_right = np.intersect1d(
-                left, right, assume_unique=True, return_indices=True
-            )
-            row = shared // width
-            products = q_values[at_left] * p_values[known][at_right]
-            total = np.bincount(row, weights=products, minlength=batch.num_rows)
-            hit = np.flatnonzero(np.bincount(row, minlength=batch.num_rows))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("qid").take(pa.array(hit)),
-                    batch.column("id").take(pa.array(hit)),
-                    pa.array(np.round(total[hit], ROUND_DIGITS) + 0.0),
-                ],
-                names=["qid", "id", "score"],
-            )
-
-    return pairs.mapInArrow(score, schema)
+
+_PAIR_SCORES = {"dense": _pair_cosines, "sparse": _pair_dots}
 
 
 def dense_topk(queries: DataFrame, points: DataFrame, k: int = 100, **kwargs) -> DataFrame:

@@ -368,11 +368,15 @@ def stepwise_rows(
     last_step_only: bool = False,
     is_eval: bool = False,
     tokenize: Tokenize = word_ids,
+    tokenize_steps: Tokenize | None = None,
 ) -> DataFrame:
     """input_ids and labels: one label at the last token of every step.
 
-    ``separator`` holds the token ids put after each step.
+    ``separator`` holds the token ids put after each step. A tokenizer that
+    runs in Python cannot be called inside an array lambda; pass its list form
+    as ``tokenize_steps``.
     """
+    steps = tokenize_steps or (lambda texts: F.transform(texts, lambda t: tokenize(t)))
     others = [c for c in rows.columns if c not in ("prompt", "completions", "labels")]
     tail = F.array(*[F.lit(s).cast("bigint") for s in separator])
     if not separator:
@@ -387,7 +391,7 @@ def stepwise_rows(
     work = rows.select(
         *others,
         tk.keep_last(prompt, max_prompt_length).alias("_p"),
-        F.transform("completions", lambda c: F.concat(tokenize(c), tail)).alias("_steps"),
+        F.transform(steps(F.col("completions")), lambda ids: F.concat(ids, tail)).alias("_steps"),
         number.alias("_l"),
     )
     step_labels = F.zip_with(

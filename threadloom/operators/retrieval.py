@@ -11,8 +11,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from threadloom.functions import text as tx
-from threadloom.functions import vectors as vx
-from threadloom.operators.knn import ROUND_DIGITS, dense_topk, pair_dots, sparse_topk
+from threadloom.operators.knn import ROUND_DIGITS, dense_topk, sparse_topk, topk_among
 
 Scorer = Callable[[Column, Column], Column]
 
@@ -25,30 +24,14 @@ def _keep_best(scored: DataFrame, k: int) -> DataFrame:
     return scored.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
-def sparse_scores(candidates: DataFrame, queries: DataFrame, points: DataFrame) -> DataFrame:
-    """Dot product of term weights for given (qid, id) pairs; pairs share a term.
+def sparse_among(candidates: DataFrame, queries: DataFrame, points: DataFrame, k: int) -> DataFrame:
+    """Candidates re-ranked by term weights."""
+    return topk_among(candidates, queries, points, k, "sparse", "text_sparse")
 
-    Each pair meets its two vectors by equi-joins and is scored in Arrow
-    batches, so postings are not multiplied out into rows.
-    """
-    pairs = (
-        candidates.select("qid", "id")
-        .join(points.select("id", F.col("text_sparse").alias("pv")), "id")
-        .join(queries.select("qid", F.col("text_sparse").alias("qv")), "qid")
-    )
-    return pair_dots(pairs.select("qid", "id", "qv", "pv"))
 
-
-def dense_scores(candidates: DataFrame, queries: DataFrame, points: DataFrame) -> DataFrame:
-    """Cosine for given (qid, id) pairs."""
-    return (
-        candidates.select("qid", "id")
-        .join(points.select("id", F.col("dense").alias("pv")), "id")
-        .join(queries.select("qid", F.col("dense").alias("qv")), "qid")
-        .select(
-            "qid", "id", (F.round(vx.cosine(F.col("qv"), F.col("pv")), ROUND_DIGITS) + 0.0).alias("score")
-        )
-    )
+def dense_among(candidates: DataFrame, queries: DataFrame, points: DataFrame, k: int) -> DataFrame:
+    """Candidates re-ranked by cosine."""
+    return topk_among(candidates, queries, points, k, "dense", "dense")
 
 
 def dense_sparse(
@@ -56,7 +39,7 @@ def dense_sparse(
 ) -> DataFrame:
     """Dense candidates, re-ranked by term weights."""
     candidates = dense_topk(queries, points, limit_dense)
-    return _keep_best(sparse_scores(candidates, queries, points), limit_sparse)
+    return sparse_among(candidates, queries, points, limit_sparse)
 
 
 def sparse_dense(
@@ -64,7 +47,7 @@ def sparse_dense(
 ) -> DataFrame:
     """Sparse candidates, re-ranked by cosine."""
     candidates = sparse_topk(queries, points, limit_sparse)
-    return _keep_best(dense_scores(candidates, queries, points), limit_dense)
+    return dense_among(candidates, queries, points, limit_dense)
 
 
 def fuse(rankings: Sequence[DataFrame], limit: int = 100, k: int = RRF_K) -> DataFrame:
@@ -245,7 +228,7 @@ def sweep(
     The ranking of a retriever is computed once and kept for both its plain
     and its re-ranked setting.
     """
-    queries = queries_by_id(points, ids, id_col)
+    queries = queries_by_id(points, ids, id_col).persist()
     rankings: dict[str, DataFrame] = {}
     wide = ids
     for name, use_rerank in settings:
@@ -337,6 +320,7 @@ def compare_modes(
 
     Modes: dense, sparse, both fused, sparse then dense, dense then sparse.
     """
+    queries = queries.persist()
     dense = dense_topk(queries, points, wide_limit).persist()
     sparse = sparse_topk(queries, points, wide_limit).persist()
     top = lambda ranking: ranking.filter(F.col("rank") <= limit)
@@ -345,8 +329,8 @@ def compare_modes(
         "dense": [top(dense)],
         "sparse": [top(sparse)],
         "sparse+dense": [top(sparse), top(dense)],
-        "sparce_dense": [_keep_best(dense_scores(sparse, queries, points), limit)],
-        "dence_sparse": [_keep_best(sparse_scores(dense, queries, points), limit)],
+        "sparce_dense": [dense_among(sparse, queries, points, limit)],
+        "dence_sparse": [sparse_among(dense, queries, points, limit)],
     }
     out = None
     for mode, rankings in modes.items():

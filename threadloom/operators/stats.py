@@ -52,6 +52,7 @@ def quantiles(
         df.filter(F.col(value).isNotNull())
         .groupBy(*by, F.col(value).cast("double").alias("v"))
         .agg(F.count(F.lit(1)).alias("n"))
+        .persist()  # read for the cut points, the totals and the ranks
     )
     upto = running_total(counts, "v", F.col("n"), partition=by, out="upto")
     sizes = counts.groupBy(*by).agg(F.sum("n").alias("total"))
@@ -95,7 +96,9 @@ def describe(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
     parts = quantiles(df, value, by=by)
     if by:
         return basic.join(parts, list(by), "left")
-    return basic.withColumns({c: parts.select(c).scalar() for c in parts.columns})
+    # both sides are one row
+    one = F.lit(0).alias("_one")
+    return basic.select("*", one).join(parts.select("*", one), "_one", "left").drop("_one")
 
 
 def histogram(df: DataFrame, value: str, bins: int = 10, by: Sequence[str] = ()) -> DataFrame:

@@ -19,7 +19,7 @@ from threadloom.plans.registry import query
 
 def verdict_rows(spark, sf_dir):
     """Judge replies of four shapes: fenced, bare, with comments, plain text."""
-    docs = inputs.table(spark, sf_dir, "documents").select("doc_id", "lang", "source")
+    docs = inputs.spread(spark, sf_dir, "documents").select("doc_id", "lang", "source")
     body = F.concat(
         F.lit('{"russian_language": "'), "lang", F.lit('", "matching_target_answer": "'), "source",
         F.lit('", "correctness": "'), F.when(F.col("doc_id") % 2 == 0, "да").otherwise("нет"),
@@ -50,7 +50,7 @@ def h10(spark, sf_dir):
 
 def eval_rows(spark, sf_dir):
     """Evaluation rows: a document asks, its source is the target."""
-    return inputs.table(spark, sf_dir, "documents").select(
+    return inputs.spread(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("id"),
         F.col("text").alias("question"),
         F.concat("lang", F.lit(" "), "source").alias("target"),

@@ -6,12 +6,18 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from threadloom.functions.models import lexical_weights, word_ids
 from threadloom.operators.threads import AUTHOR_STATUS
+from threadloom.sources.tables import read_spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Table for costly row work, see ``read_spread``."""
+    return read_spread(spark, f"{sf_dir}/{name}.parquet")
+
+
 def with_(*parts: str) -> str:
     """WITH clause of several common table expressions."""
     return "WITH " + ",\n".join(part.strip() for part in parts) + "\n"
@@ -30,7 +36,7 @@ def threads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def answer_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     asked = (F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "O")
-    return table(spark, sf_dir, "lineitem").select(
+    return spread(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("thread_id"),
         F.struct(
             "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_discount"
@@ -87,7 +93,7 @@ prepared AS (
 
 
 def points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = spread(spark, sf_dir, "documents").select("doc_id", "text")
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return (
         docs.filter(F.length("text") < 3000)
@@ -159,7 +165,7 @@ END_WORD = "the"
 def token_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, lang and token ids: the length of each word."""
     words = F.split("text", " ", -1)
-    return table(spark, sf_dir, "documents").select(
+    return spread(spark, sf_dir, "documents").select(
         "doc_id", "lang", F.transform(words, lambda w: F.length(w).cast("bigint")).alias("ids")
     )
 

@@ -104,7 +104,7 @@ def k15(spark, sf_dir):
     f"SELECT doc_id, {text_of(word_ids_sql('text') + '[1:512]')} AS input_ids FROM documents",
 )
 def k12(spark, sf_dir):
-    docs = inputs.table(spark, sf_dir, "documents")
+    docs = inputs.spread(spark, sf_dir, "documents")
     ids = pf.tokenize_texts(docs, "text", 512, keys=["doc_id"])
     return join_columns(ids.drop("attention_mask"), "doc_id")
 
@@ -114,7 +114,7 @@ def k12(spark, sf_dir):
     f"SELECT doc_id, {text_of(word_ids_sql(chr(39) + '### ' + chr(39) + ' || lang || ' + chr(39) + ' ' + chr(39) + ' || text'))} AS input_ids FROM documents",
 )
 def j6(spark, sf_dir):
-    docs = inputs.table(spark, sf_dir, "documents")
+    docs = inputs.spread(spark, sf_dir, "documents")
     form = lambda: F.concat(F.lit("### "), "lang", F.lit(" "), "text")
     return join_columns(pf.tokenize_texts(docs, keys=["doc_id"], formatting=form).drop("attention_mask"), "doc_id")
 
@@ -326,7 +326,7 @@ SELECT doc_id, {text_of('list_concat(p, c[1:2000])[1:1990]')} AS input_ids,
 
 def steps_query(last_only: bool):
     def run(spark, sf_dir):
-        docs = inputs.table(spark, sf_dir, "documents")
+        docs = inputs.spread(spark, sf_dir, "documents")
         lines = F.split("text", "\n", -1)
         rows = docs.select(
             "doc_id",

@@ -81,7 +81,7 @@ sparse AS (
 
 @query("c2_sparse_topk", with_(DOCUMENT_TERMS, ranked("best", "sparse", 100)) + RANKING + "best")
 def c2(spark, sf_dir):
-    docs = inputs.table(spark, sf_dir, "documents").select(
+    docs = inputs.spread(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("id"), models.lexical_weights(F.col("text")).alias("text_sparse")
     )
     items = inputs.table(spark, sf_dir, "benchmark").select(
@@ -569,7 +569,7 @@ def b19(spark, sf_dir):
 
 @query("j1_encoder")
 def j1(spark, sf_dir):
-    docs = inputs.table(spark, sf_dir, "documents")
+    docs = inputs.spread(spark, sf_dir, "documents")
     encoded = docs.select("doc_id", models.encode_column(F.col("text")).alias("e"))
     return encoded.select(
         "doc_id", F.size("e.dense").alias("dim"), F.size("e.lexical").alias("terms"), F.col("e.error").alias("error")
@@ -582,7 +582,7 @@ def j1(spark, sf_dir):
 FROM (SELECT doc_id, unnest(string_split(lower(text), ' ')) AS term FROM documents) WHERE term <> '' GROUP BY ALL""",
 )
 def j1_lexical(spark, sf_dir):
-    docs = inputs.table(spark, sf_dir, "documents")
+    docs = inputs.spread(spark, sf_dir, "documents")
     return docs.select(
         F.col("doc_id").alias("id"), F.explode(models.lexical_weights(F.col("text"))).alias("term", "weight")
     )
@@ -609,7 +609,7 @@ def h15(spark, sf_dir):
     f"SELECT doc_id, array_to_string({inputs.word_ids_sql('text')}, ' ') AS ids FROM documents",
 )
 def j7(spark, sf_dir):
-    docs = inputs.table(spark, sf_dir, "documents")
+    docs = inputs.spread(spark, sf_dir, "documents")
     ids = models.word_ids(F.col("text")).cast("array<string>")
     return docs.select("doc_id", F.array_join(ids, " ").alias("ids"))
 

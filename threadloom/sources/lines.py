@@ -7,7 +7,7 @@ import json
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from threadloom import schemas
@@ -41,7 +41,7 @@ def parse_lines(lines: DataFrame, schema: T.StructType = schemas.THREAD) -> Data
     """
     with_corrupt = T.StructType(schema.fields + [T.StructField("_bad", T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}
-    parsed = lines.withColumn("_p", F.from_json("line", with_corrupt, options))
+    parsed = _once(lines, "_p", F.from_json("line", with_corrupt, options))
     plain = F.col("_p").isNotNull() & F.col("_p._bad").isNull()
 
     @F.pandas_udf("string")
@@ -50,11 +50,24 @@ def parse_lines(lines: DataFrame, schema: T.StructType = schemas.THREAD) -> Data
             yield batch.map(lambda x: None if x is None else _to_json(x))
 
     # good lines pass NULL to Python, so only the others are parsed there
-    rest = literal(F.when(~plain, F.col("line")))
-    parsed = parsed.withColumn("_r", F.from_json(rest, schema))
+    rest = parsed.withColumn("_t", literal(F.when(~plain, F.col("line"))))
+    rest = _once(rest, "_r", F.from_json("_t", schema))
     fields = F.struct(*[F.col(f"_p.{name}").alias(name) for name in schema.fieldNames()])
-    record = F.when(plain, fields).otherwise(F.col("_r"))
-    return parsed.select("line", record.alias("record"), record.isNull().alias("rejected"))
+    rejected = ~plain & F.col("_t").isNull()
+    return rest.select(
+        "line",
+        F.when(plain, fields).otherwise(F.col("_r")).alias("record"),
+        rejected.alias("rejected"),
+    )
+
+
+def _once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Append a costly column through a generator.
+
+    Later filters are not pushed below it, so the value is computed once per
+    row and not again inside every condition that reads it.
+    """
+    return df.select("*", F.explode(F.array(value)).alias(name))
 
 
 def threads(parsed: DataFrame) -> DataFrame:

@@ -15,6 +15,17 @@ def read_parts(spark: SparkSession, path: str, schema: T.StructType | None = Non
     return reader.parquet(path)
 
 
+def read_spread(spark: SparkSession, path: str) -> DataFrame:
+    """A table for row work that costs more than moving the rows.
+
+    A table of fewer splits than the cluster has cores is redistributed, so
+    the work does not sit on one core; larger tables are read as they are.
+    """
+    rows = spark.read.parquet(path)
+    cores = spark.sparkContext.defaultParallelism
+    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores)
+
+
 def write_table(df: DataFrame, path: str, partition_by: str | None = None, mode: str = "overwrite") -> None:
     writer = df.write.mode(mode)
     if partition_by:
@@ -41,13 +52,13 @@ def replace_collection(points: DataFrame, path: str, dim: int) -> None:
 
 def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").csv(
-        path, header=True, quote='"', escape='"', lineSep="\n", emptyValue="", nullValue="\\N"
+        path, header=True, quote='"', escape='"', lineSep="\n", emptyValue='""', nullValue="\\N"
     )
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(schema).csv(
-        path, header=True, quote='"', escape='"', multiLine=True, nullValue="\\N", emptyValue=""
+        path, header=True, quote='"', escape='"', multiLine=True, nullValue="\\N"
     )
 
 
@@ -80,7 +91,7 @@ def save_model_answers(df: DataFrame, path: str, model: str = "model") -> None:
     """CSV of model answers, one folder per model name made safe for paths."""
     safe = df.withColumn(model, tx.file_safe(F.col(model)))
     safe.write.mode("overwrite").partitionBy(model).csv(
-        path, header=True, quote='"', escape='"', lineSep="\n", emptyValue="", nullValue="\\N"
+        path, header=True, quote='"', escape='"', lineSep="\n", emptyValue='""', nullValue="\\N"
     )
 
 
