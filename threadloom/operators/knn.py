@@ -3,8 +3,10 @@
 Both kinds of similarity share one shape: a block of queries is scored against
 Arrow batches of points, and only the best ``k`` per query leave a task, so
 pairs are never materialised. The point table is not shuffled when the queries
-fit a checked size; otherwise both sides are cut into hash blocks of bounded
-size and co-grouped, which keeps the result exact at any number of queries.
+fit a checked size. Beyond it both sides meet in co-grouped blocks of bounded
+size: dense vectors by cells, where the triangle inequality rules out the cells
+that cannot hold a better neighbour, sparse ones by hash blocks. Every way
+returns the same, exact result.
 """
 
 from __future__ import annotations
@@ -23,6 +25,10 @@ MAX_SHIPPED_BYTES = 256 << 20
 # Block sizes of the co-grouped way.
 QUERY_BLOCK = 4_096
 POINT_BLOCK = 65_536
+# Most cells of the dense index; their centres are held by driver and tasks.
+MAX_CELLS = 2_048
+# Added to the similarity a cell may still offer: covers rounding of scores and angles.
+BOUND_SLACK = 1e-5
 # Score-matrix cells held at a time inside one task.
 CELLS = 4_000_000
 ROUND_DIGITS = 6
@@ -221,8 +227,10 @@ def topk_join(
     shipped = _shippable(queries, max_shipped)
     if shipped is not None:
         partial = _score_shipped(shipped, points, k, _BLOCKS[kind], schema)
+    elif kind == "dense":
+        partial = _score_cells(queries, points, k, schema)
     else:
-        partial = _score_blocks(queries, points, k, _BLOCKS[kind], schema)
+        partial = _score_blocks(queries, points, k, schema)
     return _best_per_query(partial, k)
 
 
@@ -312,7 +320,8 @@ def _score_shipped(table: pa.Table, points: DataFrame, k: int, block_type, schem
     return points.coalesce(spark.sparkContext.defaultParallelism).mapInArrow(score, schema)
 
 
-def _score_blocks(queries: DataFrame, points: DataFrame, k: int, block_type, schema) -> DataFrame:
+def _score_blocks(queries: DataFrame, points: DataFrame, k: int, schema) -> DataFrame:
+    """Sparse vectors: every hash block of points meets every block of queries."""
     n_query = max(1, -(-queries.count() // QUERY_BLOCK))
     n_point = max(1, -(-points.count() // POINT_BLOCK))
     left = points.withColumn(
@@ -321,14 +330,13 @@ def _score_blocks(queries: DataFrame, points: DataFrame, k: int, block_type, sch
     right = queries.withColumn(
         "qb", F.pmod(F.xxhash64("qid"), F.lit(n_query)).cast("int")
     ).withColumn("pb", F.explode(F.sequence(F.lit(0), F.lit(n_point - 1))))
+    return _meet(left, right, ["pb", "qb"], k, _SparseBlock, schema)
+
+
+def _meet(left: DataFrame, right: DataFrame, keys: list[str], k: int, block_type, schema) -> DataFrame:
+    """Score the points and queries of each co-grouped block."""
     names = schema.fieldNames()
-    empty = pa.schema(
-        [
-            ("qid", _arrow_type(schema["qid"].dataType)),
-            ("id", _arrow_type(schema["id"].dataType)),
-            ("score", pa.float64()),
-        ]
-    ).empty_table()
+    empty = pa.schema([(f.name, _arrow_type(f.dataType)) for f in schema.fields]).empty_table()
 
     def score(point_table: pa.Table, query_table: pa.Table) -> pa.Table:
         if not query_table.num_rows or not point_table.num_rows:
@@ -338,13 +346,120 @@ def _score_blocks(queries: DataFrame, points: DataFrame, k: int, block_type, sch
         found = _rank_block(block, ids, point_table.to_batches(), k)
         return empty if found is None else pa.Table.from_batches([found]).select(names)
 
-    return (
-        left.groupBy("pb", "qb").cogroup(right.groupBy("pb", "qb")).applyInArrow(score, schema)
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(score, schema)
+
+
+def _score_cells(queries: DataFrame, points: DataFrame, k: int, schema) -> DataFrame:
+    """Dense vectors: nearest cells first, then only the cells that may still help.
+
+    A first round over each query's nearest cells fixes a score that any later
+    neighbour has to reach. By the triangle inequality of angles no point of a
+    cell is closer to the query than the cell's centre less its radius, so
+    cells below that score are left out without losing a neighbour.
+    """
+    spark = points.sparkSession
+    n_cells = min(MAX_CELLS, max(1, -(-points.count() // POINT_BLOCK)))
+    # at most MAX_CELLS vectors
+    chosen = points.orderBy(F.xxhash64("id"), "id").limit(n_cells).select("v").toArrow()
+    centres = spark.sparkContext.broadcast(_unit_rows(_whole(chosen.column("v"))))
+    id_type = schema["id"].dataType.simpleString()
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cosines = _unit_rows(batch.column("v")) @ centres.value.T
+            cell = cosines.argmax(axis=1)
+            nearest = cosines[np.arange(len(cell)), cell]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("id"),
+                    batch.column("v"),
+                    pa.array(cell.astype(np.int32)),
+                    pa.array(np.arccos(np.clip(nearest, -1.0, 1.0))),
+                ],
+                names=["id", "v", "cell", "angle"],
+            )
+
+    vector_type = points.schema["v"].dataType.simpleString()
+    placed = points.mapInArrow(place, f"id {id_type}, v {vector_type}, cell int, angle double")
+    # at most MAX_CELLS rows
+    sizes = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("angle").alias("radius")).toArrow()
+    found = sizes.column("cell").to_numpy()
+    count = np.zeros(n_cells, dtype=np.int64)
+    radius = np.full(n_cells, -np.inf)
+    count[found] = sizes.column("n").to_numpy()
+    radius[found] = sizes.column("radius").to_numpy()
+
+    def first_cells(cosines: np.ndarray, floors: np.ndarray) -> np.ndarray:
+        """Nearest cells until they hold k points between them."""
+        order = np.argsort(-cosines, axis=1, kind="stable")
+        before = np.cumsum(count[order], axis=1) - count[order]
+        take = np.zeros(cosines.shape, dtype=bool)
+        np.put_along_axis(take, order, (before < k) & (count[order] > 0), axis=1)
+        return take
+
+    def other_cells(cosines: np.ndarray, floors: np.ndarray) -> np.ndarray:
+        """Cells not seen yet whose best possible score reaches the floor."""
+        angles = np.arccos(np.clip(cosines, -1.0, 1.0)) - radius[None, :]
+        possible = np.cos(np.maximum(angles, 0.0)) + BOUND_SLACK
+        reach = (possible >= floors[:, None]) & (count > 0)[None, :]
+        return reach & ~first_cells(cosines, floors)
+
+    def visits(rows: DataFrame, choose) -> DataFrame:
+        qid_type = schema["qid"].dataType.simpleString()
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                floors = batch.column("floor").to_numpy(zero_copy_only=False)
+                wanted = choose(_unit_rows(batch.column("v")) @ centres.value.T, floors)
+                row, cell = np.nonzero(wanted)
+                at = pa.array(row)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("qid").take(at), batch.column("v").take(at), pa.array(cell.astype(np.int32))],
+                    names=["qid", "v", "cell"],
+                )
+
+        kind = rows.schema["v"].dataType.simpleString()
+        return rows.select("qid", "v", "floor").mapInArrow(run, f"qid {qid_type}, v {kind}, cell int")
+
+    def round_of(asked: DataFrame) -> DataFrame:
+        """Large cells are cut into point blocks, busy ones into query blocks."""
+        plan = asked.groupBy("cell").agg(
+            F.ceil(F.count(F.lit(1)) / QUERY_BLOCK).cast("int").alias("nq")
+        )
+        blocks = spark.createDataFrame(
+            [(int(c), max(1, -(-int(count[c]) // POINT_BLOCK))) for c in found], "cell int, np int"
+        )
+        # at most MAX_CELLS rows
+        plan = F.broadcast(plan.join(blocks, "cell"))
+        left = placed.join(plan, "cell").select(
+            "id", "v", "cell",
+            F.pmod(F.xxhash64("id"), F.col("np")).cast("int").alias("pb"),
+            F.explode(F.sequence(F.lit(0), F.col("nq") - 1)).alias("qb"),
+        )
+        right = asked.join(plan, "cell").select(
+            "qid", "v", "cell",
+            F.pmod(F.xxhash64("qid"), F.col("nq")).cast("int").alias("qb"),
+            F.explode(F.sequence(F.lit(0), F.col("np") - 1)).alias("pb"),
+        )
+        return _meet(left, right, ["cell", "pb", "qb"], k, _DenseBlock, schema)
+
+    first = _best_per_query(round_of(visits(queries.withColumn("floor", F.lit(-2.0)), first_cells)), k)
+    first = first.drop("rank").persist()
+    floors = first.groupBy("qid").agg(
+        F.when(F.count(F.lit(1)) >= k, F.min("score")).otherwise(F.lit(-2.0)).alias("floor")
     )
+    later = queries.join(floors, "qid", "left").withColumn("floor", F.coalesce("floor", F.lit(-2.0)))
+    return first.unionByName(round_of(visits(later, other_cells)))
 
 
 def _arrow_type(kind: T.DataType) -> pa.DataType:
-    return {T.LongType(): pa.int64(), T.IntegerType(): pa.int32(), T.StringType(): pa.string()}[kind]
+    types = {
+        T.LongType(): pa.int64(),
+        T.IntegerType(): pa.int32(),
+        T.StringType(): pa.string(),
+        T.DoubleType(): pa.float64(),
+    }
+    return types[kind]
 
 
 def _pair_dots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

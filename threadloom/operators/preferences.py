@@ -156,15 +156,16 @@ def pack(
     start = F.col("_end") - F.col("_size")
     n = F.lit(seq_length).cast("bigint")
     block = lambda offset: F.floor(offset / n).cast("bigint")
-    pieces = laid.filter(F.col("_size") > 0).select(
-        "_t", start.alias("_start"), F.explode(F.sequence(block(start), block(F.col("_end") - 1))).alias("block")
+    low = lambda b: F.greatest(b * n, start)
+    high = lambda b: F.least((b + 1) * n, F.col("_end"))
+    cut = lambda b: F.struct(
+        b.alias("block"),
+        low(b).alias("_low"),
+        F.slice("_t", (low(b) - start + 1).cast("int"), (high(b) - low(b)).cast("int")).alias("_piece"),
     )
-    low = F.greatest(F.col("block") * n, F.col("_start"))
-    high = F.least((F.col("block") + 1) * n, F.col("_start") + F.size("_t"))
-    pieces = pieces.select(
-        "block",
-        low.alias("_low"),
-        F.slice("_t", (low - F.col("_start") + 1).cast("int"), (high - low).cast("int")).alias("_piece"),
+    # cut first, then explode: a long row is not copied once per block
+    pieces = laid.filter(F.col("_size") > 0).select(
+        F.inline(F.transform(F.sequence(block(start), block(F.col("_end") - 1)), cut))
     )
     blocks = pieces.groupBy("block").agg(
         F.flatten(
