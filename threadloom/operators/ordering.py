@@ -39,8 +39,6 @@ def numeric_bounds(df: DataFrame, key: str, buckets: int | None = None) -> list[
 
 def bucket_of(key: Column, bounds: list[float]) -> Column:
     """Bucket number of a numeric key; buckets are ordered like the key."""
-    if not bounds:
-        return F.lit(0)
     cuts = np.asarray(bounds)
 
     @F.pandas_udf("int")
@@ -65,10 +63,15 @@ def running_total(
     whose leading digits are already an even, ordered bucketing.
     """
     weight = F.lit(1).cast("bigint") if weight is None else weight
+    upto = [Window.unboundedPreceding, Window.currentRow]
     if hashed_key:
         bucket = F.substring(F.col(key), 1, 3)
     else:
-        bucket = bucket_of(F.col(key), numeric_bounds(df, key, buckets))
+        bounds = numeric_bounds(df, key, buckets)
+        if not bounds:  # one bucket holds everything
+            whole = Window.partitionBy(*partition).orderBy(key).rowsBetween(*upto)
+            return df.withColumn("_w", weight).withColumn(out, F.sum("_w").over(whole)).drop("_w")
+        bucket = bucket_of(F.col(key), bounds)
     work = df.withColumn("_w", weight).withColumn("_b", bucket)
     totals = work.groupBy(*partition, "_b").agg(F.sum("_w").alias("_t"))
     before = (
@@ -79,11 +82,7 @@ def running_total(
     offsets = totals.select(
         *partition, "_b", F.coalesce(F.sum("_t").over(before), F.lit(0)).alias("_offset")
     )
-    inside = (
-        Window.partitionBy(*partition, "_b")
-        .orderBy(key)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
+    inside = Window.partitionBy(*partition, "_b").orderBy(key).rowsBetween(*upto)
     return (
         work.join(offsets, [*partition, "_b"])
         .withColumn(out, F.col("_offset") + F.sum("_w").over(inside))

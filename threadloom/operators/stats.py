@@ -96,9 +96,8 @@ def describe(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
     parts = quantiles(df, value, by=by)
     if by:
         return basic.join(parts, list(by), "left")
-    # both sides are one row
-    one = F.lit(0).alias("_one")
-    return basic.select("*", one).join(parts.select("*", one), "_one", "left").drop("_one")
+    found = parts.select(F.struct(*parts.columns)).scalar()
+    return basic.withColumn("_q", found).select(*basic.columns, "_q.*")
 
 
 def histogram(df: DataFrame, value: str, bins: int = 10, by: Sequence[str] = ()) -> DataFrame:
