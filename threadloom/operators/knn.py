@@ -231,7 +231,7 @@ def topk_join(
         partial = _score_cells(queries, points, k, schema)
     else:
         partial = _score_blocks(queries, points, k, schema)
-    return _best_per_query(partial, k)
+    return best_per_query(partial, k)
 
 
 def topk_among(
@@ -262,7 +262,7 @@ def topk_among(
             .join(queries.withColumnRenamed("v", "qv"), "qid")
         )
         partial = pairs.select("qid", "id", "qv", "pv").mapInArrow(_PAIR_SCORES[kind], schema)
-    return _best_per_query(partial, k)
+    return best_per_query(partial, k)
 
 
 def _sides(queries: DataFrame, points: DataFrame, vector: str, qid: str, pid: str):
@@ -282,9 +282,11 @@ def _result_schema(queries: DataFrame, points: DataFrame) -> T.StructType:
     )
 
 
-def _best_per_query(scored: DataFrame, k: int) -> DataFrame:
+def best_per_query(scored: DataFrame, k: int) -> DataFrame:
+    """Rank by score, ties by id; the filter on the rank prunes before the shuffle."""
     order = Window.partitionBy("qid").orderBy(F.desc("score"), "id")
-    return scored.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    kept = scored.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    return kept.withColumn("rank", F.col("rank").cast("bigint"))
 
 
 def _shippable(queries: DataFrame, max_rows: int) -> pa.Table | None:
@@ -443,7 +445,7 @@ def _score_cells(queries: DataFrame, points: DataFrame, k: int, schema) -> DataF
         )
         return _meet(left, right, ["cell", "pb", "qb"], k, _DenseBlock, schema)
 
-    first = _best_per_query(round_of(visits(queries.withColumn("floor", F.lit(-2.0)), first_cells)), k)
+    first = best_per_query(round_of(visits(queries.withColumn("floor", F.lit(-2.0)), first_cells)), k)
     first = first.drop("rank").persist()
     floors = first.groupBy("qid").agg(
         F.when(F.count(F.lit(1)) >= k, F.min("score")).otherwise(F.lit(-2.0)).alias("floor")

@@ -11,7 +11,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from threadloom.functions import text as tx
-from threadloom.operators.knn import ROUND_DIGITS, dense_topk, sparse_topk, topk_among
+from threadloom.operators.knn import ROUND_DIGITS, best_per_query, dense_topk, sparse_topk, topk_among
 
 Scorer = Callable[[Column, Column], Column]
 
@@ -19,11 +19,6 @@ Scorer = Callable[[Column, Column], Column]
 RRF_K = 60
 
 
-def _keep_best(scored: DataFrame, k: int) -> DataFrame:
-    order = Window.partitionBy("qid").orderBy(F.desc("score"), "id")
-    return scored.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
-
-
 def sparse_among(candidates: DataFrame, queries: DataFrame, points: DataFrame, k: int) -> DataFrame:
     """Candidates re-ranked by term weights."""
     return topk_among(candidates, queries, points, k, "sparse", "text_sparse")
@@ -59,7 +54,7 @@ def fuse(rankings: Sequence[DataFrame], limit: int = 100, k: int = RRF_K) -> Dat
     fused = stacked.groupBy("qid", "id").agg(
         F.round(F.sum(F.lit(1.0) / (F.lit(k) + F.col("rank"))), 12).alias("score")
     )
-    return _keep_best(fused, limit)
+    return best_per_query(fused, limit)
 
 
 def hybrid(queries: DataFrame, points: DataFrame, limit: int = 100, k: int = RRF_K) -> DataFrame:
@@ -126,7 +121,7 @@ def rerank(
     order = Window.partitionBy("qid").orderBy(F.desc("pair_score"), "rank")
     return (
         ranked.withColumn("pair_score", scorer(F.col(question), F.col(text)))
-        .withColumn("_r", F.row_number().over(order))
+        .withColumn("_r", F.row_number().over(order).cast("bigint"))
         .drop("rank")
         .withColumnRenamed("_r", "rank")
     )
@@ -166,7 +161,7 @@ def context_rows(
     if scorer is not None:
         return rerank(kept, scorer)
     order = Window.partitionBy("qid").orderBy("rank")
-    return kept.withColumn("_r", F.row_number().over(order)).drop("rank").withColumnRenamed("_r", "rank")
+    return kept.withColumn("_r", F.row_number().over(order).cast("bigint")).drop("rank").withColumnRenamed("_r", "rank")
 
 
 PAYLOAD_FIELDS = ("question", "answer", "rating")

@@ -40,7 +40,7 @@ def verdict_rows(spark, sf_dir):
     """SELECT doc_id, CASE WHEN doc_id % 4 < 2 THEN lang END AS russian_language,
   CASE WHEN doc_id % 4 < 2 THEN source END AS matching_target_answer,
   CASE WHEN doc_id % 4 < 2 THEN CASE WHEN doc_id % 2 = 0 THEN 'да' ELSE 'нет' END END AS correctness,
-  CASE WHEN doc_id % 4 < 2 THEN doc_id % 6 END AS score FROM documents""",
+  CAST(CASE WHEN doc_id % 4 < 2 THEN doc_id % 6 END AS INTEGER) AS score FROM documents""",
 )
 def h10(spark, sf_dir):
     return verdict_rows(spark, sf_dir).select(
@@ -119,7 +119,7 @@ firsts AS (SELECT id, model, variant, length(judge_prompt) AS n FROM prompts),
 seconds AS (SELECT *, n + length('<|im_start|>system' || '<|im_end|>' || '<|im_start|>assistant' || '{{сломано' || '<|im_end|>' || '<|im_start|>user'
   || {lit(ev.REPAIR_REQUEST)} || '<|im_end|>' || '<|im_start|>assistant') + 7 AS n2 FROM firsts),
 judged AS (SELECT id, model, variant, n % 4 = 0 AS retried,
-  CASE WHEN n % 4 <> 0 THEN n % 6 WHEN n2 % 8 <> 0 THEN n2 % 6 END AS score FROM seconds)"""
+  CAST(CASE WHEN n % 4 <> 0 THEN n % 6 WHEN n2 % 8 <> 0 THEN n2 % 6 END AS INTEGER) AS score FROM seconds)"""
 
 
 def judged(spark, sf_dir):

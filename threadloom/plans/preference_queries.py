@@ -414,7 +414,7 @@ def b21(spark, sf_dir):
         """counts AS (SELECT greatest(count_if(label), 1) AS d, greatest(count(*) - greatest(count_if(label), 1), 1) AS u FROM labelled),
     bounds AS (SELECT d, u, round(u * 1.0 / d, 2) AS dl, round(u * 1.33 / d, 2) AS du, round(d / 1.33 / u, 2) AS ul, round(d * 1.0 / u, 2) AS uu FROM counts)""",
     )
-    + """SELECT d AS num_desirable, u AS num_undesirable, CAST(dl AS DOUBLE) AS des_weight_lower_bound, CAST(du AS DOUBLE) AS des_weight_upper_bound,
+    + """SELECT CAST(d AS BIGINT) AS num_desirable, CAST(u AS BIGINT) AS num_undesirable, CAST(dl AS DOUBLE) AS des_weight_lower_bound, CAST(du AS DOUBLE) AS des_weight_upper_bound,
   CAST(ul AS DOUBLE) AS und_weight_lower_bound, CAST(uu AS DOUBLE) AS und_weight_upper_bound,
   1.0 BETWEEN dl AND du AS des_weight_in_range, 1.0 BETWEEN ul AND uu AS und_weight_in_range FROM bounds""",
 )

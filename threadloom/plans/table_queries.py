@@ -61,7 +61,7 @@ def a1(spark, sf_dir):
     )
 
 
-@query("a2_rejected_lines", CTES + "SELECT count(*) AS lines, count_if(order_status = 'P') AS rejected FROM short")
+@query("a2_rejected_lines", CTES + "SELECT count(*) AS lines, CAST(count_if(order_status = 'P') AS BIGINT) AS rejected FROM short")
 def a2(spark, sf_dir):
     return parsed_dump(spark, sf_dir).agg(
         F.count(F.lit(1)).alias("lines"), F.count_if("rejected").alias("rejected")

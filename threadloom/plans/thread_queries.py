@@ -162,8 +162,8 @@ def d4(spark, sf_dir):
 @query(
     "d5_row_counts",
     CTES
-    + """SELECT count(*) AS total, count_if(author_in_chat) AS dialog, count_if(NOT author_in_chat) AS non_dialog,
-  count_if(NOT author_in_chat AND coalesce(b.max_rating, 0) > 0) AS scored
+    + """SELECT count(*) AS total, CAST(count_if(author_in_chat) AS BIGINT) AS dialog, CAST(count_if(NOT author_in_chat) AS BIGINT) AS non_dialog,
+  CAST(count_if(NOT author_in_chat AND coalesce(b.max_rating, 0) > 0) AS BIGINT) AS scored
 FROM stats s LEFT JOIN best b ON b.thread_id = s.id""",
 )
 def d5(spark, sf_dir):
@@ -234,8 +234,8 @@ def d8(spark, sf_dir):
 @query(
     "d10_filter_audit",
     CTES
-    + """, counted AS (SELECT count(*) AS b, count_if(rating > 5) AS r,
-  count_if(length(description) < 3000 AND length(text) < 3000) AS t FROM prepared)
+    + """, counted AS (SELECT count(*) AS b, CAST(count_if(rating > 5) AS BIGINT) AS r,
+  CAST(count_if(length(description) < 3000 AND length(text) < 3000) AS BIGINT) AS t FROM prepared)
 SELECT 'min_rating' AS stage, b AS before, r AS after, b - r AS dropped FROM counted
 UNION ALL SELECT 'text_length', b, t, b - t FROM counted""",
 )

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from threadloom.sources.tables import _exists
+from threadloom.sources.tables import path_exists
 
 
 class Collection:
@@ -21,7 +21,7 @@ class Collection:
 
     def version(self) -> int:
         """Newest committed version, -1 for an empty collection."""
-        if not _exists(self.spark, self._manifest_dir()):
+        if not path_exists(self.spark, self._manifest_dir()):
             return -1
         top = self.spark.read.parquet(self._manifest_dir()).agg(F.max("version")).first()[0]
         return -1 if top is None else int(top)

@@ -62,14 +62,14 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     )
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def path_exists(spark: SparkSession, path: str) -> bool:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
 def sampled_ids(spark: SparkSession, path: str, wanted: int, make) -> DataFrame:
     """Stored id list when it has the wanted number of rows, otherwise a new one."""
-    if _exists(spark, path):
+    if path_exists(spark, path):
         stored = read_csv(spark, path, schemas.SAMPLED_IDS)
         if stored.count() == wanted:
             return stored
