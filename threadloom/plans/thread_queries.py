@@ -425,7 +425,7 @@ def d17(spark, sf_dir):
 @query(
     "d20_running_mean",
     """WITH batches AS (SELECT event_id // 7 AS step, count(*) AS n, avg(value) AS mean FROM events GROUP BY 1)
-SELECT step, round(sum(n * mean) OVER w / sum(n) OVER w, 6) AS running_mean
+SELECT step, round(sum(n * mean) OVER w / sum(n) OVER w, 9) AS running_mean
 FROM batches WINDOW w AS (ORDER BY step)""",
 )
 def d20(spark, sf_dir):
@@ -434,7 +434,7 @@ def d20(spark, sf_dir):
         .groupBy(F.floor(F.col("event_id") / 7).cast("bigint").alias("step"))
         .agg(F.count(F.lit(1)).alias("n"), F.avg("value").alias("mean"))
     )
-    return stats.running_mean(batches, "step").select("step", F.round("running_mean", 6).alias("running_mean"))
+    return stats.running_mean(batches, "step").select("step", F.round("running_mean", 9).alias("running_mean"))
 
 
 @query(
