@@ -220,17 +220,18 @@ def sweep(
 ) -> DataFrame:
     """One ``param_*`` record column per retriever setting, joined on the id.
 
-    The ranking of a retriever is computed once and kept for both its plain
-    and its re-ranked setting.
+    The context of a retriever (a few rows per id) is computed once and kept;
+    its re-ranked setting starts from the same rows.
     """
     queries = queries_by_id(points, ids, id_col).persist()
-    rankings: dict[str, DataFrame] = {}
+    contexts: dict[str, DataFrame] = {}
     wide = ids
     for name, use_rerank in settings:
-        if name not in rankings:
+        if name not in contexts:
             extra = {"limit_dense": 50} if name == "dense_sparse_query" else {}
-            rankings[name] = retriever(name, **extra)(queries, points).persist()
-        context = context_rows(queries, points, rankings[name], limit, scorer if use_rerank else None)
+            ranking = retriever(name, **extra)(queries, points)
+            contexts[name] = context_rows(queries, points, ranking, limit).persist()
+        context = rerank(contexts[name], scorer) if use_rerank else contexts[name]
         column = records(ids.select(id_col), queries, context, id_col).withColumnRenamed(
             "record", param_name(name, use_rerank)
         )
