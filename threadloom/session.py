@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import io
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -55,3 +58,30 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """Fresh path below the shared folder; never reused between runs."""
     return f"{shared_dir(spark)}/threadloom/{uuid.uuid4().hex}/{name}"
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors this package, once per application.
+
+    Functions that run in tasks are pickled by reference, so every Python worker
+    has to be able to import the package, from whatever folder the driver runs.
+    """
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as archive:
+        for folder, _, names in sorted(os.walk(package)):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    archive.write(path, os.path.relpath(path, os.path.dirname(package)))
+    target = os.path.join(tempfile.mkdtemp(prefix="threadloom-"), "threadloom-package.zip")
+    with open(target, "wb") as out:
+        out.write(packed.getvalue())
+    spark.sparkContext.addPyFile(target)
+    _SHIPPED.add(app)
