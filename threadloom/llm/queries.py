@@ -1,6 +1,6 @@
 """Queries of the operators; importing a module registers its own."""
 
-from threadloom.llm import codes, decontaminate, lines, packing, similar, toxicity, url_rules, warc  # noqa: F401
+from threadloom.llm import codes, decontaminate, lines, neighbours, packing, similar, toxicity, url_rules, warc  # noqa: F401
 from threadloom.llm.base import CATALOG
 
 
