@@ -190,7 +190,7 @@ def _without(texts: pd.Series, windows: pd.Series) -> pd.DataFrame:
     return pd.DataFrame({"text": kept_texts, "n_deleted": deleted, "runs": runs})
 
 
-def dedup_lines(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
+def dedup_lines(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS, output: tuple[str, str, str] = ("kept_text", "n_deleted", "runs")) -> DataFrame:
     """Every column of ``documents`` as it is, with kept_text, n_deleted and runs ("first-last", from 0, comma-joined).
 
     ``kept_text`` is the text without the lines of later copies.
@@ -210,9 +210,9 @@ def dedup_lines(documents: DataFrame, doc_id: str = "doc_id", text: str = "text"
     done = rows.join(windows, "row_key", "left").withColumn("done", _without(F.when(hit, F.col(own_text)), "windows"))
     return done.select(
         *[F.col(f"col_{i}").alias(name) for i, name in enumerate(names)],
-        F.when(hit, F.col("done.text")).otherwise(F.col(own_text)).alias("kept_text"),
-        F.col("done.n_deleted").alias("n_deleted"),
-        F.col("done.runs").alias("runs"),
+        F.when(hit, F.col("done.text")).otherwise(F.col(own_text)).alias(output[0]),
+        F.col("done.n_deleted").alias(output[1]),
+        F.col("done.runs").alias(output[2]),
     )
 
 

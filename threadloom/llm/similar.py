@@ -236,7 +236,7 @@ def _labelled(members: DataFrame, labels: DataFrame | None) -> DataFrame:
 
 
 def similar_documents(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, row_hash (of id and text), n_shingles and component_id of every row."""
+    """doc_id, row_hash (of id and text), n_shingles, component (null without shingles) and component_id of every row."""
     rows = documents.select(
         F.col(doc_id).alias("doc_id"), F.xxhash64(doc_id, text).alias("row_hash"), F.col(text).cast("string").alias("text")
     )
@@ -310,9 +310,9 @@ def similar_documents(documents: DataFrame, doc_id: str = "doc_id", text: str =
         labels = written(components(links), "labels")
     placed = _labelled(classes.select("class", "low_id"), labels)
     ids = placed.groupBy("component").agg(F.min("low_id").alias("component_id"))
-    named = placed.select("class", "component").join(ids, "component").select("class", "component_id")
+    named = placed.select("class", "component").join(ids, "component").select("class", "component", "component_id")
     return sets.join(named, "class", "left").select(
-        "doc_id", "row_hash", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")
+        "doc_id", "row_hash", "n_shingles", "component", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")
     )
 
 

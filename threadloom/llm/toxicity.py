@@ -150,10 +150,13 @@ def fit(labelled: DataFrame, train_rows: int = TRAIN_ROWS) -> Model:
     return Model(buckets, model.coefficients.toArray() * ratios, float(model.intercept))
 
 
-def score(documents: DataFrame, model: Model, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def score(documents: DataFrame, model: Model, text: str = "text", keep: tuple[str, ...] = ("doc_id",), output: str = "score") -> DataFrame:
     """The ``keep`` columns of every row and its score."""
     shared = documents.sparkSession.sparkContext.broadcast(model)
     names = [f"kept_{i}" for i in range(len(keep))]
+    kinds = dict(documents.dtypes)
+    # a kept text is not sent twice
+    moved = [name for name, k in zip(names, keep) if k != text or kinds[k] != "string"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
@@ -164,15 +167,12 @@ def score(documents: DataFrame, model: Model, text: str = "text", keep: tuple[st
             for row, rows, grams in _grams(batch[0]):
                 own, bucket = _present(rows, grams, wanted)
                 total = known.intercept + np.bincount(own, weights=weights[bucket], minlength=rows)
-                yield pa.RecordBatch.from_arrays(
-                    [*[batch[1 + i].slice(row, rows) for i in range(len(names))], pa.array(1 / (1 + np.exp(-np.clip(total, -500, 500))))],
-                    names=[*names, "score"],
-                )
+                kept = [batch[1 + moved.index(n) if n in moved else 0].slice(row, rows) for n in names]
+                yield pa.RecordBatch.from_arrays([*kept, pa.array(1 / (1 + np.exp(-np.clip(total, -500, 500))))], names=[*names, "score"])
 
-    kinds = dict(documents.dtypes)
-    schema = ", ".join(f"{n} {kinds[k]}" for n, k in zip(names, keep)) + ", score double"
-    rows = documents.select(F.col(text).cast("string"), *[F.col(f"`{k}`").alias(n) for n, k in zip(names, keep)])
-    return rows.mapInArrow(run, schema).withColumnsRenamed(dict(zip(names, keep)))
+    schema = ", ".join([*[f"{n} {kinds[k]}" for n, k in zip(names, keep)], "score double"])
+    rows = documents.select(F.col(text).cast("string").alias("text"), *[F.col(f"`{k}`").alias(n) for n, k in zip(names, keep) if n in moved])
+    return rows.mapInArrow(run, schema).select(*[F.col(n).alias(k) for n, k in zip(names, keep)], F.col("score").alias(output))
 
 
 def held_out(doc_id: Column) -> Column:
