@@ -1,7 +1,7 @@
 """WARC archives as chunked record tables.
 
-Writing: one gzip member per record, in ascending page order, files of bounded
-size. Records with equal payloads of a minimum size are kept once and revisited
+Writing: one gzip member per record, in ascending page order
+within each file, files of bounded size. Records with equal payloads of a minimum size are kept once and revisited
 by the others. Reading: an archive is streamed; each record becomes rows of
 (record id, chunk number) that carry a piece of the payload, the bytes so far
 and the SHA-256 so far. No record is held whole: memory is one chunk, whatever
@@ -120,7 +120,7 @@ def write_archives(pages: DataFrame, root: str, file_bytes: int = FILE_BYTES) ->
         for i in range(batch.num_rows):
             yield (batch[0][i].as_py(), batch[1][i].as_py(), batch[2][i].as_buffer(), batch[3][i].as_py())
 
-    ordered = pages.select("page_id", "url", F.col("html").cast("binary"), "refers_to").repartitionByRange("page_id").sortWithinPartitions("page_id", "url")
+    ordered = pages.select("page_id", "url", F.col("html").cast("binary"), "refers_to").sortWithinPartitions("page_id", "url")
     return ordered.mapInArrow(write, schema)
 
 
