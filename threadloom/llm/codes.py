@@ -175,7 +175,7 @@ def write_codes(documents: DataFrame, root: str, tokenizer: str, end_id: int, sp
         for batch in batches:
             own = batch[0].to_pylist()
             at = 0
-            for run in runs(batch[1].to_pylist()):
+            for run in runs(batch[1]):
                 for ids in encode(run):
                     ids += end
                     if held and size + len(ids) // 4 > file_tokens:

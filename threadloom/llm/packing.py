@@ -42,7 +42,7 @@ def piece_table(documents: DataFrame, tokenizer: str, end_id: int, capacity: int
         end = np.array([end_id], dtype="<u4").tobytes()
         for batch in batches:
             at = 0
-            for run in runs(batch[2].to_pylist()):
+            for run in runs(batch[2]):
                 source, piece, start, length, crc, kept = [], [], [], [], [], []
                 for ids in encode(run):
                     ids += end
