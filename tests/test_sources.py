@@ -68,27 +68,71 @@ def test_ids_are_reused_only_with_the_right_count(spark, tmp_path):
     assert made == [5, 7]
 
 
-def test_upsert_keeps_other_buckets_and_is_idempotent(spark, tmp_path):
-    store = Collection(spark, str(tmp_path / "store"), buckets=4)
+def test_hostile_and_mistyped_lines_are_rejected(spark):
+    bad = ["{[1]: 2}", "{'a': b'x'}", "{'a': {1, 2}}", "{'x': 1j}", '{"id": "abc", "title": "t"}', '{"id": 1, "answers": "x"}', "{'id': 'abc', 'title': None}", "__import__('os')"]
+    good = ["{'id': 5, 'title': None, 'answers': []}", '{"id": 6, "title": "t"}']
+    parsed = ln.parse_lines(spark.createDataFrame([(x,) for x in bad + good], "line string"))
+    found = {r.line: r for r in parsed.collect()}
+    assert all(found[x].rejected and found[x].record is None for x in bad)
+    assert [(found[x].rejected, found[x].record.id) for x in good] == [(False, 5), (False, 6)]
+
+
+def test_zst_dump(spark, tmp_path):
+    zstandard = pytest.importorskip("zstandard")
+    lines = [f'{{"id": {k}, "title": "é {k}"}}' for k in range(500)]
+    frames = [zstandard.compress(("\n".join(part) + "\n").encode()) for part in (lines[:300], lines[300:])]
+    (tmp_path / "dump.zst").write_bytes(b"".join(frames))
+    got = ln.threads(ln.parse_lines(ln.read_zst_lines(spark, str(tmp_path / "dump.zst"))))
+    assert sorted((r.id, r.title) for r in got.collect()) == [(k, f"é {k}") for k in range(500)]
+
+
+def test_upsert_allocates_versions_and_ignores_replays(spark, tmp_path):
+    store = Collection(spark, str(tmp_path / "store"))
     assert store.version() == -1
-    store.upsert(spark.range(50).withColumn("v", F.lit("old")))
-    change = spark.createDataFrame([(3, "x", 1), (3, "y", 2), (60, "new", 1)], "id long, v string, seq int")
-    store.upsert(change, order="seq", version=1)
-    store.upsert(spark.range(50).withColumn("v", F.lit("replayed")), version=1)
+    store.upsert(spark.range(50).withColumn("v", F.lit("old")), "id")
+    change = spark.createDataFrame([(3, "x", 1), (3, "y", 2), (3, "z", None), (60, "new", 1)], "id long, v string, seq int")
+    assert store.upsert(change, "seq", source="s", number=0) == 1
+    assert store.upsert(spark.range(50).withColumn("v", F.lit("replayed")), "id", source="s", number=0) == 1
+    assert store.upsert(spark.range(1).withColumn("v", F.lit("other")), "id", source="t", number=0) == 2
     rows = {r.id: r.v for r in store.read().collect()}
-    assert len(rows) == 51 and rows[3] == "y" and rows[60] == "new" and rows[4] == "old"
+    assert len(rows) == 51 and rows[3] == "y" and rows[60] == "new" and rows[4] == "old" and rows[0] == "other"
 
 
-def test_stream_of_parts(spark, tmp_path):
+def test_only_live_folders_are_read(spark, tmp_path):
+    store = Collection(spark, str(tmp_path / "store"), fold_after=2)
+    for n in range(5):
+        store.upsert(spark.createDataFrame([(1, f"v{n}"), (n + 10, "own")], "id long, v string"), "id")
+    live = store.live()
+    assert len(live) <= 3
+    files = {f.split("/data/")[1].split("/")[0] for f in store.read().inputFiles()}
+    assert files == {folder.split("/")[1] for _, folder in live}
+    assert {r.id: r.v for r in store.read().collect()} == {1: "v4", **{n + 10: "own" for n in range(5)}}
+
+
+def test_null_order_loses_and_null_fields_are_kept(spark, tmp_path):
+    store = Collection(spark, str(tmp_path / "store"))
+    schema = "id long, v string, seq int"
+    store.upsert(spark.createDataFrame([(1, "old", 1), (2, "old", 1)], schema), "seq")
+    store.upsert(spark.createDataFrame([(1, "new", None), (2, "a", None), (2, None, 0)], schema), "seq")
+    assert {r.id: r.v for r in store.read().collect()} == {1: "new", 2: None}
+
+
+def test_streams_into_a_filled_collection(spark, tmp_path):
     source = str(tmp_path / "in")
-    store = Collection(spark, str(tmp_path / "store"), buckets=2)
-    schema = "id long, v string"
-    state = str(tmp_path / "state")
-    for value, ids in (("a", 4), ("b", 2)):
+    store = Collection(spark, str(tmp_path / "store"))
+    for value in ("x", "y"):
+        store.upsert(spark.range(3).withColumn("v", F.lit(value)), "id")
+    schema = spark.createDataFrame([], "id long, v string").schema
+    for value, ids in (("a", 2), ("b", 1)):
         spark.range(ids).withColumn("v", F.lit(value)).coalesce(1).write.mode("append").parquet(source)
-        arriving = stream_parts(spark, source, spark.createDataFrame([], schema).schema)
-        upsert_stream(arriving, store, state).awaitTermination()
-    assert {r.id: r.v for r in store.read().collect()} == {0: "b", 1: "b", 2: "a", 3: "a"}
+        arriving = stream_parts(spark, source, schema)
+        upsert_stream(arriving, store, str(tmp_path / "state"), "id").awaitTermination()
+    assert {r.id: r.v for r in store.read().collect()} == {0: "b", 1: "a", 2: "y"}
+    # a second stream with its own checkpoint starts at batch 0 again and loses nothing
+    other = str(tmp_path / "other")
+    spark.createDataFrame([(7, "c")], schema).coalesce(1).write.parquet(other)
+    upsert_stream(stream_parts(spark, other, schema), store, str(tmp_path / "state2"), "id").awaitTermination()
+    assert {r.id: r.v for r in store.read().collect()} == {0: "b", 1: "a", 2: "y", 7: "c"}
 
 
 def test_encoder_reports_failures(spark):

@@ -106,7 +106,7 @@ def lexical_weights(text: Column) -> Column:
 # --- tokenizer ---------------------------------------------------------------
 
 
-def word_ids(text: Column, vocabulary_bits: int = 28) -> Column:
+def word_ids(text: Column, vocabulary_bits: int = 60) -> Column:
     """Stand-in tokenizer: words between spaces, each hashed to a stable id."""
     digits = vocabulary_bits // 4
     return F.transform(

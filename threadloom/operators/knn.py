@@ -317,9 +317,8 @@ def _score_shipped(table: pa.Table, points: DataFrame, k: int, block_type, schem
         if found is not None:
             yield found
 
-    # One partial list per task: with far more scan splits than cores, merging
-    # splits keeps the lists that are shuffled proportional to the cluster.
-    return points.coalesce(spark.sparkContext.defaultParallelism).mapInArrow(score, schema)
+    # one partial list per scan split; the splits keep the parallelism of the scan
+    return points.mapInArrow(score, schema)
 
 
 def _score_blocks(queries: DataFrame, points: DataFrame, k: int, schema) -> DataFrame:

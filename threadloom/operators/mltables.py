@@ -79,7 +79,8 @@ def balanced_weights(rows: DataFrame, label: str) -> DataFrame:
             totals.select("n").scalar().cast("double") / (totals.select("k").scalar() * F.col("_c"))
         ).alias("weight"),
     )
-    return rows.join(weights, label)
+    # as many rows as classes, which a classifier bounds
+    return rows.join(F.broadcast(weights), label)
 
 
 @dataclass

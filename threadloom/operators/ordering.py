@@ -159,7 +159,7 @@ def sample_with_replacement(df: DataFrame, id_col: str, cap: int, seed: int = 42
     spark = df.sparkSession
     drawn = spark.range(draws).select(
         F.col("id").alias("draw"),
-        (F.pmod(F.xxhash64(F.lit(seed), F.col("id")), F.lit(max(rows, 1))) + 1).alias("rn"),
+        (F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.col("id").cast("string"))), 1, 15), 16, 10).cast("bigint") % max(rows, 1) + 1).alias("rn"),
     )
     return drawn.join(global_row_number(df, id_col), "rn").drop("rn")
 

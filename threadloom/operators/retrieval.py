@@ -81,7 +81,8 @@ def retriever(name: str, **settings) -> Callable[[DataFrame, DataFrame], DataFra
 
 def queries_by_id(points: DataFrame, ids: DataFrame, id_col: str = "id") -> DataFrame:
     """Stored points used as questions with their own vectors."""
-    wanted = ids.select(F.col(id_col).alias("id"))
+    # an id asked for twice is one question
+    wanted = ids.select(F.col(id_col).alias("id")).distinct()
     return points.join(wanted, "id").withColumnRenamed("id", "qid")
 
 
@@ -232,10 +233,10 @@ def sweep(
             ranking = retriever(name, **extra)(queries, points)
             contexts[name] = context_rows(queries, points, ranking, limit).persist()
         context = rerank(contexts[name], scorer) if use_rerank else contexts[name]
-        column = records(ids.select(id_col), queries, context, id_col).withColumnRenamed(
+        column = records(ids.select(id_col).distinct(), queries, context, id_col).withColumnRenamed(
             "record", param_name(name, use_rerank)
         )
-        wide = wide.join(column, id_col)
+        wide = wide.join(column, id_col, "left")
     return wide
 
 

@@ -8,7 +8,7 @@ from threadloom.functions import models
 from threadloom.functions import text as tx
 from threadloom.operators import evaluation as ev, mltables as ml, ordering, retrieval as rt, stats
 from threadloom.plans import inputs
-from threadloom.plans.inputs import points, with_
+from threadloom.plans.inputs import POINTS, points, with_
 from threadloom.plans.preference_queries import rounded
 from threadloom.plans.prompt_queries import lit
 from threadloom.plans.registry import query
@@ -348,6 +348,61 @@ def l4_weights(spark, sf_dir):
     return ml.balanced_weights(labels, "label").withColumn("weight", F.round("weight", 6))
 
 
+# What a fitted model must satisfy whatever its numbers: rows come back once, values lie in their range.
+
+
+def checked(rows, good, *more):
+    """Rows, distinct ids, and rows that break the condition (or leave it unknown)."""
+    return rows.agg(
+        F.count("*").alias("n_rows"), F.countDistinct("id").alias("n_ids"),
+        F.count(F.when(~F.coalesce(good, F.lit(False)), 1)).alias("n_bad"), *more,
+    )
+
+
+ALL_VECTORS = "SELECT count(*) AS n_rows, count(DISTINCT vec_id) AS n_ids, CAST(0 AS BIGINT) AS n_bad FROM embeddings"
+LABELLED = "SELECT count(*) AS n_rows, count(DISTINCT vec_id) AS n_ids, CAST(0 AS BIGINT) AS n_bad FROM embeddings JOIN labels ON vec_id = doc_id"
+
+
+@query("l1_clusters_hold", ALL_VECTORS)
+def l1_hold(spark, sf_dir):
+    return checked(l1(spark, sf_dir), F.col("cluster").between(0, 9))
+
+
+@query("l2_components_hold", ALL_VECTORS.replace("FROM", ", CAST(0 AS DOUBLE) AS covariance FROM"))
+def l2_hold(spark, sf_dir):
+    """Principal components do not co-vary."""
+    rows = l2(spark, sf_dir)
+    small = (F.abs("x0") < 100) & (F.abs("x1") < 100)  # not so for NaN either, which is the largest number
+    return checked(rows, small, F.abs(F.round(F.covar_pop("x0", "x1"), 6)).alias("covariance"))
+
+
+@query("l3_plot_table_holds", with_(POINTS) + " SELECT count(*) AS n_rows, count(DISTINCT id) AS n_ids, CAST(0 AS BIGINT) AS n_bad FROM points")
+def l3_hold(spark, sf_dir):
+    return checked(l3(spark, sf_dir), (F.col("fill_color") == ml.colour_of("cluster")) & F.col("text").isNotNull())
+
+
+@query("l4_probabilities_hold", LABELLED)
+def l4_hold(spark, sf_dir):
+    return checked(l4(spark, sf_dir), F.col("prob_desirable").between(0, 1))
+
+
+@query("l5_weights_hold", LABELLED + " WHERE quality = 0")
+def l5_hold(spark, sf_dir):
+    """weight = p / (1 - p + 1e-8), held between 0.5 and 10."""
+    ratio = F.col("prob_desirable") / (1 - F.col("prob_desirable") + 1e-8)
+    return checked(l5(spark, sf_dir), F.abs(F.col("weight") - F.least(F.lit(10.0), F.greatest(F.lit(0.5), ratio))) < 1e-9)
+
+
+@query(
+    "l6_test_rows_hold",
+    """SELECT count(*) AS n_rows, count(DISTINCT vec_id) AS n_ids, CAST(0 AS BIGINT) AS n_bad
+FROM embeddings WHERE CAST('0x' || substr(md5('42:' || vec_id), 1, 6) AS BIGINT) % 100 < 20""",
+)
+def l6_hold(spark, sf_dir):
+    scored = ml.train_and_score(vectors(spark, sf_dir), "id", "dense", "label")
+    return checked(scored, F.col("prediction").between(0, 9) & (F.col("prediction") == F.floor("prediction")))
+
+
 @query("l6_train_test_accuracy")
 def l6(spark, sf_dir):
     scored = ml.train_and_score(vectors(spark, sf_dir), "id", "dense", "label")

@@ -183,7 +183,7 @@ tokens AS (
 def word_ids_sql(column: str) -> str:
     return (
         f"list_transform(list_filter(string_split({column}, ' '), lambda w: w <> ''), "
-        "lambda w: CAST('0x' || substr(md5(w), 1, 7) AS BIGINT))"
+        "lambda w: CAST('0x' || substr(md5(w), 1, 15) AS BIGINT))"
     )
 
 

@@ -305,6 +305,19 @@ def c11(spark, sf_dir):
     return built.select("id", record_text().alias("record"))
 
 
+@query(
+    "c11_repeated_ids",
+    with_(*DENSE_CONTEXT, reranked("again", "ctx"), record_sql("built", "again"))
+    + """SELECT l.doc_id AS id, b.record FROM (SELECT doc_id FROM labels UNION ALL SELECT doc_id FROM labels WHERE doc_id % 2 = 0 UNION ALL SELECT doc_id FROM labels WHERE doc_id % 4 = 0) l LEFT JOIN built b ON b.qid = l.doc_id""",
+)
+def c11_repeated(spark, sf_dir):
+    """Ids given up to three times: one row per given id, each with the record of its point."""
+    once = inputs.table(spark, sf_dir, "labels").select(F.col("doc_id").alias("id"))
+    ids = once.unionByName(once.where("id % 2 = 0")).unionByName(once.where("id % 4 = 0"))
+    built = rt.create_records(points(spark, sf_dir), ids, "dense_query", use_reranker=True)
+    return built.select("id", record_text().alias("record"))
+
+
 SWEEP = with_(
     *BOTH, WORDS,
     ranked("d", "dense", 100), context("c1", "d"), reranked("c2", "c1"),
@@ -567,7 +580,10 @@ def b19(spark, sf_dir):
     return kept.select("doc_id", F.col("quality").isNull().alias("unlabelled"))
 
 
-@query("j1_encoder")
+@query(
+    "j1_encoder",
+    """SELECT doc_id, 64 AS dim, CAST(len(list_distinct(list_filter(string_split(lower(text), ' '), lambda w: w <> ''))) AS INTEGER) AS terms, CAST(NULL AS VARCHAR) AS error FROM documents""",
+)
 def j1(spark, sf_dir):
     docs = inputs.spread(spark, sf_dir, "documents")
     encoded = docs.select("doc_id", models.encode_column(F.col("text")).alias("e"))

@@ -113,8 +113,8 @@ def a6(spark, sf_dir):
 def a7(spark, sf_dir):
     docs = inputs.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.col("lang").alias("question"))
     labels = inputs.table(spark, sf_dir, "labels").select(F.col("doc_id").alias("id"), "quality")
-    collection = Collection(spark, scratch_path(spark, "points"), buckets=8)
-    collection.upsert(docs)
+    collection = Collection(spark, scratch_path(spark, "points"))
+    collection.upsert(docs, order="id")
     # two writes of every labelled id in one batch: the later one counts
     update = labels.select(
         "id",
@@ -129,6 +129,24 @@ def a7(spark, sf_dir):
     return collection.read()
 
 
+@query(
+    "a7_upsert_null_order",
+    """SELECT doc_id AS id, CASE WHEN doc_id % 3 = 0 THEN NULL WHEN doc_id % 3 = 1 THEN 'ordered' ELSE lang END AS question FROM documents""",
+)
+def a7_null_order(spark, sf_dir):
+    """A NULL order never beats another; a newer batch wins even with NULL values."""
+    docs = inputs.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.col("lang").alias("question"), F.lit(1).alias("seq"))
+    collection = Collection(spark, scratch_path(spark, "null_order"), fold_after=1)
+    collection.upsert(docs, order="seq")
+    both = F.array(
+        F.struct(F.lit(None).cast("int").alias("seq"), F.lit("unordered").alias("question")),
+        F.struct(F.lit(0).alias("seq"), F.lit("ordered").alias("question")),
+    )
+    collection.upsert(docs.where("id % 3 = 1").select("id", F.inline(both)), order="seq")
+    collection.upsert(docs.where("id % 3 = 0").withColumns({"question": F.lit(None).cast("string"), "seq": F.lit(None).cast("int")}), order="seq")
+    return collection.read()
+
+
 @query("a11_sampled_ids", with_(POINTS, "k AS (SELECT id, row_number() OVER (ORDER BY md5('42:' || id), id) AS rn FROM points ORDER BY rn LIMIT 100), n AS (SELECT count(*) AS n FROM k)")
 + """SELECT id AS points, CASE WHEN rn > n - floor(n / 100.0::DOUBLE * 20) THEN 'valid' ELSE 'train' END AS cat FROM k, n""")
 def a11(spark, sf_dir):
@@ -241,7 +259,7 @@ def a18(spark, sf_dir):
     "SELECT doc_id AS id, text AS question, 'answer ' || doc_id AS answer, CAST(doc_id % 11 AS DOUBLE) AS rating FROM documents",
 )
 def i1(spark, sf_dir):
-    collection = Collection(spark, scratch_path(spark, "stream_points"), buckets=8)
+    collection = Collection(spark, scratch_path(spark, "stream_points"))
     schema = inputs.table(spark, sf_dir, "documents").schema
     arriving = stream_parts(spark, sf_dir, schema, "documents.parquet")
     as_payload = lambda df: df.select(
@@ -250,7 +268,23 @@ def i1(spark, sf_dir):
         F.concat(F.lit("answer "), F.col("doc_id").cast("string")).alias("answer"),
         (F.col("doc_id") % 11).cast("double").alias("rating"),
     )
-    upsert_stream(arriving, collection, scratch_path(spark, "stream_state"), as_payload).awaitTermination()
+    upsert_stream(arriving, collection, scratch_path(spark, "stream_state"), "id", as_payload).awaitTermination()
+    return collection.read()
+
+
+@query(
+    "i1_two_streams",
+    "SELECT doc_id AS id, 'second' AS question FROM documents UNION ALL SELECT -1 AS id, 'stored' AS question",
+)
+def i1_two_streams(spark, sf_dir):
+    """Two streams, one after the other, into a collection that holds rows already."""
+    collection = Collection(spark, scratch_path(spark, "two_streams"))
+    collection.upsert(spark.sql("SELECT -1L AS id, 'stored' AS question"), order="id")
+    schema = inputs.table(spark, sf_dir, "documents").schema
+    for word in ("first", "second"):
+        rows = lambda df, word=word: df.select(F.col("doc_id").alias("id"), F.lit(word).alias("question"))
+        arriving = stream_parts(spark, sf_dir, schema, "documents.parquet")
+        upsert_stream(arriving, collection, scratch_path(spark, f"state_{word}"), "id", rows).awaitTermination()
     return collection.read()
 
 
@@ -261,8 +295,8 @@ def i1(spark, sf_dir):
 def i2(spark, sf_dir):
     source = scratch_path(spark, "arriving_lines")
     dump_lines(spark, sf_dir).write.text(source)
-    collection = Collection(spark, scratch_path(spark, "stream_threads"), buckets=8)
+    collection = Collection(spark, scratch_path(spark, "stream_threads"))
     arriving = spark.readStream.text(source).withColumnRenamed("value", "line")
     parse = lambda df: ln.threads(ln.parse_lines(df)).select("id", "description", F.size("answers").cast("bigint").alias("n_answers"))
-    upsert_stream(arriving, collection, scratch_path(spark, "line_state"), parse).awaitTermination()
+    upsert_stream(arriving, collection, scratch_path(spark, "line_state"), "id", parse).awaitTermination()
     return collection.read()

@@ -396,7 +396,12 @@ def f5(spark, sf_dir):
     return ordering.random_sample(docs, "doc_id", 8, seed=11)
 
 
-@query("f6_sample_with_replacement")
+@query(
+    "f6_sample_with_replacement",
+    """WITH r AS (SELECT doc_id, lang, row_number() OVER (ORDER BY doc_id) AS rn, count(*) OVER () AS n FROM documents),
+d AS (SELECT i AS draw, CAST('0x' || substr(md5('42:' || i), 1, 15) AS BIGINT) % (SELECT max(n) FROM r) + 1 AS rn FROM range(512) t(i) WHERE i < (SELECT max(n) FROM r))
+SELECT d.draw, r.doc_id, r.lang FROM d JOIN r USING (rn)""",
+)
 def f6(spark, sf_dir):
     docs = inputs.table(spark, sf_dir, "documents").select("doc_id", "lang")
     return ordering.sample_with_replacement(docs, "doc_id", 512)

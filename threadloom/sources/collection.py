@@ -1,87 +1,100 @@
-"""Bucketed collection with last-write-wins upserts.
+"""Collection with last-write-wins upserts, kept as a base and deltas.
 
-Files are never changed in place. An upsert writes new versions of the buckets
-it touches and then a manifest (bucket -> version, at most one row per bucket);
-readers follow the newest manifest, so a failed write leaves the old state.
+A batch is written as a delta of its own rows; nothing that is stored is read or
+changed. A commit row then makes it visible: (version, folder, kind, source,
+batch). Versions are always allocated next; (source, batch) is the idempotence
+key of a stream's micro-batch, so a replayed one changes nothing and another
+stream, or a stream into a filled collection, loses nothing. Readers list the
+live folders only, from the newest base on, and merge by key; after some deltas
+they are folded into a new base. A failed write leaves the old state.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from threadloom.sources.tables import path_exists
 
+_COMMIT = "version bigint, folder string, kind string, source string, batch bigint"
+
 
 class Collection:
-    def __init__(self, spark: SparkSession, path: str, key: str = "id", buckets: int = 64):
-        self.spark, self.path, self.key, self.buckets = spark, path, key, buckets
+    def __init__(self, spark: SparkSession, path: str, key: str = "id", fold_after: int = 8):
+        self.spark, self.path, self.key, self.fold_after = spark, path, key, fold_after
 
-    def _manifest_dir(self) -> str:
-        return f"{self.path}/manifest"
+    def _log(self) -> DataFrame | None:
+        folder = f"{self.path}/commits"
+        if not path_exists(self.spark, folder):
+            return None
+        return self.spark.read.schema(_COMMIT).option("recursiveFileLookup", "true").parquet(folder)
 
     def version(self) -> int:
         """Newest committed version, -1 for an empty collection."""
-        if not path_exists(self.spark, self._manifest_dir()):
-            return -1
-        top = self.spark.read.parquet(self._manifest_dir()).agg(F.max("version")).first()[0]
+        log = self._log()
+        top = log.agg(F.max("version")).first()[0] if log is not None else None
         return -1 if top is None else int(top)
 
-    def _manifest(self, version: int) -> DataFrame:
-        return self.spark.read.parquet(f"{self._manifest_dir()}/version={version}")
+    def live(self) -> list[tuple[int, str]]:
+        """(version, folder) from the newest base on; at most ``fold_after`` deltas and a base."""
+        log = self._log()
+        if log is None:
+            return []
+        base = log.where("kind = 'base'").agg(F.max("version")).first()[0]
+        rows = log.where(F.col("version") >= F.lit(-1 if base is None else base)).collect()
+        return sorted((row["version"], row["folder"]) for row in rows)
 
-    def read(self) -> DataFrame:
-        version = self.version()
-        if version < 0:
+    def _merged(self) -> DataFrame:
+        parts = [
+            self.spark.read.parquet(f"{self.path}/{folder}").withColumn("_version", F.lit(version))
+            for version, folder in self.live()
+        ]
+        if not parts:
             raise FileNotFoundError(f"no committed version in {self.path}")
-        rows = self.spark.read.parquet(f"{self.path}/data")
-        # the manifest has at most ``buckets`` rows
-        current = F.broadcast(self._manifest(version))
-        return rows.join(current, ["bucket", "data_version"], "left_semi").drop(
-            "bucket", "data_version"
-        )
-
-    def upsert(self, batch: DataFrame, order: str | None = None, version: int | None = None) -> int:
+        rows = parts[0]
+        for part in parts[1:]:
+            rows = rows.unionByName(part, allowMissingColumns=True)
+        if len(parts) == 1:
+            return rows.drop("_version")  # the keys of one folder differ
+        others = [c for c in rows.columns if c not in (self.key, "_version")]
+        # one row a key and folder: the newest one, whole, NULL fields included
+        return rows.groupBy(self.key).agg(
+            F.max_by(F.struct(*others), F.col("_version")).alias("_row")
+        ).select(self.key, "_row.*")
+
+    def read(self) -> DataFrame:
+        return self._merged()
+
+    def _commit(self, rows: DataFrame, kind: str, source: str | None, batch: int | None) -> int:
+        version = self.version() + 1
+        folder = f"data/version={version:012d}-{uuid.uuid4().hex}"
+        rows.write.parquet(f"{self.path}/{folder}")
+        entry = self.spark.createDataFrame([(version, folder, kind, source, batch)], _COMMIT)
+        # fails if another writer has taken the version
+        entry.coalesce(1).write.mode("errorifexists").parquet(f"{self.path}/commits/{version:012d}")
+        return version
+
+    def upsert(self, batch: DataFrame, order: str, source: str | None = None, number: int | None = None) -> int:
         """Merge rows by key; the last write wins.
 
-        ``order`` decides between rows of one key inside the batch. Writing a
-        version that is already committed changes nothing, so a replayed batch
-        is harmless.
+        Inside the batch the row with the largest ``order`` counts, NULL being
+        the smallest; equal ones are told apart by a hash of the row. An order
+        column other than the key is not stored. ``source``
+        and ``number`` name a micro-batch: one that is committed is not written
+        again.
         """
-        current = self.version()
-        version = current + 1 if version is None else version
-        if version <= current:
-            return current
-        columns = [c for c in batch.columns if c != order]
-        newest = F.col(order) if order else F.lit(0)
+        if source is not None:
+            log = self._log()
+            if log is not None and log.where((F.col("source") == source) & (F.col("batch") == number)).take(1):
+                return self.version()
+        others = [c for c in batch.columns if c not in (order, self.key)]
+        if order == self.key:
+            others = [c for c in batch.columns if c != self.key]
+        newest = F.struct(F.col(order).isNotNull(), F.col(order), F.xxhash64(*batch.columns))
         # max_by combines before the shuffle: a key with very many rows stays cheap
-        fresh = batch.groupBy(self.key).agg(
-            F.max_by(F.struct(*[c for c in columns if c != self.key]), newest).alias("_row")
-        ).select(self.key, "_row.*")
-        fresh = fresh.withColumn(
-            "bucket", F.pmod(F.xxhash64(self.key), F.lit(self.buckets)).cast("int")
-        )
-        merged = fresh
-        carried = None
-        if current >= 0:
-            touched = F.broadcast(fresh.select("bucket").distinct())
-            stored = self.spark.read.parquet(f"{self.path}/data")
-            manifest = self._manifest(current)
-            old = stored.join(
-                F.broadcast(manifest.join(touched, "bucket", "left_semi")),
-                ["bucket", "data_version"],
-                "left_semi",
-            )
-            kept = old.drop("data_version").join(fresh.select(self.key), self.key, "left_anti")
-            merged = fresh.unionByName(kept)
-            carried = manifest.join(touched, "bucket", "left_anti")
-        target = f"{self.path}/data/data_version={version}"
-        merged.hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(target)
-        written = (
-            self.spark.read.parquet(target).select("bucket").distinct()
-            .withColumn("data_version", F.lit(version))
-        )
-        manifest = written if carried is None else written.unionByName(carried)
-        manifest.coalesce(1).write.mode("overwrite").parquet(
-            f"{self._manifest_dir()}/version={version}"
-        )
+        fresh = batch.groupBy(self.key).agg(F.max_by(F.struct(*others), newest).alias("_row")).select(self.key, "_row.*")
+        version = self._commit(fresh, "delta", source, number)
+        if len(self.live()) > self.fold_after:
+            version = self._commit(self._merged(), "base", None, None)
         return version

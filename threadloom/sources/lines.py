@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import ast
+import io
 import json
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
@@ -25,19 +27,45 @@ def read_lines(spark: SparkSession, path: str, partitions: int | None = None) ->
     return lines.repartition(partitions) if partitions else lines
 
 
+def read_zst_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Raw lines of a .zst dump. Spark's own codec needs a native library, so frames are unpacked in tasks.
+
+    The compressed file is one row (Spark's limit is 2 GB), its text is streamed.
+    """
+
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
+        for batch in batches:
+            for content in batch["content"]:
+                source = zstandard.ZstdDecompressor().stream_reader(io.BytesIO(content.as_py()), read_across_frames=True)
+                held, size = [], 0
+                for line in io.TextIOWrapper(source, encoding="utf-8", newline="\n"):
+                    held.append(line.rstrip("\r\n"))
+                    size += len(line)
+                    if size > 4 << 20:
+                        yield pa.RecordBatch.from_pydict({"line": held})
+                        held, size = [], 0
+                if held:
+                    yield pa.RecordBatch.from_pydict({"line": held})
+
+    files = spark.read.format("binaryFile").load(path).select("content")
+    return files.mapInArrow(unpack, "line string").hint("rebalance")
+
+
 def _to_json(line: str) -> str | None:
     try:
         value = ast.literal_eval(line.strip())
-    except (ValueError, SyntaxError, MemoryError, RecursionError):
+        return json.dumps(value, ensure_ascii=False) if isinstance(value, dict) else None
+    except (ValueError, TypeError, SyntaxError, MemoryError, RecursionError):
         return None
-    return json.dumps(value, ensure_ascii=False) if isinstance(value, dict) else None
 
 
 def parse_lines(lines: DataFrame, schema: T.StructType = schemas.THREAD) -> DataFrame:
     """line -> (line, record, rejected).
 
     Lines that are not JSON are tried as Python literals, which never run code;
-    what is neither is marked as rejected.
+    what is neither, or does not fit the schema's types, is marked as rejected.
     """
     with_corrupt = T.StructType(schema.fields + [T.StructField("_bad", T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}
@@ -51,12 +79,14 @@ def parse_lines(lines: DataFrame, schema: T.StructType = schemas.THREAD) -> Data
 
     # good lines pass NULL to Python, so only the others are parsed there
     rest = parsed.withColumn("_t", literal(F.when(~plain, F.col("line"))))
-    rest = _once(rest, "_r", F.from_json("_t", schema))
-    fields = F.struct(*[F.col(f"_p.{name}").alias(name) for name in schema.fieldNames()])
-    rejected = ~plain & F.col("_t").isNull()
+    # a field of another type than the schema's rejects the line here too
+    rest = _once(rest, "_r", F.from_json("_t", with_corrupt, options))
+    fields = lambda of: F.struct(*[F.col(f"{of}.{name}").alias(name) for name in schema.fieldNames()])
+    literal_fits = F.col("_t").isNotNull() & F.col("_r").isNotNull() & F.col("_r._bad").isNull()
+    rejected = ~plain & ~literal_fits
     return rest.select(
         "line",
-        F.when(plain, fields).otherwise(F.col("_r")).alias("record"),
+        F.when(plain, fields("_p")).when(literal_fits, fields("_r")).alias("record"),
         rejected.alias("rejected"),
     )
 

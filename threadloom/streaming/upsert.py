@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,13 +27,19 @@ def upsert_stream(
     rows: DataFrame,
     collection: Collection,
     checkpoint: str,
+    order: str,
     prepare: Callable[[DataFrame], DataFrame] = lambda df: df,
-    order: str | None = None,
 ) -> StreamingQuery:
-    """Upsert every micro-batch; the batch number is the version, so replays are no-ops."""
+    """Upsert every micro-batch under the stream's own id and batch number.
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        collection.upsert(prepare(batch), order=order, version=batch_id)
+    The id is that of the checkpoint, so a replay after a failure is a no-op,
+    while a fresh checkpoint or a second stream writes its own batches.
+    """
+    spark = rows.sparkSession
+
+    def write(batch: DataFrame, number: int) -> None:
+        stream = json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+        collection.upsert(prepare(batch), order, source=stream, number=number)
 
     return (
         rows.writeStream.foreachBatch(write)
