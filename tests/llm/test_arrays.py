@@ -155,3 +155,16 @@ def test_plan_places_every_piece_once(seed):
         top[sequence] = max(top[sequence], p + 1)
     assert (top == used).all()
     assert sequences <= -(-total // capacity) * 1.02 + 2
+
+
+def test_wide_sketches_bound_the_difference_after_folding():
+    rng = np.random.default_rng(3)
+    base = np.unique(rng.integers(1, 1 << 63, size=2300, dtype=np.uint64))
+    a, b = base[:2040], base[100:2300]
+    words, sizes = similar._wide_sketches(np.array([len(a), len(b), 5]), np.concatenate([a, b, base[:5]]))
+    assert sizes.tolist() == [32, 64, 0]
+    words = words.view(np.uint64)
+    x, y = words[:32], words[32:]
+    y = y[:32] ^ y[32:]
+    differing = len(np.setxor1d(a, b))
+    assert 0 < int(np.bitwise_count(x ^ y).sum()) <= differing
