@@ -44,7 +44,7 @@ def dump_lines(spark, sf_dir):
 def parsed_dump(spark, sf_dir):
     path = scratch_path(spark, "dump")
     dump_lines(spark, sf_dir).write.option("compression", "gzip").text(path)
-    return ln.parse_lines(ln.read_lines(spark, path, spark.sparkContext.defaultParallelism))
+    return ln.parse_lines(ln.read_lines(spark, path))
 
 
 @query(

@@ -21,10 +21,11 @@ ROWS_PER_FILE = 1_000_000
 def read_lines(spark: SparkSession, path: str, partitions: int | None = None) -> DataFrame:
     """Raw lines of a (possibly compressed) dump, spread over the cluster.
 
-    A compressed frame is read by one task, so rows are redistributed at once.
+    A compressed frame is read by one task, so rows are redistributed at once,
+    into partitions of the advised size unless a number is given.
     """
     lines = spark.read.text(path).withColumnRenamed("value", "line")
-    return lines.repartition(partitions) if partitions else lines
+    return lines.repartition(partitions) if partitions else lines.hint("rebalance")
 
 
 def read_zst_lines(spark: SparkSession, path: str) -> DataFrame:

@@ -18,12 +18,10 @@ def read_parts(spark: SparkSession, path: str, schema: T.StructType | None = Non
 def read_spread(spark: SparkSession, path: str) -> DataFrame:
     """A table for row work that costs more than moving the rows.
 
-    A table of fewer splits than the cluster has cores is redistributed, so
-    the work does not sit on one core; larger tables are read as they are.
+    Rows are dealt evenly over partitions of the advised size, whatever the
+    splits of the files are.
     """
-    rows = spark.read.parquet(path)
-    cores = spark.sparkContext.defaultParallelism
-    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores)
+    return spark.read.parquet(path).hint("rebalance")
 
 
 def write_table(df: DataFrame, path: str, partition_by: str | None = None, mode: str = "overwrite") -> None:
