@@ -24,7 +24,8 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.linalg import SparseVector, VectorUDT
+from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from threadloom.llm import words as W
@@ -33,14 +34,15 @@ from threadloom.llm.base import query, table, written
 GRAMS = (3, 4, 5)
 BITS = 20
 TRAIN_ROWS = 20_000
-FEATURES = 1 << 15
+FEATURES = 1 << 14
 MIN_TEXTS, MIN_Z = 5, 3.0
+SLICE_BYTES = 1 << 19  # hashes of a slice take some two hundred bytes a character
 _U = np.uint64
 
 
 def _grams(column: pa.Array) -> Iterator[tuple[int, int, list[tuple[np.ndarray, np.ndarray]]]]:
     """(row, rows, [(text numbers, buckets) for each n]) of runs of texts, ASCII letters lowered."""
-    for row, data, offsets in W.slices(column):
+    for row, data, offsets in W.slices(column, SLICE_BYTES):
         low = W.lower_ascii(data)
         characters = np.frombuffer(low.tobytes().decode("utf-8", "replace").encode("utf-32-le"), dtype="<u4")
         begins = (low & 0xC0) != 0x80
@@ -137,16 +139,17 @@ def fit(labelled: DataFrame, train_rows: int = TRAIN_ROWS) -> Model:
             for row, rows, grams in _grams(batch[1]):
                 own, bucket = _present(rows, grams, wanted)
                 bounds = np.concatenate([[0], np.cumsum(np.bincount(own, minlength=rows))]).astype(np.int32)
-                places = np.searchsorted(known, bucket).astype(np.int32)
+                places = pa.array(bucket).cast(pa.string())
                 yield pa.RecordBatch.from_arrays(
-                    [batch[0].slice(row, rows).cast(pa.float64()), pa.ListArray.from_arrays(pa.array(bounds), pa.array(places))], names=["label", "places"]
+                    [batch[0].slice(row, rows).cast(pa.float64()), pa.ListArray.from_arrays(pa.array(bounds), places)], names=["label", "places"]
                 )
 
-    size = len(buckets)
-    vector = F.udf(lambda places: SparseVector(size, places, [ratios[p] for p in places]), VectorUDT())
-    rows = sample.mapInArrow(features, "label double, places array<int>").select("label", vector("places").alias("features"))
+    rows = written(sample.mapInArrow(features, "label double, places array<string>"), "features")
+    vocabulary = CountVectorizerModel.from_vocabulary([str(b) for b in buckets], "places", "present")
+    scale = ElementwiseProduct(scalingVec=Vectors.dense(ratios), inputCol="present", outputCol="features")
+    scaled = scale.transform(vocabulary.setBinary(True).transform(rows)).select("label", "features")
     # without standardisation: the ratios are the scale of the features
-    model = LogisticRegression(maxIter=60, regParam=1e-4, standardization=False, tol=1e-5).fit(written(rows, "features"))
+    model = LogisticRegression(maxIter=60, regParam=1e-4, standardization=False, tol=1e-5).fit(scaled)
     return Model(buckets, model.coefficients.toArray() * ratios, float(model.intercept))
 
 
