@@ -35,7 +35,7 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     if "n_chars" in docs.columns:
         kind = dict(docs.dtypes)["n_chars"]
         changed["n_chars"] = F.when(F.col("__n_deleted") > 0, F.length("__kept_text").cast(kind)).otherwise(F.col("n_chars"))
-    return done.withColumns(changed).select(*docs.columns)
+    return done.withColumns(changed).select(*[f"`{name}`" for name in docs.columns])
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
