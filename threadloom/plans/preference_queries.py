@@ -223,7 +223,7 @@ def split_words():
     """Small word tokenizer for the joint UDF: words hashed like the built-in one."""
     import hashlib
 
-    return lambda text: [int(hashlib.md5(w.encode()).hexdigest()[:7], 16) for w in text.split(" ") if w]
+    return lambda text: [int(hashlib.md5(w.encode()).hexdigest()[:15], 16) for w in text.split(" ") if w]
 
 
 @query(

@@ -614,6 +614,26 @@ def j2(spark, sf_dir):
     return found.select("qid", "id", rt.token_overlap(F.col("q_question"), F.col("question")).alias("score"))
 
 
+def overlap_model():
+    """A caller's pair scorer: shared distinct words over all distinct words."""
+
+    def score(pairs):
+        sets = [[{w for w in text.lower().split(" ") if w} for text in pair] for pair in pairs]
+        return [round(len(a & b) / len(a | b), 6) if a | b else 0.0 for a, b in sets]
+
+    return score
+
+
+@query(
+    "j2_caller_scorer",
+    with_(POINTS, WORDS, DENSE, ranked("d", "dense", 3))
+    + f"SELECT d.qid, d.id, {OVERLAP} AS score FROM d JOIN word_sets q ON q.id = d.qid JOIN word_sets p ON p.id = d.id",
+)
+def j2_caller(spark, sf_dir):
+    scorer = models.pair_scorer(overlap_model)
+    return _neighbours(spark, sf_dir, 3).select("qid", "id", scorer(F.col("q_question"), F.col("question")).alias("score"))
+
+
 @query("h15_token_count", "SELECT doc_id, len(list_filter(string_split(text, ' '), lambda w: w <> '')) AS n_tokens FROM documents")
 def h15(spark, sf_dir):
     docs = inputs.table(spark, sf_dir, "documents")
@@ -642,3 +662,20 @@ def h4(spark, sf_dir):
     found = rt.context_rows(queries, pts, dense_topk(queries, pts, 100))
     texts = F.transform(F.array_sort(F.collect_list(F.struct("rank", "question"))), lambda r: r["question"])
     return found.groupBy("qid").agg(tx.numbered_documents(texts).alias("texts"))
+
+
+def hashed_words():
+    """A caller's tokenizer: words hashed like the built-in one."""
+    import hashlib
+
+    return lambda text: [int(hashlib.md5(w.encode()).hexdigest()[:15], 16) for w in text.split(" ") if w]
+
+
+@query(
+    "j7_caller_tokenizer",
+    f"SELECT doc_id, array_to_string({inputs.word_ids_sql('text')}, ' ') AS ids FROM documents",
+)
+def j7_caller(spark, sf_dir):
+    docs = inputs.spread(spark, sf_dir, "documents")
+    ids = models.tokenizer_udf(hashed_words)(F.col("text")).cast("array<string>")
+    return docs.select("doc_id", F.array_join(ids, " ").alias("ids"))
