@@ -619,7 +619,7 @@ def overlap_model():
 
     def score(pairs):
         sets = [[{w for w in text.lower().split(" ") if w} for text in pair] for pair in pairs]
-        return [round(len(a & b) / len(a | b), 6) if a | b else 0.0 for a, b in sets]
+        return [len(a & b) / len(a | b) if a | b else 0.0 for a, b in sets]
 
     return score
 
@@ -631,7 +631,8 @@ def overlap_model():
 )
 def j2_caller(spark, sf_dir):
     scorer = models.pair_scorer(overlap_model)
-    return _neighbours(spark, sf_dir, 3).select("qid", "id", scorer(F.col("q_question"), F.col("question")).alias("score"))
+    score = F.round(scorer(F.col("q_question"), F.col("question")), 6)
+    return _neighbours(spark, sf_dir, 3).select("qid", "id", score.alias("score"))
 
 
 @query("h15_token_count", "SELECT doc_id, len(list_filter(string_split(text, ' '), lambda w: w <> '')) AS n_tokens FROM documents")
