@@ -33,6 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from threadloom.llm import words as W
@@ -41,6 +42,7 @@ from threadloom.llm.components import components
 
 SHINGLE = 5
 SKETCH_WORDS = 16
+WIDE_FROM = 1024  # larger sets crowd the small sketch
 FIRST_BAND = 4  # sets below this size are similar only when equal
 _GROUPS = 0.32  # groups of an instance for each shingle at the lower edge of its band
 _U = np.uint64
@@ -150,6 +152,20 @@ def _sketches(counts: np.ndarray, grams: np.ndarray) -> np.ndarray:
     return np.packbits(odd.reshape(out.shape), axis=1).view(np.int64)
 
 
+def _wide_sketches(counts: np.ndarray, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(words, words of each set): a parity sketch with a bit or more for each shingle of a large set."""
+    sizes = np.zeros(len(counts), dtype=np.int64)
+    begin = np.cumsum(counts) - counts
+    found = []
+    for k in np.flatnonzero(counts >= WIDE_FROM).tolist():
+        bits = 1 << int(counts[k] - 1).bit_length()
+        slot = (W.mix(grams[begin[k] : begin[k] + counts[k]]) & _U(bits - 1)).astype(np.int64)
+        odd = np.bincount(slot, minlength=bits).astype(np.uint8) & 1
+        found.append(np.packbits(odd).view(np.int64))
+        sizes[k] = bits // 64
+    return np.concatenate(found) if found else np.zeros(0, dtype=np.int64), sizes
+
+
 def _class_hashes(counts: np.ndarray, grams: np.ndarray) -> np.ndarray:
     """Hash of the whole set; 0 for an empty one."""
     full = np.flatnonzero(counts)
@@ -160,7 +176,7 @@ def _class_hashes(counts: np.ndarray, grams: np.ndarray) -> np.ndarray:
 
 _SET_SCHEMA = (
     "doc_id {kind}, row_hash bigint, n_shingles bigint, class bigint, "
-    "sketch array<bigint>, signatures array<bigint>"
+    "sketch array<bigint>, wide array<bigint>, signatures array<bigint>"
 )
 
 
@@ -179,10 +195,10 @@ def set_table(rows: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch[0].slice(row, n), batch[1].slice(row, n), pa.array(counts), pa.array(_class_hashes(counts, grams)),
-                        _list(_sketches(counts, grams).ravel(), np.full(n, SKETCH_WORDS)),
+                        _list(_sketches(counts, grams).ravel(), np.full(n, SKETCH_WORDS)), _list(*_wide_sketches(counts, grams)),
                         _list(sig, np.bincount(own, minlength=n)),
                     ],
-                    names=["doc_id", "row_hash", "n_shingles", "class", "sketch", "signatures"],
+                    names=["doc_id", "row_hash", "n_shingles", "class", "sketch", "wide", "signatures"],
                 )
 
     return rows.mapInArrow(scan, _SET_SCHEMA.format(kind=dict(rows.dtypes)["doc_id"]))
@@ -196,36 +212,59 @@ def _close(na: Column, a: Column, nb: Column, b: Column) -> Column:
     return (F.least(na, nb) * 5 >= F.greatest(na, nb) * 4) & (differing * 9 <= na + nb)
 
 
+def _wide_close(na: Column, a: Column, nb: Column, b: Column) -> Column:
+    """The same bound from the wide sketches, where both sets have one; the longer is folded first."""
+
+    def folded(x: Column, other: Column) -> Column:
+        half = F.size(other)
+        both = F.zip_with(F.slice(x, 1, half), F.slice(x, half + 1, half), lambda p, q: p.bitwiseXOR(q))
+        return F.when(F.size(x) > half, both).otherwise(x)
+
+    apart = F.zip_with(folded(a, b), folded(b, a), lambda p, q: F.bit_count(p.bitwiseXOR(q)))
+    differing = F.aggregate(apart, F.lit(0), lambda total, x: total + x)
+    return F.when((F.size(a) == 0) | (F.size(b) == 0), F.lit(True)).otherwise(differing * 9 <= na + nb)
+
+
 def _verified(rows: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs (a, b) of classes whose sets are similar.
+    """The written pairs (a, b) of classes whose sets are similar.
 
     The sets of the classes in question are made again from one text each; a
-    filter of fixed size over those rows' hashes spares the other texts.
+    filter of fixed size over those rows' hashes spares the other texts. The
+    pairs are small beside the sets, which move once, to the smaller class.
     """
     pairs = pairs.select("a", "b")
     nodes = pairs.select(F.col("a").alias("class")).unionByName(pairs.select(F.col("b").alias("class"))).distinct()
-    asked = classes.join(nodes, "class", "left_semi").select("rep")
+    asked = written(classes.join(nodes, "class", "left_semi").select("class", "rep"), "asked")
     shared = rows.sparkSession.sparkContext.broadcast(bitmap(asked, "rep"))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.frombuffer(shared.value, dtype=np.int64)
+        seen = np.zeros(0, dtype=np.uint64)  # a repeated row gives its set once in a task
         for batch in batches:
             hashes = batch[0].to_numpy(zero_copy_only=False).view(np.uint64)
-            texts = batch[1].filter(pa.array(in_bitmap(bits, hashes)))
-            for _, counts, grams in _shingle_sets(texts):
+            wanted = np.flatnonzero(in_bitmap(bits, hashes) & ~np.isin(hashes, seen))
+            fresh, first = np.unique(hashes[wanted], return_index=True)
+            seen = np.concatenate([seen, fresh])
+            taken = batch.take(pa.array(wanted[first]))
+            for row, counts, grams in _shingle_sets(taken[1]):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(_class_hashes(counts, grams)), _list(grams, counts)], names=["class", "shingles"]
+                    [taken[0].slice(row, len(counts)), pa.array(_class_hashes(counts, grams)), _list(grams, counts)], names=["rep", "class", "shingles"]
                 )
 
-    sets = rows.select("row_hash", "text").mapInArrow(scan, "class bigint, shingles array<bigint>")
-    sets = written(sets.join(nodes, "class", "left_semi"), "sets-in-question").dropDuplicates(["class"])
+    made = rows.select("row_hash", "text").mapInArrow(scan, "rep bigint, class bigint, shingles array<bigint>")
+    sets = made.join(asked, ["class", "rep"], "left_semi").select("class", "shingles").persist(StorageLevel.DISK_ONLY)
+    firsts = sets.join(pairs.select(F.col("a").alias("class")).distinct(), "class", "left_semi")
     both = F.size(F.array_intersect("x", "y"))
-    return (
-        pairs.join(sets.select(F.col("class").alias("b"), F.col("shingles").alias("y")), "b")
-        .join(sets.select(F.col("class").alias("a"), F.col("shingles").alias("x")), "a")
+    found = written(
+        sets.select(F.col("class").alias("b"), F.col("shingles").alias("y")).join(pairs, "b")
+        .join(firsts.select(F.col("class").alias("a"), F.col("shingles").alias("x")), "a")
         .where(both * 100 >= (F.size("x") + F.size("y") - both) * 80)
-        .select("a", "b")
+        .select("a", "b").distinct(),
+        "links",
     )
+    sets.unpersist()
+    shared.unpersist()
+    return found
 
 
 def _labelled(members: DataFrame, labels: DataFrame | None) -> DataFrame:
@@ -245,7 +284,7 @@ def similar_documents(documents: DataFrame, doc_id: str = "doc_id", text: str =
     classes = written(
         full.groupBy("class").agg(
             F.min("doc_id").alias("low_id"), F.min("row_hash").alias("rep"), F.count("*").alias("copies"),
-            F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"),
+            F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"), F.first("wide").alias("wide"),
         ),
         "classes",
     )
@@ -265,33 +304,52 @@ def similar_documents(documents: DataFrame, doc_id: str = "doc_id", text: str =
     )
     members = written(signed.join(shared.hint("shuffle_hash"), "signature").distinct(), "members")
     facts = classes.select("class", "n", "sketch")
+    large = classes.where(F.size("wide") > 0).select("class", "n", "wide")
 
     def bounded(pairs: DataFrame) -> DataFrame:
+        """The pairs that the small sketches leave."""
         side = lambda k: facts.select(F.col("class").alias(k), F.col("n").alias(f"n_{k}"), F.col("sketch").alias(f"s_{k}"))
-        return pairs.join(side("a"), "a").join(side("b"), "b").where(
-            _close(F.col("n_a"), F.col("s_a"), F.col("n_b"), F.col("s_b"))
+        left = pairs.join(side("a"), "a").join(side("b"), "b")
+        return left.where(_close(F.col("n_a"), F.col("s_a"), F.col("n_b"), F.col("s_b"))).select(*pairs.columns)
+
+    def narrowed(pairs: DataFrame) -> DataFrame:
+        """Of written pairs those that the wide sketches leave; only large sets have one."""
+        side = lambda k: large.select(F.col("class").alias(k), F.col("n").alias(f"n_{k}"), F.col("wide").alias(f"w_{k}"))
+        apart = (
+            pairs.join(side("a"), "a").join(side("b"), "b")
+            .where(~_wide_close(F.col("n_a"), F.col("w_a"), F.col("n_b"), F.col("w_b"))).select("a", "b")
         )
+        return pairs.join(written(apart, "apart"), ["a", "b"], "left_anti")
 
-    links, labels = None, None
+    links, labels, tested = None, None, None
+    placed = members.withColumn("component", F.col("class"))  # every bucket has several components yet
     while True:
-        placed = _labelled(members, labels)
         anchor = placed.groupBy("signature").agg(F.min(F.struct("component", "class")).alias("anchor"))
         offered = (
             placed.join(anchor, "signature").where("component <> anchor.component")
             .groupBy(F.col("anchor.class").alias("a"), F.col("class").alias("b")).agg(F.count("*").alias("common"))
         )
-        best = bounded(offered).groupBy("b").agg(F.max_by("a", F.struct("common", "a")).alias("a"))
-        found = written(_verified(rows, classes, written(best, "offers")), "links")
-        if found.isEmpty():
+        if tested is not None:
+            offered = offered.join(tested, ["a", "b"], "left_anti")
+        near = narrowed(written(bounded(offered), "near"))
+        offers = written(near.groupBy("b").agg(F.max_by("a", F.struct("common", "a")).alias("a")).select("a", "b"), "offers")
+        found = _verified(rows, classes, offers)
+        tested = offers if tested is None else tested.unionByName(offers)
+        won = found.count()
+        if won:
+            links = found if links is None else links.unionByName(found)
+            labels = written(components(links), "labels")
+            # buckets whose members are all of one component have nothing left to compare
+            relabelled = _labelled(placed.select("signature", "class"), labels)
+            mixed = (
+                relabelled.groupBy("signature").agg(F.min("component").alias("c"), F.max("component").alias("d"))
+                .where("c <> d").select("signature")
+            )
+            placed = written(relabelled.join(mixed, "signature", "left_semi"), "placed")
+        if won * 20 <= offers.count():  # anchors join little more; the exhaustive step is as good
             break
-        links = found if links is None else links.unionByName(found)
-        labels = written(components(links), "labels")
     # what no anchor has joined: pairs across components within a bucket
-    placed = _labelled(members, labels)
-    mixed = placed.groupBy("signature").agg(F.min("component").alias("c"), F.max("component").alias("d")).where("c <> d").select("signature")
-    open_rows = written(
-        placed.join(mixed, "signature", "left_semi").join(facts, "class"), "open-members"
-    )
+    open_rows = written(placed.join(facts, "class"), "open-members")
     x, y = open_rows.alias("x"), open_rows.alias("y")
     crossing = (
         x.join(
@@ -304,14 +362,15 @@ def similar_documents(documents: DataFrame, doc_id: str = "doc_id", text: str =
         .select(F.col("x.class").alias("a"), F.col("y.class").alias("b"))
         .distinct()
     )
-    found = written(_verified(rows, classes, written(crossing, "crossing")), "links")
+    pairs = crossing.join(tested, ["a", "b"], "left_anti").join(tested.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti")
+    found = _verified(rows, classes, written(narrowed(written(pairs, "near")), "crossing"))
     if not found.isEmpty():
         links = found if links is None else links.unionByName(found)
         labels = written(components(links), "labels")
     placed = _labelled(classes.select("class", "low_id"), labels)
     ids = placed.groupBy("component").agg(F.min("low_id").alias("component_id"))
     named = placed.select("class", "component").join(ids, "component").select("class", "component", "component_id")
-    return sets.join(named, "class", "left").select(
+    return sets.select("doc_id", "row_hash", "n_shingles", "class").join(named, "class", "left").select(
         "doc_id", "row_hash", "n_shingles", "component", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")
     )
 
