@@ -228,6 +228,20 @@ def test_disclosure(spark):
     assert disclosure.find_all(frame(spark, [])).count() == 0
 
 
+def test_disclosure_beside_repeated_wording(spark):
+    """One signature line under many different texts; copies of a whole text count once."""
+    rng = random.Random(16)
+    line = "\n-- \nregards quenzia your helpful friend at the desk quenzia@mail.example or write back here soon to all of us"
+    rows = [(k, sentence(rng, 40) + line) for k in range(30)] + [(40 + k, sentence(rng, 40)) for k in range(400)]
+    rows += [(500, "quenzia was seen"), (501, "the desk")] + [(600 + k, f"the helpful friend of all {sentence(rng, 9)}") for k in range(200)]
+    copied = f"{sentence(rng, 20)} murkwold bob@mail.example"
+    rows += [(900 + k, copied) for k in range(9)]
+    texts = dict(rows)
+    got = {r["doc_id"]: {texts[r["doc_id"]][t["start"] : t["end"]] for t in r["terms"]} for r in disclosure.find_all(frame(spark, rows)).collect()}
+    assert got[500] == {"quenzia"} and "quenzia" in got[0]
+    assert not got[600] and "friend" not in got[0] and not got[900]
+
+
 def test_toxicity(spark):
     rng = random.Random(9)
     rows = [(k, sentence(rng, 60) + (" vilewretch " if k % 4 == 0 else " ") + sentence(rng, 60)) for k in range(400)]

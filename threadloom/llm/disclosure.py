@@ -5,15 +5,16 @@ values are the protected entities. The corpus then tells which words give an
 entity away. A word's disclosure of an entity is its pointwise mutual
 information with the entity over the entity's own information content,
 PMI(e; t) / IC(e): 1 when the word is only ever met beside the entity, 0 when
-the two are independent. Co-occurrence is counted over distinct contexts (the
-``NEAR`` words on either side of a mention), word frequency over distinct texts,
-so copies are no evidence. A word met in ``SUPPORT`` contexts of an entity whose
-disclosure reaches ``GENERALISE`` is masked wherever it occurs, from ``REMOVE``
-on it is taken out.
-
-The contexts are few and small. Word frequencies are needed for words of those
-contexts only: a filter of fixed size over them spares the rest of the corpus
-from leaving the scan, an exact join follows. Results depend on the text alone
+the two are independent. Entities, words and words beside an entity (among the
+``NEAR`` words on either side of a mention) are all counted in distinct texts,
+so copies of a text are no evidence, while equal wording in different texts is.
+A word that ``SUPPORT`` texts have beside an entity and whose disclosure reaches
+``GENERALISE`` is masked wherever it occurs, from ``REMOVE`` on it is taken out.
+
+Mentions are few and their words small. Word frequencies are needed for words
+beside mentions only: a filter of fixed size over them spares the rest of the
+corpus from leaving the scan, an exact join follows. A second scan finds where
+the disclosing words occur. Results depend on the text alone
 and are joined back by its hash and length.
 
 Offsets are code points, ends exclusive. Defined results: null and empty texts
@@ -24,7 +25,6 @@ not read.
 
 from __future__ import annotations
 
-import hashlib
 import re
 from collections.abc import Iterator
 
@@ -119,45 +119,87 @@ def _hashes(words: list[str]) -> list[int]:
 
 _FOUND = (
     "doc_id {kind}, text_hash bigint, text_length int, spans array<struct<kind:string, start:int, end:int>>, "
-    "contexts array<struct<entity:string, context:bigint, terms:array<struct<term:bigint, word:string>>>>"
+    "mentions array<struct<entity:string, terms:array<struct<term:bigint, word:string>>>>"
 )
 
 
 def find_base(rows: DataFrame) -> DataFrame:
-    """Pattern spans and mention contexts of every row (doc_id, text_hash, text_length, text)."""
+    """Pattern spans of every row (doc_id, text_hash, text_length, text), and the words beside each of its entities, once."""
     span = pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())])
     term = pa.struct([("term", pa.int64()), ("word", pa.string())])
-    context = pa.struct([("entity", pa.string()), ("context", pa.int64()), ("terms", pa.list_(term))])
+    mention = pa.struct([("entity", pa.string()), ("terms", pa.list_(term))])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             spans_of: list = [[] for _ in range(batch.num_rows)]
-            contexts_of: list = [[] for _ in range(batch.num_rows)]
+            mentions_of: list = [[] for _ in range(batch.num_rows)]
             for row, data, offsets in W.slices(batch[3]):
                 telling = np.flatnonzero(((data >= 48) & (data <= 57)) | (data == 64))
                 for k in np.unique(np.searchsorted(offsets, telling, side="right") - 1).tolist():
                     text = data[offsets[k] : offsets[k + 1]].tobytes().decode()
                     spans = base_spans(text)
                     spans_of[row + k] = [{"kind": kind, "start": s, "end": e} for kind, s, e in spans]
+                    beside: dict[str, dict[str, None]] = {}
                     for kind, s, e in spans:
-                        words = _context(text, s, e, spans)
-                        digest = hashlib.blake2b("\n".join(words).encode(), digest_size=8).digest()
-                        distinct = list(dict.fromkeys(words))
-                        contexts_of[row + k].append(
-                            {
-                                "entity": _entity(kind, text[s:e]),
-                                "context": int.from_bytes(digest, "little", signed=True),
-                                "terms": [{"term": h, "word": w} for h, w in zip(_hashes(distinct), distinct)],
-                            }
-                        )
+                        beside.setdefault(_entity(kind, text[s:e]), {}).update(dict.fromkeys(_context(text, s, e, spans)))
+                    mentions_of[row + k] = [
+                        {"entity": entity, "terms": [{"term": h, "word": w} for h, w in zip(_hashes(list(words)), words)]}
+                        for entity, words in beside.items()
+                    ]
             yield pa.RecordBatch.from_arrays(
-                [batch[0], batch[1], batch[2], pa.array(spans_of, pa.list_(span)), pa.array(contexts_of, pa.list_(context))],
-                names=["doc_id", "text_hash", "text_length", "spans", "contexts"],
+                [batch[0], batch[1], batch[2], pa.array(spans_of, pa.list_(span)), pa.array(mentions_of, pa.list_(mention))],
+                names=["doc_id", "text_hash", "text_length", "spans", "mentions"],
             )
 
     return rows.select("doc_id", "text_hash", "text_length", "text").mapInArrow(scan, _FOUND.format(kind=dict(rows.dtypes)["doc_id"]))
 
 
+def _frequency(rows: DataFrame, found: DataFrame, terms: DataFrame) -> DataFrame:
+    """term and its distinct texts, of the words that may be among ``terms``.
+
+    Texts that stand there once are summed up where they are read; only those a
+    filter takes for copies are sent with their words.
+    """
+    copied = found.groupBy("text_hash", "text_length").count().where("count > 1")
+    shared = rows.sparkSession.sparkContext.broadcast((bitmap(terms, "term"), bitmap(copied, "text_hash")))
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted, copies = (np.frombuffer(b, dtype=np.int64) for b in shared.value)
+        for batch in batches:
+            copy = in_bitmap(copies, batch[0].to_numpy().view(np.uint64))
+            for row, data, offsets in W.slices(batch[2]):
+                low = W.lower_ascii(data)
+                starts, ends, owner = W.spans(low, offsets, _LETTERS)
+                if not len(starts):
+                    continue
+                hashes = W.span_hashes(low, starts, ends)
+                hit = in_bitmap(wanted, hashes)
+                own, term = owner[hit] + row, hashes[hit]
+                order = np.lexsort((term, own))
+                own, term = own[order], term[order]
+                new = np.ones(len(own), dtype=bool)
+                new[1:] = (own[1:] != own[:-1]) | (term[1:] != term[:-1])
+                own, term = own[new], term[new]
+                among = copy[own]
+                single, n = np.unique(term[~among], return_counts=True)
+                sent = pa.array(own[among])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.concat_arrays([pa.nulls(len(single), pa.int64()), batch[0].take(sent)]),
+                        pa.concat_arrays([pa.nulls(len(single), pa.int32()), batch[1].take(sent)]),
+                        pa.array(np.concatenate([single, term[among]]).view(np.int64)),
+                        pa.array(np.concatenate([n, np.ones(len(sent), dtype=np.int64)])),
+                    ],
+                    names=["text_hash", "text_length", "term", "n"],
+                )
+
+    counts = rows.select("text_hash", "text_length", "text").mapInArrow(scan, "text_hash bigint, text_length int, term bigint, n bigint")
+    return (
+        counts.groupBy("text_hash", "text_length", "term").agg(F.sum("n").alias("n"))
+        .groupBy("term").agg(F.sum(F.when(F.col("text_hash").isNull(), F.col("n")).otherwise(1)).alias("texts"))
+    )
+
+
 def _occurrences(rows: DataFrame, terms: DataFrame) -> DataFrame:
     """text_hash, text_length, term, start, end of the words that may be among ``terms``."""
     shared = rows.sparkSession.sparkContext.broadcast(bitmap(terms, "term"))
@@ -186,16 +228,15 @@ def _occurrences(rows: DataFrame, terms: DataFrame) -> DataFrame:
     ).join(terms.select("term").distinct(), "term", "left_semi")
 
 
-def disclosing_terms(found: DataFrame, occurrences: DataFrame | None, pairs: DataFrame, entities: DataFrame) -> DataFrame:
+def disclosing_terms(found: DataFrame, frequency: DataFrame, pairs: DataFrame, entities: DataFrame) -> DataFrame:
     """term, word, disclosure (the largest over entities) of the terms that reach the threshold."""
     texts = found.select("text_hash", "text_length").distinct().count()
-    frequency = occurrences.select("text_hash", "text_length", "term").distinct().groupBy("term").agg(F.count("*").alias("texts"))
     joint = F.least(F.col("together"), F.col("texts"))
-    pmi = F.log2(joint * F.lit(float(texts)) / (F.col("contexts") * F.col("texts")))
-    content = F.log2(F.lit(float(texts)) / F.col("contexts"))
+    pmi = F.log2(joint * F.lit(float(texts)) / (F.col("entity_texts") * F.col("texts")))
+    content = F.log2(F.lit(float(texts)) / F.col("entity_texts"))
     return (
         pairs.join(entities, "entity").join(frequency, "term")
-        .where(F.col("contexts") < texts)
+        .where(F.col("entity_texts") < texts)
         .withColumn("disclosure", pmi / content)
         .groupBy("term").agg(F.max("disclosure").alias("disclosure"), F.min("word").alias("word"))
         .where(F.col("disclosure") >= GENERALISE)
@@ -207,16 +248,19 @@ def find_all(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", s
     rows = documents.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     rows = rows.withColumns({"text_hash": F.xxhash64("text"), "text_length": F.length("text")})
     found = written(find_base(rows), "pattern-spans")
-    contexts = found.select(F.explode("contexts").alias("c")).select("c.*").dropDuplicates(["entity", "context"])
-    entities = contexts.groupBy("entity").agg(F.count("*").alias("contexts")).where(F.col("contexts") >= support)
+    # a text has each of its entities, and each word beside one, once
+    distinct = found.where(F.size("mentions") > 0).select("text_hash", "text_length", "mentions").dropDuplicates(["text_hash", "text_length"])
+    mentions = distinct.select(F.explode("mentions").alias("m")).select("m.*")
+    entities = mentions.groupBy("entity").agg(F.count("*").alias("entity_texts")).where(F.col("entity_texts") >= support)
     pairs = written(
-        contexts.select("entity", F.explode("terms").alias("t")).groupBy("entity", F.col("t.term").alias("term"))
+        mentions.select("entity", F.explode("terms").alias("t")).groupBy("entity", F.col("t.term").alias("term"))
         .agg(F.count("*").alias("together"), F.min("t.word").alias("word"))
         .where(F.col("together") >= support),
         "pairs",
     )
-    occurrences = written(_occurrences(rows, pairs.select("term").distinct()), "occurrences")
-    telling = written(disclosing_terms(found, occurrences, pairs, entities), "disclosing-terms")
+    frequency = _frequency(rows, found, pairs.select("term").distinct())
+    telling = written(disclosing_terms(found, frequency, pairs, entities), "disclosing-terms")
+    occurrences = _occurrences(rows, telling)
     terms = (
         occurrences.join(telling, "term")
         .select("text_hash", "text_length", F.struct("start", "end", (F.col("disclosure") >= REMOVE).alias("removed")).alias("span"))
@@ -227,7 +271,7 @@ def find_all(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", s
         F.coalesce("terms", none),
         lambda t: ~F.exists("spans", lambda s: (s["start"] < t["end"]) & (t["start"] < s["end"])),
     )
-    return found.drop("contexts").join(terms, ["text_hash", "text_length"], "left").withColumn("terms", free)
+    return found.drop("mentions").join(terms, ["text_hash", "text_length"], "left").withColumn("terms", free)
 
 
 
