@@ -212,6 +212,17 @@ def test_multi_index(spark):
     assert neighbours.search(table.where("false"), "vec_id % 20 = 0", 20, vector="embedding").count() == 0
 
 
+def test_multi_index_of_repeated_rows(spark):
+    """The other ids of a shared vector stay, however often one of them is repeated."""
+    near, far = [1.0, 0.5, 0.0, 2.0], [0.1, 0.0, 0.0, 0.1]
+    rows = [(1, near)] * 40 + [(i, near) for i in range(2, 41) for _ in range(2)] + [(100 + i, [x + i / 1000 for x in far]) for i in range(30)]
+    table = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").repartition(3)
+    got = neighbours.search(table, "vec_id in (1, 20, 40)", 20, vector="embedding").collect()
+    for q in (1, 20, 40):
+        part = sorted((r["rank"], r["vec_id"]) for r in got if r["query_id"] == q)
+        assert part == list(enumerate([i for i in range(1, 41) if i != q][:20], 1))
+
+
 def test_disclosure(spark):
     rng = random.Random(6)
     rows = [(k, f"{sentence(rng, 30)} zanzibel {'xyzzyq' if k % 2 else ''} wrote from ann@mail.example {sentence(rng, 30)}") for k in range(6)]

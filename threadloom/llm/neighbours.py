@@ -136,11 +136,13 @@ def search(rows: DataFrame, is_query: str, k: int = 20, vec_id: str = "vec_id",
     """query_id, rank, vec_id, score. ``is_query``: SQL condition on ``vec_id``."""
     spark = rows.sparkSession
     good = usable(rows, vec_id, vector).withColumn("entry", F.xxhash64("vector"))
-    # a row number below k + 2 is settled within each task before the shuffle
-    ranked = good.select("entry", "vec_id", "vector").withColumn("n", F.row_number().over(Window.partitionBy("entry").orderBy("vec_id"))).where(F.col("n") <= k + 1)
-    entries = written(
-        ranked.groupBy("entry").agg(F.first("vector").alias("vector"), F.sort_array(F.collect_set("vec_id")).alias("ids")), "entries"
+    # repeated rows first become one id; a row number below k + 2 is settled within each task before the shuffle
+    ranked = (
+        good.select("entry", "vec_id").distinct()
+        .withColumn("n", F.row_number().over(Window.partitionBy("entry").orderBy("vec_id"))).where(F.col("n") <= k + 1)
+        .groupBy("entry").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
     )
+    entries = written(good.groupBy("entry").agg(F.first("vector").alias("vector")).join(ranked, "entry"), "entries")
     asking = good.where(is_query).select("entry", F.col("vec_id").alias("query_id")).distinct()
     total = entries.count()
     schema = "query_id bigint, rank int, vec_id bigint, score double"
