@@ -271,6 +271,19 @@ def test_toxicity(spark):
     assert toxicity.score(frame(spark, []), model).count() == 0
 
 
+def test_toxicity_of_rarer_wording(spark):
+    """Rarer toxic n-grams count however many others rank before them."""
+    rng = random.Random(19)
+    block = "".join(chr(0x4E00 + rng.randrange(20_000)) for _ in range(12_000))  # some 36 000 n-grams
+    rows = [(k, sentence(rng, 20) + (" vilewretch" if k % 3 == 0 else block)) for k in range(60)]
+    rows += [(100 + k, sentence(rng, 20)) for k in range(60)] + [(200, "vilewretch"), (201, "")]
+    labels = spark.createDataFrame([(k, int(k < 60)) for k, _ in rows[:120]], "doc_id bigint, toxic int")
+    documents = frame(spark, rows)
+    model = toxicity.fit_on(documents, labels)
+    got = {r["doc_id"]: r["score"] for r in toxicity.score(documents, model).collect()}
+    assert len(model.buckets) > 1 << 15 and got[200] > got[201]
+
+
 def test_warc(spark):
     big = "".join(random.Random(3).choices("abcdé<>\r\n", k=40_000))
     rows = [(3, "http://a/", big), (1, "http://b/\r\nX: y", big), (2, None, None), (4, "u", ""), (5, "u", "s" * 99), (6, "u", "s" * 99), (None, "u", big), (7, "u", "t" * 100), (7, "u", "t" * 100), (8, "u", "t" * 100)]

@@ -4,9 +4,10 @@ A text's features are the hashed character n-grams (3 to 5) that it contains.
 Each is scaled by r = log of the smoothed share of toxic texts with it over that
 of other texts; a logistic regression on the scaled features gives the weights.
 Ratios and weights are learned from at most about ``TRAIN_ROWS`` labelled
-documents, chosen by a hash of their id, and kept for at most ``FEATURES``
-n-grams, those whose shares differ most (by the z score, 3 or more). Every
-document is scored over its whole text in one pass without a shuffle.
+documents, chosen by a hash of their id, and kept for every n-gram whose shares
+differ clearly (by the z score, ``MIN_Z`` or more); the ``1 << BITS`` buckets
+bound the model. Every document is scored over its whole text in one pass
+without a shuffle.
 
 Labels: a document is toxic if any of its labels says 1; null labels and null
 ids are ignored. Scores are from the text alone.
@@ -34,7 +35,6 @@ from threadloom.llm.base import query, table, written
 GRAMS = (3, 4, 5)
 BITS = 20
 TRAIN_ROWS = 20_000
-FEATURES = 1 << 14
 MIN_TEXTS, MIN_Z = 5, 3.0
 SLICE_BYTES = 1 << 19  # hashes of a slice take some two hundred bytes a character
 _U = np.uint64
@@ -123,8 +123,7 @@ def fit(labelled: DataFrame, train_rows: int = TRAIN_ROWS) -> Model:
         .where(F.col("clean") + F.col("toxic") >= MIN_TEXTS)
         .select("bucket", ratio.alias("ratio"), F.abs(z).alias("z"))
         .where(F.col("z") >= MIN_Z)
-        .orderBy(F.desc("z"), "bucket").limit(FEATURES)  # the model's bound
-        .toPandas().sort_values("bucket")
+        .toPandas().sort_values("bucket")  # at most 1 << BITS
     )
     buckets, ratios = chosen["bucket"].to_numpy(np.int64), chosen["ratio"].to_numpy()
     if not len(buckets):
