@@ -1,6 +1,6 @@
 """Queries of the operators; importing a module registers its own."""
 
-from threadloom.llm import codes, decontaminate, disclosure, lines, neighbours, packing, periodic, similar, toxicity, url_rules, warc  # noqa: F401
+from threadloom.llm import chat_windows, codes, decontaminate, disclosure, lines, neighbours, packing, periodic, repair, similar, toxicity, url_rules, warc  # noqa: F401
 from threadloom.llm.base import CATALOG
 
 
