@@ -5,7 +5,10 @@ from __future__ import annotations
 import numpy as np
 import pytest
 
-from threadloom.operators import knn
+from pyspark.sql import functions as F
+
+from threadloom.functions import models
+from threadloom.operators import knn, postings
 
 K = 4
 
@@ -69,16 +72,62 @@ def expected(data, kind, k, pairs=None):
     return out
 
 
-@pytest.mark.parametrize("kind", ["dense", "sparse"])
 @pytest.mark.parametrize("shipped", [True, False])
-def test_topk_join(monkeypatch, data, points, kind, shipped):
+def test_dense_topk(monkeypatch, data, points, shipped):
     monkeypatch.setattr(knn, "QUERY_BLOCK", 40)
     monkeypatch.setattr(knn, "POINT_BLOCK", 25)
     monkeypatch.setattr(knn, "CELLS", 500)
     queries = points.withColumnRenamed("id", "qid")
-    call = knn.dense_topk if kind == "dense" else knn.sparse_topk
-    found = call(queries, points, K, max_shipped=knn.MAX_SHIPPED_QUERIES if shipped else 0)
-    assert result(found) == expected(data, kind, K)
+    found = knn.dense_topk(queries, points, K, max_shipped=knn.MAX_SHIPPED_QUERIES if shipped else 0)
+    assert result(found) == expected(data, "dense", K)
+
+
+@pytest.mark.parametrize("piece_rows", [1_000_000, 7])
+@pytest.mark.parametrize("probe", [0, 1, 8])
+def test_sparse_topk(monkeypatch, tmp_path, data, points, piece_rows, probe):
+    monkeypatch.setattr(postings, "PROBE", probe)
+    index = postings.build_index(points, str(tmp_path), piece_rows=piece_rows)
+    assert (index.terms.where("pieces > 1").count() > 0) == (piece_rows == 7)
+    for worth in (0, postings.WORTH):
+        found = postings.search(points.withColumnRenamed("id", "qid"), index, K, worth=worth)
+        assert result(found) == expected(data, "sparse", K)
+    assert result(postings.sparse_topk(points.withColumnRenamed("id", "qid"), points, K)) == expected(data, "sparse", K)
+
+
+def test_long_lists_that_cannot_help_are_skipped(spark, tmp_path):
+    """Learned-like weights: frequent terms weigh little, so their lists are looked up, not read."""
+    rng = np.random.default_rng(8)
+    maps = []
+    for _ in range(3000):
+        m = {f"c{j}": float(rng.integers(1, 4)) / 100 for j in rng.choice(8, 6, replace=False)}
+        m |= {f"r{j}": float(rng.integers(100, 500)) / 100 for j in rng.choice(400, 3, replace=False)}
+        maps.append(m)
+    points = spark.createDataFrame(list(enumerate(maps)), "id long, text_sparse map<string,double>").repartition(4)
+    queries = points.where("id < 60").withColumnRenamed("id", "qid")
+    index = postings.build_index(points, str(tmp_path))
+    asked = postings.known_terms(postings.entries(queries, "qid", "text_sparse", ("qid", "term", "asked")), index)
+    plan = postings.planned_terms(asked, index, 5)
+    work = plan.selectExpr("sum(if(skipped, rows, 0)) as skipped", "sum(if(skipped, 0, rows)) as read", "count_if(skipped and term like 'r%') as rare").first()
+    # a rare term may be skipped too: two others of its query can outweigh it
+    assert work["skipped"] > 20 * work["read"] and work["rare"] < 90
+    got = result(postings.search(queries, index, 5, worth=0))
+    for q in range(60):
+        assert got[q] == best({i: dot(maps[q], maps[i]) for i in range(3000)}, 5)
+
+
+def test_sparse_search_runs_no_python(spark, tmp_path, points):
+    index = postings.build_index(points, str(tmp_path))
+    plan = postings.search(points.withColumnRenamed("id", "qid"), index, K, worth=0)._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_lexical_weights(spark):
+    rng = np.random.default_rng(3)
+    texts = [None, "", "  ", "one", "B b B a", *[" ".join(rng.choice(list("abcdE é"), 30)) for _ in range(20)]]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", models.lexical_weights(F.col("t")).alias("w")).collect()
+    for r in rows:
+        words = [w for w in (r["t"] or "").lower().split(" ") if w]
+        assert r["w"] == {w: float(words.count(w)) for w in words}
 
 
 @pytest.mark.parametrize("kind", ["dense", "sparse"])
@@ -99,9 +148,8 @@ def test_negative_and_zero_weights_still_share_a_term(spark):
         "id long, text_sparse map<string,double>",
     )
     queries = spark.createDataFrame([(9, {"a": 1.0, "b": 1.0})], "qid long, text_sparse map<string,double>")
-    for shipped in (10, 0):
-        rows = knn.sparse_topk(queries, points, 5, max_shipped=shipped).collect()
-        assert sorted((r.id, r.score) for r in rows) == [(1, 0.0), (2, 0.0)]
+    rows = postings.sparse_topk(queries, points, 5).collect()
+    assert sorted((r.id, r.score) for r in rows) == [(1, 0.0), (2, 0.0)]
 
 
 def test_dimensions_must_agree(spark):

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from threadloom import schemas
 from threadloom.functions import text as tx
+from threadloom.functions.tokens import let
 
 # Attempts at a model call.
 ATTEMPTS = 10
@@ -93,14 +94,36 @@ def encode_column(
     return encode(text)
 
 
-@F.pandas_udf(schemas.SPARSE)
-def _word_counts(texts: pd.Series) -> pd.Series:
-    return texts.map(lambda t: {k: float(n) for k, n in Counter(t.split(" ")).items() if k})
-
-
 def lexical_weights(text: Column) -> Column:
-    """Word-count weights of the lower-cased text."""
-    return _word_counts(F.coalesce(F.lower(text), F.lit("")))
+    """Word-count weights of the lower-cased text, counted as run lengths of the sorted words."""
+    words = F.sort_array(tx.words(F.coalesce(F.lower(text), F.lit(""))))
+
+    def counted(sorted_words: Column) -> Column:
+        return let(
+            lambda v: F.map_from_arrays(
+                F.transform(v["starts"], lambda i: F.get(v["words"], i)),
+                F.zip_with(
+                    v["starts"],
+                    F.concat(F.slice(v["starts"], 2, F.size(v["words"]) + 1), F.array(F.size(v["words"]))),
+                    lambda a, b: (b - a).cast("double"),
+                ),
+            ),
+            words=sorted_words,
+            starts=F.filter(
+                F.sequence(F.lit(0), F.size(sorted_words) - 1),
+                lambda i: (i == 0) | (F.get(sorted_words, i) != F.get(sorted_words, i - 1)),
+            ),
+        )
+
+    empty = F.create_map().cast("map<string,double>")
+    return let(lambda h: F.when(F.size(h["w"]) > 0, counted(h["w"])).otherwise(empty), w=words)
+
+
+def lexical_rows(df: DataFrame, key: str, text: str, names: tuple[str, str, str]) -> DataFrame:
+    """The same weights as rows (key, term, weight), without a map per row in between."""
+    key_name, term, weight = names
+    said = df.select(F.col(key).alias(key_name), F.explode(F.split(F.lower(text), " ", -1)).alias(term)).where(F.col(term) != "")
+    return said.groupBy(key_name, term).agg(F.count(F.lit(1)).cast("double").alias(weight))
 
 
 # --- tokenizer ---------------------------------------------------------------

@@ -1,12 +1,11 @@
-"""Exact top-k joins of a query table with a point table.
-
-Both kinds of similarity share one shape: a block of queries is scored against
-Arrow batches of points, and only the best ``k`` per query leave a task, so
-pairs are never materialised. The point table is not shuffled when the queries
-fit a checked size. Beyond it both sides meet in co-grouped blocks of bounded
-size: dense vectors by cells, where the triangle inequality rules out the cells
-that cannot hold a better neighbour, sparse ones by hash blocks. Every way
-returns the same, exact result.
+"""Exact top-k joins of a query table with a point table by cosine, and among given pairs.
+
+A block of queries is scored against Arrow batches of points, and only the best
+``k`` per query leave a task, so pairs are never materialised. The point table
+is not shuffled when the queries fit a checked size. Beyond it both sides meet
+in co-grouped cells, where the triangle inequality rules out the cells that
+cannot hold a better neighbour. Both ways return the same, exact result. Sparse
+search is in ``postings``.
 """
 
 from __future__ import annotations
@@ -211,26 +210,23 @@ def _allowed(asked: pa.Array, ids: np.ndarray, order: np.ndarray, shape) -> np.n
     return mask
 
 
-def topk_join(
+def dense_topk(
     queries: DataFrame,
     points: DataFrame,
-    k: int,
-    kind: str,
-    vector: str,
+    k: int = 100,
+    vector: str = "dense",
     qid: str = "qid",
     pid: str = "id",
     max_shipped: int = MAX_SHIPPED_QUERIES,
 ) -> DataFrame:
-    """Best ``k`` points per query as (qid, id, score, rank)."""
+    """Best ``k`` points per query by cosine as (qid, id, score, rank)."""
     queries, points = _sides(queries, points, vector, qid, pid)
     schema = _result_schema(queries, points)
     shipped = _shippable(queries, max_shipped)
     if shipped is not None:
-        partial = _score_shipped(shipped, points, k, _BLOCKS[kind], schema)
-    elif kind == "dense":
-        partial = _score_cells(queries, points, k, schema)
+        partial = _score_shipped(shipped, points, k, _DenseBlock, schema)
     else:
-        partial = _score_blocks(queries, points, k, schema)
+        partial = _score_cells(queries, points, k, schema)
     return best_per_query(partial, k)
 
 
@@ -321,19 +317,6 @@ def _score_shipped(table: pa.Table, points: DataFrame, k: int, block_type, schem
     return points.mapInArrow(score, schema)
 
 
-def _score_blocks(queries: DataFrame, points: DataFrame, k: int, schema) -> DataFrame:
-    """Sparse vectors: every hash block of points meets every block of queries."""
-    n_query = max(1, -(-queries.count() // QUERY_BLOCK))
-    n_point = max(1, -(-points.count() // POINT_BLOCK))
-    left = points.withColumn(
-        "pb", F.pmod(F.xxhash64("id"), F.lit(n_point)).cast("int")
-    ).withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(n_query - 1))))
-    right = queries.withColumn(
-        "qb", F.pmod(F.xxhash64("qid"), F.lit(n_query)).cast("int")
-    ).withColumn("pb", F.explode(F.sequence(F.lit(0), F.lit(n_point - 1))))
-    return _meet(left, right, ["pb", "qb"], k, _SparseBlock, schema)
-
-
 def _meet(left: DataFrame, right: DataFrame, keys: list[str], k: int, block_type, schema) -> DataFrame:
     """Score the points and queries of each co-grouped block."""
     names = schema.fieldNames()
@@ -506,13 +489,3 @@ def _pair_cosines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 _PAIR_SCORES = {"dense": _pair_cosines, "sparse": _pair_dots}
-
-
-def dense_topk(queries: DataFrame, points: DataFrame, k: int = 100, **kwargs) -> DataFrame:
-    """Top-k by cosine, exact."""
-    return topk_join(queries, points, k, "dense", kwargs.pop("vector", "dense"), **kwargs)
-
-
-def sparse_topk(queries: DataFrame, points: DataFrame, k: int = 100, **kwargs) -> DataFrame:
-    """Top-k by dot product of term weights; no shared term, no result."""
-    return topk_join(queries, points, k, "sparse", kwargs.pop("vector", "text_sparse"), **kwargs)

@@ -11,7 +11,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from threadloom.functions import text as tx
-from threadloom.operators.knn import ROUND_DIGITS, best_per_query, dense_topk, sparse_topk, topk_among
+from threadloom.operators.knn import ROUND_DIGITS, best_per_query, dense_topk, topk_among
+from threadloom.operators.postings import sparse_topk
 
 Scorer = Callable[[Column, Column], Column]
 

@@ -8,7 +8,8 @@ from threadloom.functions import models
 from threadloom.functions import text as tx
 from threadloom.functions import vectors as vx
 from threadloom.operators import ordering, retrieval as rt, stats
-from threadloom.operators.knn import dense_topk, sparse_topk
+from threadloom.operators.knn import dense_topk
+from threadloom.operators.postings import dealt, join_topk, load_index, search
 from threadloom.plans import inputs
 from threadloom.plans.inputs import (
     DENSE,
@@ -23,6 +24,8 @@ from threadloom.plans.inputs import (
     with_,
 )
 from threadloom.plans.registry import query
+from threadloom.session import scratch_path
+from threadloom.sources import tables as tb
 
 RANKING = "SELECT qid, id, score, rank FROM "
 
@@ -81,18 +84,25 @@ sparse AS (
 
 @query("c2_sparse_topk", with_(DOCUMENT_TERMS, ranked("best", "sparse", 100)) + RANKING + "best")
 def c2(spark, sf_dir):
-    docs = inputs.spread(spark, sf_dir, "documents").select(
-        F.col("doc_id").alias("id"), models.lexical_weights(F.col("text")).alias("text_sparse")
-    )
-    items = inputs.table(spark, sf_dir, "benchmark").select(
-        F.col("item_id").alias("qid"), models.lexical_weights(F.col("text")).alias("text_sparse")
-    )
-    return sparse_topk(items, docs, 100)
+    docs = dealt(inputs.table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    items = inputs.table(spark, sf_dir, "benchmark")
+    lists = models.lexical_rows(docs, "doc_id", "text", ("id", "term", "weight"))
+    return join_topk(models.lexical_rows(items, "item_id", "text", ("qid", "term", "asked")), lists, 100)
 
 
 BOTH = (POINTS, TERMS, DENSE, SPARSE)
 
 
+@query("c2_stored_postings", with_(POINTS, TERMS, SPARSE, ranked("best", "sparse", 20)) + RANKING + "best")
+def c2_stored(spark, sf_dir):
+    """The lists that a replaced collection keeps answer the search."""
+    path = scratch_path(spark, "collection")
+    tb.replace_collection(hybrid_points(spark, sf_dir), path, dim=64)
+    pts = tb.read_parts(spark, f"{path}/points")
+    return search(self_queries(pts), load_index(spark, f"{path}/postings"), 20, worth=0)
+
+
+
 @query(
     "c3_dense_then_sparse",
     with_(*BOTH, ranked("near", "dense", 50), restricted("kept", "near", "sparse"), ranked("best", "kept", 20))
@@ -599,9 +609,17 @@ FROM (SELECT doc_id, unnest(string_split(lower(text), ' ')) AS term FROM documen
 )
 def j1_lexical(spark, sf_dir):
     docs = inputs.spread(spark, sf_dir, "documents")
-    return docs.select(
-        F.col("doc_id").alias("id"), F.explode(models.lexical_weights(F.col("text"))).alias("term", "weight")
-    )
+    return models.lexical_rows(docs, "doc_id", "text", ("id", "term", "weight"))
+
+
+@query(
+    "j1_lexical_maps",
+    """SELECT doc_id AS id, CAST(count(*) AS INTEGER) AS terms, CAST(sum(n) AS DOUBLE) AS words
+FROM (SELECT doc_id, term, count(*) AS n FROM (SELECT doc_id, unnest(string_split(lower(text), ' ')) AS term FROM documents) WHERE term <> '' GROUP BY ALL) GROUP BY 1""",
+)
+def j1_lexical_maps(spark, sf_dir):
+    docs = inputs.spread(spark, sf_dir, "documents").select("doc_id", models.lexical_weights(F.col("text")).alias("w"))
+    return docs.select(F.col("doc_id").alias("id"), F.size("w").alias("terms"), vx.array_sum(F.map_values("w")).alias("words"))
 
 
 @query(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from threadloom import schemas
 from threadloom.functions import text as tx
 from threadloom.operators import ordering, prompts as pr, threads as th
+from threadloom.operators.postings import load_index
 from threadloom.plans import inputs
 from threadloom.plans.inputs import POINTS, THREAD_CTES, hybrid_points, points, with_
 from threadloom.plans.prompt_queries import variants_sql
@@ -103,7 +104,8 @@ def a6(spark, sf_dir):
     for _ in range(2):
         tb.replace_collection(pts, path, dim=64)
     stored = tb.read_parts(spark, f"{path}/points").select("id", "answer")
-    return tb.read_parts(spark, f"{path}/postings").join(stored, "id")
+    lists = load_index(spark, f"{path}/postings").postings
+    return lists.select("id", "term", "weight").join(stored, "id")
 
 
 @query(

@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 
 from threadloom import schemas
 from threadloom.functions import text as tx
+from threadloom.operators.postings import build_index
 
 
 def read_parts(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -39,13 +40,10 @@ def check_vectors(points: DataFrame, dim: int) -> DataFrame:
 
 
 def replace_collection(points: DataFrame, path: str, dim: int) -> None:
-    """Drop and rewrite a collection: the points and their postings."""
+    """Drop and rewrite a collection: the points and the inverted lists of their sparse vectors."""
     spark = points.sparkSession
     write_table(check_vectors(points, dim), f"{path}/points")
-    stored = spark.read.parquet(f"{path}/points")
-    write_table(
-        stored.select("id", F.explode("text_sparse").alias("term", "weight")), f"{path}/postings"
-    )
+    build_index(spark.read.parquet(f"{path}/points"), f"{path}/postings")
 
 
 def write_csv(df: DataFrame, path: str) -> None:
