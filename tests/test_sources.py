@@ -86,27 +86,56 @@ def test_zst_dump(spark, tmp_path):
     assert sorted((r.id, r.title) for r in got.collect()) == [(k, f"é {k}") for k in range(500)]
 
 
-def test_upsert_allocates_versions_and_ignores_replays(spark, tmp_path):
+def test_a_replayed_batch_replaces_itself(spark, tmp_path):
     store = Collection(spark, str(tmp_path / "store"))
-    assert store.version() == -1
+    with pytest.raises(FileNotFoundError):
+        store.read()
     store.upsert(spark.range(50).withColumn("v", F.lit("old")), "id")
     change = spark.createDataFrame([(3, "x", 1), (3, "y", 2), (3, "z", None), (60, "new", 1)], "id long, v string, seq int")
-    assert store.upsert(change, "seq", source="s", number=0) == 1
-    assert store.upsert(spark.range(50).withColumn("v", F.lit("replayed")), "id", source="s", number=0) == 1
-    assert store.upsert(spark.range(1).withColumn("v", F.lit("other")), "id", source="t", number=0) == 2
-    rows = {r.id: r.v for r in store.read().collect()}
-    assert len(rows) == 51 and rows[3] == "y" and rows[60] == "new" and rows[4] == "old" and rows[0] == "other"
-
-
-def test_only_live_folders_are_read(spark, tmp_path):
-    store = Collection(spark, str(tmp_path / "store"), fold_after=2)
-    for n in range(5):
-        store.upsert(spark.createDataFrame([(1, f"v{n}"), (n + 10, "own")], "id long, v string"), "id")
-    live = store.live()
-    assert len(live) <= 3
-    files = {f.split("/data/")[1].split("/")[0] for f in store.read().inputFiles()}
-    assert files == {folder.split("/")[1] for _, folder in live}
-    assert {r.id: r.v for r in store.read().collect()} == {1: "v4", **{n + 10: "own" for n in range(5)}}
+    store.upsert(change, "seq", source="s", batch=0)
+    store.upsert(spark.range(4).withColumn("v", F.lit("other")), "id", source="t", batch=0)
+    wanted = {**{k: "old" for k in range(50)}, **{k: "other" for k in range(4)}, 60: "new"}
+    assert {r.id: r.v for r in store.read().collect()} == wanted
+    files = {f for f in spark.read.parquet(str(tmp_path / "store")).inputFiles() if "_writer=w-s/" not in f}
+    # a replay is written in its old place: later writers still win, other batches keep their files
+    store.upsert(change, "seq", source="s", batch=0)
+    assert {r.id: r.v for r in store.read().collect()} == wanted
+    assert files == {f for f in spark.read.parquet(str(tmp_path / "store")).inputFiles() if "_writer=w-s/" not in f}
+    store.upsert(change.where("seq = 1"), "seq", source="s", batch=1)
+    assert {r.id: r.v for r in store.read().collect()} == {**wanted, 3: "x"}
+
+
+def test_payload_columns_of_any_name(spark, tmp_path):
+    store = Collection(spark, str(tmp_path / "store"))
+    store.upsert(spark.createDataFrame([(1, "a", 5)], "id long, source string, batch int"), "id", source="123", batch=7)
+    assert store.read().collect() == [(1, "a", 5)]
+
+
+def test_a_step_that_runs_again_keeps_its_rows_once(spark, tmp_path):
+    path = str(tmp_path / "steps")
+    for step, n in ((1, 3), (2, 2), (1, 3)):
+        tb.append_generations(spark.range(n), path, step)
+    assert sorted((r.step, r.id) for r in spark.read.parquet(path).collect()) == [(1, 0), (1, 1), (1, 2), (2, 0), (2, 1)]
+
+
+def test_python_words_outside_quotes(spark):
+    cases = {
+        "{'a': None, 'b': True, 'c': [False, None]}": "{'a': null, 'b': true, 'c': [false, null]}",
+        "{'a': 'None, True', \"b\": \"it's None\", 'c': 'x\\'None', 'd': None}": "{'a': 'None, True', \"b\": \"it's None\", 'c': 'x\\'None', 'd': null}",
+        "{'a': Nones, 'b': xNone}": "{'a': Nones, 'b': xnull}",
+        "{'a': '\\x41'}": None,
+        "None": "null",
+        "": "",
+        "{'a': '" + "w None " * 20_000 + "\\n" * 5_000 + "', 'b': True}": "{'a': '" + "w None " * 20_000 + "\\n" * 5_000 + "', 'b': true}",
+    }
+    rows = spark.createDataFrame([(k,) for k in cases], "line string").select("line", ln.as_json(F.col("line")).alias("t")).collect()
+    assert {r.line: r.t for r in rows} == cases
+
+
+def test_literals_are_read_without_python_where_they_can_be(spark):
+    lines = ["{'id': 1, 'title': None, 'description': 'it\\'s \"None\"', 'answers': []}", "{'id': 2, 'title': '\\x41'}", "{'id': 0x3, 'title': ('t')}"]
+    parsed = ln.parse_lines(spark.createDataFrame([(x,) for x in lines], "line string")).collect()
+    assert [(r.record.id, r.record.title, r.record.description) for r in parsed] == [(1, None, 'it\'s "None"'), (2, "A", None), (3, "t", None)]
 
 
 def test_null_order_loses_and_null_fields_are_kept(spark, tmp_path):

@@ -62,6 +62,22 @@ def a1(spark, sf_dir):
     )
 
 
+@query(
+    "a1_read_zst_dump",
+    CTES
+    + """SELECT s.id, CASE WHEN s.order_status <> 'F' THEN s.title END AS title, s.description, s.n AS n_answers, b.text, coalesce(b.max_rating, 0) AS max_rating
+FROM short s LEFT JOIN best b ON b.thread_id = s.id WHERE s.order_status <> 'P'""",
+)
+def a1_zst(spark, sf_dir):
+    """The same dump as .zst files of many frames, read in byte ranges."""
+    path = scratch_path(spark, "dump-zst")
+    ln.write_zst_lines(dump_lines(spark, sf_dir), path, frame_bytes=64 << 10)
+    threads = ln.threads(ln.parse_lines(ln.read_zst_lines(spark, path, split_bytes=256 << 10)))
+    return th.prepare(threads).select(
+        "id", "title", "description", F.col("counter_len_chat").alias("n_answers"), "answers_max.text", "max_rating"
+    )
+
+
 @query("a2_rejected_lines", CTES + "SELECT count(*) AS lines, CAST(count_if(order_status = 'P') AS BIGINT) AS rejected FROM short")
 def a2(spark, sf_dir):
     return parsed_dump(spark, sf_dir).agg(
@@ -138,7 +154,7 @@ def a7(spark, sf_dir):
 def a7_null_order(spark, sf_dir):
     """A NULL order never beats another; a newer batch wins even with NULL values."""
     docs = inputs.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.col("lang").alias("question"), F.lit(1).alias("seq"))
-    collection = Collection(spark, scratch_path(spark, "null_order"), fold_after=1)
+    collection = Collection(spark, scratch_path(spark, "null_order"))
     collection.upsert(docs, order="seq")
     both = F.array(
         F.struct(F.lit(None).cast("int").alias("seq"), F.lit("unordered").alias("question")),
@@ -226,7 +242,7 @@ def a16(spark, sf_dir):
     items = inputs.table(spark, sf_dir, "benchmark")
     chat = tx.chat_markup(F.array(tx.message("user", F.col("text")), tx.message("assistant", F.col("text"))))
     rows = items.select("item_id", chat.alias("chat"), F.concat(F.lit("echo: "), "text").alias("generated"))
-    for step in (10, 20):
+    for step in (10, 20, 10):  # a step that is run again keeps its rows once
         tb.append_generations(pr.sample_generations(rows, "chat", "generated", "item_id", 3), path, step)
     return tb.read_parts(spark, path)
 
@@ -296,9 +312,9 @@ def i1_two_streams(spark, sf_dir):
 )
 def i2(spark, sf_dir):
     source = scratch_path(spark, "arriving_lines")
-    dump_lines(spark, sf_dir).write.text(source)
+    ln.write_zst_lines(dump_lines(spark, sf_dir), source, frame_bytes=64 << 10)
     collection = Collection(spark, scratch_path(spark, "stream_threads"))
-    arriving = spark.readStream.text(source).withColumnRenamed("value", "line")
+    arriving = ln.stream_zst_lines(spark, source)
     parse = lambda df: ln.threads(ln.parse_lines(df)).select("id", "description", F.size("answers").cast("bigint").alias("n_answers"))
     upsert_stream(arriving, collection, scratch_path(spark, "line_state"), "id", parse).awaitTermination()
     return collection.read()

@@ -1,100 +1,67 @@
-"""Collection with last-write-wins upserts, kept as a base and deltas.
+"""Collection with last-write-wins upserts: a table partitioned by writer and batch.
 
-A batch is written as a delta of its own rows; nothing that is stored is read or
-changed. A commit row then makes it visible: (version, folder, kind, source,
-batch). Versions are always allocated next; (source, batch) is the idempotence
-key of a stream's micro-batch, so a replayed one changes nothing and another
-stream, or a stream into a filled collection, loses nothing. Readers list the
-live folders only, from the newest base on, and merge by key; after some deltas
-they are folded into a new base. A failed write leaves the old state.
+A batch is one partition (writer, batch) of its own rows, written with dynamic
+partition overwrite: nothing else is read or changed, and a replayed batch
+replaces itself. Rows carry the time their batch was first written; a read keeps
+the newest row of a key with one aggregate. Writers are ordered by their
+drivers' clocks.
 """
 
 from __future__ import annotations
 
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from threadloom.sources.tables import path_exists
+from threadloom.sources.tables import path_exists, write_partitions
 
-_COMMIT = "version bigint, folder string, kind string, source string, batch bigint"
+STAMP, WRITER, BATCH = "_written", "_writer", "_batch"
 
 
 class Collection:
-    def __init__(self, spark: SparkSession, path: str, key: str = "id", fold_after: int = 8):
-        self.spark, self.path, self.key, self.fold_after = spark, path, key, fold_after
+    def __init__(self, spark: SparkSession, path: str, key: str = "id"):
+        self.spark, self.path, self.key = spark, path, key
 
-    def _log(self) -> DataFrame | None:
-        folder = f"{self.path}/commits"
-        if not path_exists(self.spark, folder):
+    def _stored(self) -> DataFrame | None:
+        if not path_exists(self.spark, self.path):
             return None
-        return self.spark.read.schema(_COMMIT).option("recursiveFileLookup", "true").parquet(folder)
-
-    def version(self) -> int:
-        """Newest committed version, -1 for an empty collection."""
-        log = self._log()
-        top = log.agg(F.max("version")).first()[0] if log is not None else None
-        return -1 if top is None else int(top)
-
-    def live(self) -> list[tuple[int, str]]:
-        """(version, folder) from the newest base on; at most ``fold_after`` deltas and a base."""
-        log = self._log()
-        if log is None:
-            return []
-        base = log.where("kind = 'base'").agg(F.max("version")).first()[0]
-        rows = log.where(F.col("version") >= F.lit(-1 if base is None else base)).collect()
-        return sorted((row["version"], row["folder"]) for row in rows)
-
-    def _merged(self) -> DataFrame:
-        parts = [
-            self.spark.read.parquet(f"{self.path}/{folder}").withColumn("_version", F.lit(version))
-            for version, folder in self.live()
-        ]
-        if not parts:
-            raise FileNotFoundError(f"no committed version in {self.path}")
-        rows = parts[0]
-        for part in parts[1:]:
-            rows = rows.unionByName(part, allowMissingColumns=True)
-        if len(parts) == 1:
-            return rows.drop("_version")  # the keys of one folder differ
-        others = [c for c in rows.columns if c not in (self.key, "_version")]
-        # one row a key and folder: the newest one, whole, NULL fields included
-        return rows.groupBy(self.key).agg(
-            F.max_by(F.struct(*others), F.col("_version")).alias("_row")
-        ).select(self.key, "_row.*")
-
-    def read(self) -> DataFrame:
-        return self._merged()
-
-    def _commit(self, rows: DataFrame, kind: str, source: str | None, batch: int | None) -> int:
-        version = self.version() + 1
-        folder = f"data/version={version:012d}-{uuid.uuid4().hex}"
-        rows.write.parquet(f"{self.path}/{folder}")
-        entry = self.spark.createDataFrame([(version, folder, kind, source, batch)], _COMMIT)
-        # fails if another writer has taken the version
-        entry.coalesce(1).write.mode("errorifexists").parquet(f"{self.path}/commits/{version:012d}")
-        return version
-
-    def upsert(self, batch: DataFrame, order: str, source: str | None = None, number: int | None = None) -> int:
+        return self.spark.read.parquet(self.path)
+
+    def _stamp(self, source: str, batch: int) -> int:
+        """When the batch was first written, now if it was not."""
+        stored = self._stored()
+        if stored is not None:
+            # partition columns prune the scan to the batch's own files
+            known = stored.where((F.col(WRITER) == f"w-{source}") & (F.col(BATCH) == batch)).select(STAMP).take(1)
+            if known:
+                return known[0][0]
+        return time.time_ns()
+
+    def upsert(self, rows: DataFrame, order: str, source: str | None = None, batch: int = 0) -> None:
         """Merge rows by key; the last write wins.
 
         Inside the batch the row with the largest ``order`` counts, NULL being
         the smallest; equal ones are told apart by a hash of the row. An order
-        column other than the key is not stored. ``source``
-        and ``number`` name a micro-batch: one that is committed is not written
-        again.
+        column other than the key is not stored. ``source`` and ``batch`` name a
+        micro-batch: written again, it replaces itself and stays where it was in
+        the order of writes.
         """
-        if source is not None:
-            log = self._log()
-            if log is not None and log.where((F.col("source") == source) & (F.col("batch") == number)).take(1):
-                return self.version()
-        others = [c for c in batch.columns if c not in (order, self.key)]
-        if order == self.key:
-            others = [c for c in batch.columns if c != self.key]
-        newest = F.struct(F.col(order).isNotNull(), F.col(order), F.xxhash64(*batch.columns))
+        source = source or uuid.uuid4().hex
+        others = [c for c in rows.columns if c not in (order, self.key)]
+        newest = F.struct(F.col(order).isNotNull(), F.col(order), F.xxhash64(*rows.columns))
         # max_by combines before the shuffle: a key with very many rows stays cheap
-        fresh = batch.groupBy(self.key).agg(F.max_by(F.struct(*others), newest).alias("_row")).select(self.key, "_row.*")
-        version = self._commit(fresh, "delta", source, number)
-        if len(self.live()) > self.fold_after:
-            version = self._commit(self._merged(), "base", None, None)
-        return version
+        fresh = rows.groupBy(self.key).agg(F.max_by(F.struct(*others), newest).alias("_row")).select(self.key, "_row.*")
+        named = fresh.withColumns(
+            {STAMP: F.lit(self._stamp(source, batch)), WRITER: F.lit(f"w-{source}"), BATCH: F.lit(batch).cast("bigint")}
+        )
+        write_partitions(named, self.path, WRITER, BATCH)
+
+    def read(self) -> DataFrame:
+        """The newest row of every key, whole, NULL fields included."""
+        stored = self._stored()
+        if stored is None:
+            raise FileNotFoundError(f"nothing was written to {self.path}")
+        others = [c for c in stored.columns if c not in (self.key, STAMP, WRITER, BATCH)]
+        newest = F.max_by(F.struct(*others), F.struct(STAMP, WRITER, BATCH))
+        return stored.groupBy(self.key).agg(newest.alias("_row")).select(self.key, "_row.*")

@@ -3,16 +3,15 @@
 from __future__ import annotations
 
 import ast
-import io
 import json
 from collections.abc import Iterator
 
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from threadloom import schemas
+from threadloom.sources import zst
 
 # Fixed value: rows per part file of the split dump.
 ROWS_PER_FILE = 1_000_000
@@ -28,30 +27,27 @@ def read_lines(spark: SparkSession, path: str, partitions: int | None = None) ->
     return lines.repartition(partitions) if partitions else lines.hint("rebalance")
 
 
-def read_zst_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Raw lines of a .zst dump. Spark's own codec needs a native library, so frames are unpacked in tasks.
+def _with_source(spark: SparkSession) -> None:
+    spark.dataSource.register(zst.ZstLines)
 
-    The compressed file is one row (Spark's limit is 2 GB), its text is streamed.
-    """
 
-    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import zstandard
+def read_zst_lines(spark: SparkSession, path: str, split_bytes: int = zst.SPLIT_BYTES) -> DataFrame:
+    """Raw lines of a .zst dump (a file or a folder), a partition per byte range of frames."""
+    _with_source(spark)
+    return spark.read.format("zst_lines").option("splitBytes", split_bytes).load(path)
 
-        for batch in batches:
-            for content in batch["content"]:
-                source = zstandard.ZstdDecompressor().stream_reader(io.BytesIO(content.as_py()), read_across_frames=True)
-                held, size = [], 0
-                for line in io.TextIOWrapper(source, encoding="utf-8", newline="\n"):
-                    held.append(line.rstrip("\r\n"))
-                    size += len(line)
-                    if size > 4 << 20:
-                        yield pa.RecordBatch.from_pydict({"line": held})
-                        held, size = [], 0
-                if held:
-                    yield pa.RecordBatch.from_pydict({"line": held})
-
-    files = spark.read.format("binaryFile").load(path).select("content")
-    return files.mapInArrow(unpack, "line string").hint("rebalance")
+
+def stream_zst_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines of .zst files as they grow and arrive; the position is the bytes of whole frames read."""
+    _with_source(spark)
+    return spark.readStream.format("zst_lines").load(path)
+
+
+def write_zst_lines(lines: DataFrame, path: str, frame_bytes: int = zst.FRAME_TEXT) -> None:
+    """The one string column as .zst part files of many frames, so that they can be split again."""
+    _with_source(lines.sparkSession)
+    text = lines.select(F.col(lines.columns[0]).alias("line"))
+    text.write.format("zst_lines").mode("overwrite").option("frameBytes", frame_bytes).save(path)
 
 
 def _to_json(line: str) -> str | None:
@@ -62,16 +58,38 @@ def _to_json(line: str) -> str | None:
         return None
 
 
+#: text up to a word outside quotes: no quote, or a whole quoted string
+_BEFORE = r"""\G((?:[^'"{first}]++|'[^'\\]*+(?:\\.[^'\\]*+)*+'|"[^"\\]*+(?:\\.[^"\\]*+)*+"|{first}(?!{rest}\b))*+){first}{rest}\b"""
+#: Python's words for JSON's
+_WORDS = {"None": "null", "True": "true", "False": "false"}
+#: escapes that mean the same in both notations
+_SAME_ESCAPES = r"""(?s)(?:[^\\]++|\\[\\'"nrtbf])*+"""
+
+
+def as_json(line: Column) -> Column:
+    """A Python literal in JSON's words; NULL where its escapes would read otherwise."""
+    text = line
+    for word, meant in _WORDS.items():
+        text = F.regexp_replace(text, _BEFORE.format(first=word[0], rest=word[1:]), "$1" + meant)
+    return F.when(F.regexp(line, F.lit("^" + _SAME_ESCAPES + "$")), text)
+
+
 def parse_lines(lines: DataFrame, schema: T.StructType = schemas.THREAD) -> DataFrame:
     """line -> (line, record, rejected).
 
-    Lines that are not JSON are tried as Python literals, which never run code;
-    what is neither, or does not fit the schema's types, is marked as rejected.
+    Lines that are not JSON are Python literals as a rule: their three words are
+    translated outside quotes, in the JVM, and parsed again. What is left (other
+    escapes, tuples, other numbers) is tried as a literal in Python, which never
+    runs code. What is neither, or does not fit the schema's types, is rejected.
     """
     with_corrupt = T.StructType(schema.fields + [T.StructField("_bad", T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}
-    parsed = _once(lines, "_p", F.from_json("line", with_corrupt, options))
-    plain = F.col("_p").isNotNull() & F.col("_p._bad").isNull()
+    fits = lambda name: F.col(name).isNotNull() & F.col(f"{name}._bad").isNull()
+    parsed = _once(lines, "_j", F.from_json("line", with_corrupt, options))
+    # single quotes are read by the parser; an escaped one is not without the option
+    again = F.from_json(as_json(F.col("line")), with_corrupt, {**options, "allowBackslashEscapingAnyCharacter": "true"})
+    parsed = _once(parsed, "_p", F.when(fits("_j"), F.col("_j")).otherwise(again)).drop("_j")
+    plain = fits("_p")
 
     @F.pandas_udf("string")
     def literal(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:

@@ -32,6 +32,11 @@ def write_table(df: DataFrame, path: str, partition_by: str | None = None, mode:
     writer.parquet(path)
 
 
+def write_partitions(df: DataFrame, path: str, *columns: str) -> None:
+    """Replace just the partitions that ``df`` has rows for."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*columns).parquet(path)
+
+
 def check_vectors(points: DataFrame, dim: int) -> DataFrame:
     """Fail the job when a vector does not have the declared dimension."""
     wrong = F.col("dense").isNull() | (F.size("dense") != dim)
@@ -79,8 +84,8 @@ def save_splits(df: DataFrame, path: str) -> None:
 
 
 def append_generations(df: DataFrame, path: str, step: int) -> None:
-    """Generations of one evaluation step."""
-    write_table(df.withColumn("step", F.lit(step)), path, partition_by="step", mode="append")
+    """Generations of one evaluation step; a step that runs again replaces its own rows."""
+    write_partitions(df.withColumn("step", F.lit(step)), path, "step")
 
 
 def save_model_answers(df: DataFrame, path: str, model: str = "model") -> None:

@@ -32,14 +32,14 @@ def upsert_stream(
 ) -> StreamingQuery:
     """Upsert every micro-batch under the stream's own id and batch number.
 
-    The id is that of the checkpoint, so a replay after a failure is a no-op,
-    while a fresh checkpoint or a second stream writes its own batches.
+    The id is that of the checkpoint, so a replay after a failure replaces what it
+    wrote, while a fresh checkpoint or a second stream writes its own batches.
     """
     spark = rows.sparkSession
 
     def write(batch: DataFrame, number: int) -> None:
         stream = json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
-        collection.upsert(prepare(batch), order, source=stream, number=number)
+        collection.upsert(prepare(batch), order, source=stream, batch=number)
 
     return (
         rows.writeStream.foreachBatch(write)
