@@ -1,8 +1,9 @@
 """Registry of user-supplied models and their deterministic offline stand-ins.
 
 Every model is called from an Arrow-batched pandas UDF or ``mapInPandas``, is
-built once per Python worker, and is retried a bounded number of times; what
-still fails is reported in an error column instead of being dropped.
+built once per Python worker, and is retried a bounded number of times. A batch
+that still fails is halved until the failing rows stand alone; they are reported
+in an error column instead of being dropped, and all others keep their results.
 """
 
 from __future__ import annotations
@@ -42,6 +43,45 @@ def with_retries(call: Callable, attempts: int = ATTEMPTS, pause: float = PAUSE_
     return wrapped
 
 
+def isolated(call: Callable[[list], Sequence], attempts: int = ATTEMPTS, pause: float = PAUSE_SECONDS) -> Callable:
+    """Batch call as (results, errors) per row: a failing row costs no other row its result.
+
+    A batch that fails to the last attempt is halved until the failing rows
+    stand alone; these get all attempts again, halves between get one.
+    """
+
+    def checked(rows: list) -> list:
+        result = list(call(rows))
+        if len(result) != len(rows):
+            raise ValueError(f"{len(result)} results for {len(rows)} rows")
+        return result
+
+    patient, once = with_retries(checked, attempts, pause), with_retries(checked, 1, 0.0)
+
+    def run(rows: list, first: bool = True) -> tuple[list, list]:
+        if not rows:
+            return [], []
+        result, error = (patient if first or len(rows) == 1 else once)(rows)
+        if error is None:
+            return result, [None] * len(rows)
+        if len(rows) == 1:
+            return [None], [error]
+        middle = len(rows) // 2
+        left, right = run(rows[:middle], False), run(rows[middle:], False)
+        return left[0] + right[0], left[1] + right[1]
+
+    return run
+
+
+def in_batches(call: Callable[[list], tuple[list, list]], rows: list, batch_size: int) -> tuple[list, list]:
+    results, errors = [], []
+    for start in range(0, len(rows), batch_size):
+        found, failed = call(rows[start : start + batch_size])
+        results += found
+        errors += failed
+    return results, errors
+
+
 # --- encoder ---------------------------------------------------------------
 
 
@@ -76,20 +116,18 @@ def encode_column(
 
     @F.pandas_udf("struct<dense: array<float>, lexical: map<string, double>, error: string>")
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        model = with_retries(make_encoder(), attempts, pause)
+        model = make_encoder()
+
+        def by_row(texts: list) -> list:
+            found = model(texts)
+            return [(np.asarray(v, dtype=np.float32), dict(w)) for v, w in zip(found["dense_vecs"], found["lexical_weights"])]
+
+        call = isolated(by_row, attempts, pause)
         for texts in batches:
-            rows = {"dense": [], "lexical": [], "error": []}
-            for start in range(0, len(texts), batch_size):
-                part = texts.iloc[start : start + batch_size].fillna("").tolist()
-                result, error = model(part)
-                if error is None:
-                    rows["dense"] += [np.asarray(v, dtype=np.float32) for v in result["dense_vecs"]]
-                    rows["lexical"] += [dict(w) for w in result["lexical_weights"]]
-                else:
-                    rows["dense"] += [None] * len(part)
-                    rows["lexical"] += [None] * len(part)
-                rows["error"] += [error] * len(part)
-            yield pd.DataFrame(rows)
+            found, errors = in_batches(call, texts.fillna("").tolist(), batch_size)
+            yield pd.DataFrame(
+                {"dense": [f and f[0] for f in found], "lexical": [f and f[1] for f in found], "error": errors}
+            )
 
     return encode(text)
 
@@ -197,51 +235,65 @@ def joint_answer_tokens(
 # --- pair scorer, generator, judge, rewards -----------------------------------
 
 
-def pair_scorer(make_scorer: Callable[[], Callable]) -> Callable[[Column, Column], Column]:
-    """Column function of a caller's model scoring (question, candidate) pairs."""
+def pair_scorer(
+    make_scorer: Callable[[], Callable], batch_size: int = 64, attempts: int = ATTEMPTS, pause: float = PAUSE_SECONDS
+) -> Callable[[Column, Column], Column]:
+    """Column function of a caller's model scoring (question, candidate) pairs; NULL where it fails."""
 
     @F.pandas_udf("double")
     def score(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        model = make_scorer()
+        call = isolated(make_scorer(), attempts, pause)
         for left, right in batches:
-            yield pd.Series(model([list(p) for p in zip(left, right)]), dtype="float64")
+            found, _ = in_batches(call, [list(p) for p in zip(left, right)], batch_size)
+            yield pd.Series(found, dtype="float64")
 
     return score
 
 
-def generate(
+def generate_by(
     df: DataFrame,
     prompt: str,
-    make_generator: Callable[[], Callable[[list], list]],
+    model: str,
+    makers: dict[str, Callable[[], Callable[[list], list]]],
     out: str = "generated",
     batch_size: int = 64,
     attempts: int = ATTEMPTS,
     pause: float = PAUSE_SECONDS,
 ) -> DataFrame:
-    """Append the model's answer to each prompt, and the error of failed calls.
+    """Append the answer of the model that each row names, and the error of failed calls.
 
-    Only the prompt column crosses into Python.
+    Only prompt and model name cross into Python; a model is made once per
+    worker and only if a row names it.
     """
 
     @F.pandas_udf("struct<answer: string, error: string>")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        model = with_retries(make_generator(), attempts, pause)
-        for prompts in batches:
-            answers, errors = [], []
-            for start in range(0, len(prompts), batch_size):
-                part = prompts.iloc[start : start + batch_size].tolist()
-                result, error = model(part)
-                answers += list(result) if error is None else [None] * len(part)
-                errors += [error] * len(part)
-            yield pd.DataFrame({"answer": answers, "error": errors})
+    def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        calls: dict[str, Callable] = {}
+        for prompts, names in batches:
+            answers = pd.DataFrame({"answer": [None] * len(prompts), "error": [None] * len(prompts)}, dtype=object)
+            for name in names.unique():
+                if name not in calls:
+                    calls[name] = isolated(makers[name](), attempts, pause)
+                at = np.flatnonzero((names == name).to_numpy())
+                found, errors = in_batches(calls[name], prompts.iloc[at].tolist(), batch_size)
+                answers.iloc[at, 0], answers.iloc[at, 1] = found, errors
+            yield answers
 
     return (
-        df.withColumn("_g", run(F.col(prompt)))
+        df.withColumn("_g", run(F.col(prompt), F.col(model)))
         .withColumns({out: F.col("_g.answer"), f"{out}_error": F.col("_g.error")})
         .drop("_g")
     )
 
 
+def generate(
+    df: DataFrame, prompt: str, make_generator: Callable[[], Callable[[list], list]], out: str = "generated", **calls
+) -> DataFrame:
+    """Append one model's answer to each prompt, and the error of failed calls."""
+    named = df.withColumn("_model", F.lit(""))
+    return generate_by(named, prompt, "_model", {"": make_generator}, out, **calls).drop("_model")
+
+
 def echo_generator(prefix: str = "echo: ", limit: int | None = None) -> Callable[[], Callable]:
     """Stand-in generator: repeats the prompt."""
     return lambda: (lambda prompts: [prefix + (p if limit is None else p[:limit]) for p in prompts])

@@ -161,11 +161,20 @@ def context_rows(
     kept = attach_payload(fused.filter(F.col("rank") >= 2), queries, points)
     kept = kept.filter(F.col("question") != F.col("q_question"))
     if scorer is not None:
-        return rerank(kept, scorer)
+        return reranked_context(kept, scorer)
     order = Window.partitionBy("qid").orderBy("rank")
     return kept.withColumn("_r", F.row_number().over(order).cast("bigint")).drop("rank").withColumnRenamed("_r", "rank")
 
 
+def reranked_context(context: DataFrame, scorer: Scorer) -> DataFrame:
+    """Context in the order of pair scores; a question with a pair that could not be scored has none.
+
+    Its record is NULL then, and every other question keeps its own.
+    """
+    failed = F.count_if(F.col("pair_score").isNull()).over(Window.partitionBy("qid"))
+    return rerank(context, scorer).withColumn("_failed", failed).filter(F.col("_failed") == 0).drop("_failed")
+
+
 PAYLOAD_FIELDS = ("question", "answer", "rating")
 
 
@@ -233,7 +242,7 @@ def sweep(
             extra = {"limit_dense": 50} if name == "dense_sparse_query" else {}
             ranking = retriever(name, **extra)(queries, points)
             contexts[name] = context_rows(queries, points, ranking, limit).persist()
-        context = rerank(contexts[name], scorer) if use_rerank else contexts[name]
+        context = reranked_context(contexts[name], scorer) if use_rerank else contexts[name]
         column = records(ids.select(id_col).distinct(), queries, context, id_col).withColumnRenamed(
             "record", param_name(name, use_rerank)
         )

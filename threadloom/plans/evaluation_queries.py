@@ -7,11 +7,13 @@ from pyspark.sql import functions as F
 from threadloom.functions import models
 from threadloom.functions import text as tx
 from threadloom.operators import evaluation as ev, mltables as ml, ordering, retrieval as rt, stats
+from threadloom.operators.ledger import AnswerLedger
 from threadloom.plans import inputs
 from threadloom.plans.inputs import POINTS, points, with_
 from threadloom.plans.preference_queries import rounded
 from threadloom.plans.prompt_queries import lit
 from threadloom.plans.registry import query
+from threadloom.session import scratch_path
 
 
 # --- verdicts ---------------------------------------------------------------------------
@@ -122,13 +124,16 @@ judged AS (SELECT id, model, variant, n % 4 = 0 AS retried,
   CAST(CASE WHEN n % 4 <> 0 THEN n % 6 WHEN n2 % 8 <> 0 THEN n2 % 6 END AS INTEGER) AS score FROM seconds)"""
 
 
-def judged(spark, sf_dir):
-    return ev.judge(ev.judge_prompts(answered(spark, sf_dir)), lambda: canned_judge())
+def judged(spark, sf_dir, ledger=None):
+    answers = ev.answer_rows(eval_rows(spark, sf_dir), GENERATORS, PROMPTS, ledger)
+    return ev.judge(ev.judge_prompts(answers), lambda: canned_judge(), ledger)
 
 
 @query("m3_verdicts_with_retry", with_(ANSWERED, JUDGED) + "SELECT id, model, variant, retried, score FROM judged")
 def m3(spark, sf_dir):
-    return judged(spark, sf_dir).select("id", "model", "variant", "retried", F.col("verdict.score").alias("score"))
+    """Answers and replies are asked for once; the result reads what was kept."""
+    ledger = AnswerLedger(spark, scratch_path(spark, "ledger"))
+    return judged(spark, sf_dir, ledger).select("id", "model", "variant", "retried", F.col("verdict.score").alias("score"))
 
 
 FLAT = """

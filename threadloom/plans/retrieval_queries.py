@@ -572,14 +572,36 @@ def b12(spark, sf_dir):
     return sampled.filter("rating > 5")
 
 
+def failing_model():
+    """A caller's pair scorer that cannot score some pairs, and with one of them no batch."""
+    score = overlap_model()
+
+    def run(pairs):
+        if any((len(a) + len(b)) % 11 == 0 for a, b in pairs):
+            raise ValueError("cannot score")
+        return score(pairs)
+
+    return run
+
+
 @query(
     "b15_row_error_is_null",
-    with_(POINTS)
-    + """SELECT l.doc_id AS id, p.answer FROM labels l LEFT JOIN points p ON p.id = l.doc_id""",
+    with_(
+        *DENSE_CONTEXT,
+        """failed AS (SELECT DISTINCT c.qid FROM ctx c JOIN points q ON q.id = c.qid JOIN points p ON p.id = c.id
+    WHERE (length(q.question) + length(p.question)) % 11 = 0)""",
+        reranked("again", "ctx"), record_sql("built", "again"),
+    )
+    + """SELECT l.doc_id AS id, CASE WHEN f.qid IS NULL THEN b.record END AS record
+FROM labels l LEFT JOIN built b ON b.qid = l.doc_id LEFT JOIN failed f ON f.qid = l.doc_id""",
 )
 def b15(spark, sf_dir):
+    """The error of a record leaves NULL in its place; unknown ids do too."""
     ids = inputs.table(spark, sf_dir, "labels").select(F.col("doc_id").alias("id"))
-    return ids.join(points(spark, sf_dir).select("id", "answer"), "id", "left")
+    model = models.pair_scorer(failing_model, attempts=1, pause=0.0)
+    scorer = lambda question, candidate: F.round(model(question, candidate), 6)
+    built = rt.create_records(points(spark, sf_dir), ids, "dense_query", use_reranker=True, scorer=scorer)
+    return built.select("id", record_text().alias("record"))
 
 
 @query("b19_equality_lookup", "SELECT doc_id, quality IS NULL AS unlabelled FROM documents LEFT JOIN labels USING (doc_id) WHERE quality = 1 OR quality IS NULL")
