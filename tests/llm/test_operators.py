@@ -132,6 +132,39 @@ def test_dedup_lines_of_nothing_and_of_copies(spark):
     assert got == [False, False, True]
 
 
+def thue_morse(n):
+    return [bin(k).count("1") & 1 for k in range(n)]
+
+
+def test_lines_of_one_polynomial_hash_are_two_lines(spark):
+    """Thue-Morse words and their complement agree modulo 2^64; neither text may lose a line."""
+    pair = [" ".join("ab"[b ^ flip] for b in thue_morse(512)) for flip in (0, 1)]
+    got = {r["doc_id"]: (r["clean"], r["n"]) for r in lines.dedup_lines(frame(spark, [(1, pair[0]), (2, pair[1])]), output=("clean", "n", "runs")).collect()}
+    assert got == {1: (pair[0], 0), 2: (pair[1], 0)}
+
+
+def test_span_hashes():
+    from threadloom.llm import words
+
+    rng = np.random.default_rng(7)
+    parts = [bytes(rng.integers(97, 99, rng.integers(1, 90)).astype(np.uint8)) for _ in range(3000)]
+    parts += [bytes(97 + (b ^ flip) for b in thue_morse(n)) for n in (32, 64, 2048) for flip in (0, 1)]
+    data = np.frombuffer(b"".join(parts), np.uint8)
+    ends = np.cumsum([len(p) for p in parts])
+    hashes = words.span_hashes(data, ends - [len(p) for p in parts], ends).tolist()
+    assert len(set(zip(parts, hashes))) == len(set(hashes)) == len(set(parts))
+
+
+def test_ids_of_texts_with_special_tokens():
+    from threadloom.llm.tokens import Encoder
+
+    texts = ["<|endoftext|> hi", "a b<|endoftext|>c. d", "<|ENDOFTEXT|> x", "<|startoftext|>", "two  <|endoftext|>\n y", "plain words, here", None, ""]
+    for name, spaced in (("word_bpe_49k.json", False), ("byte_bpe_50k.json", True)):
+        plain = Tokenizer.from_file(public_tokenizers.path(name))
+        got = Encoder(public_tokenizers.path(name), spaced).encode(texts)
+        assert [np.frombuffer(x, "<u4").tolist() for x in got] == [plain.encode(t or "", add_special_tokens=False).ids for t in texts]
+
+
 def test_contamination(spark):
     rng = random.Random(8)
     item = sentence(rng, 30)
@@ -140,11 +173,14 @@ def test_contamination(spark):
         (1, f"{sentence(rng, 40)} {' '.join(w[3:14]).upper()}. {sentence(rng, 9)}"), (2, " ".join(w[:9])), (3, None), (4, ""),
         (5, "zz Short-item here"), (6, "short item"), (6, "short item"), (None, item), (7, item + " " + item), (8, sentence(rng, 20_000) + " " + item),
     ]
-    bench = spark.createDataFrame([(1, item), (1, item), (2, "short ITEM"), (3, None), (4, ""), (None, "short item"), (5, sentence(rng, 12))], "item_id bigint, text string")
-    got = {(r["doc_id"], r["n_words"]): (r["n_hit"], r["items"]) for r in decontaminate.contamination(frame(spark, documents), bench).collect()}
+    bench = spark.createDataFrame([(1, item), (1, item), (2, "short ITEM"), (3, None), (4, ""), (None, "short item"), (None, "solo nameless"), (5, sentence(rng, 12))], "item_id bigint, text string")
+    documents.append((9, "a solo nameless b"))
+    found = decontaminate.contamination(frame(spark, documents), bench).collect()
+    got = {(r["doc_id"], r["n_words"]): (r["n_hit"], r["items"]) for r in found}
+    assert {r["doc_id"] for r in found if r["unnamed"]} == {5, 6, 9}
     assert got == {
         (1, 60): (11, ["1"]), (2, 9): (0, []), (3, 0): (0, []), (4, 0): (0, []), (5, 4): (2, ["2"]), (6, 2): (2, ["2"]),
-        (None, 30): (30, ["1"]), (7, 60): (60, ["1"]), (8, 20_030): (30, ["1"]),
+        (None, 30): (30, ["1"]), (7, 60): (60, ["1"]), (8, 20_030): (30, ["1"]), (9, 4): (2, []),
     }
     empty = bench.where("false")
     assert decontaminate.contamination(frame(spark, documents), empty).where("n_hit > 0").count() == 0

@@ -13,7 +13,8 @@ cannot join from leaving the scan; it drops nothing that matters.
 
 Defined results: null and empty texts have no words; they hit nothing and are
 not contaminated. Rows with the same id are separate documents, items with the
-same id count once. Null item ids are ignored. With an empty benchmark nothing
+same id count once. Items with a null id are one item: its windows hit like any
+other's, it is counted, and it is left out of the list of ids. With an empty benchmark nothing
 is hit. Texts are used whole. Columns are read by name, others are ignored.
 """
 
@@ -163,12 +164,12 @@ def _covered(pairs: Column) -> Column:
 def contamination(
     documents: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", keep: tuple[str, ...] = ()
 ) -> DataFrame:
-    """doc_id, row_key, n_words, n_hit, items (distinct, sorted as text) and hit spans (first, end) per document.
+    """doc_id, row_key, n_words, n_hit, items (distinct ids, sorted as text), unnamed (an item without id hit) and hit spans (first, end) per document.
 
     ``keep`` columns are carried beside them.
     """
     spark = documents.sparkSession
-    items = benchmark.select(F.col(item_id).alias("item"), F.col(item_text).cast("string").alias("item_text")).where("item is not null")
+    items = benchmark.select(F.col(item_id).alias("item"), F.col(item_text).cast("string").alias("item_text"))
     sized = written(fingerprints(items, "item", "item_text", tuple(range(1, SPAN)), None), "benchmark-prints")
     # an item of fewer words than a span is its own window; its shorter grams are not
     windows = written(
@@ -192,7 +193,10 @@ def contamination(
         matched.select("row_key", "span", "size").distinct()
         .join(windows.select("span", "size", "item").distinct(), ["span", "size"])
         .groupBy("row_key")
-        .agg(F.array_sort(F.transform(F.collect_set("item"), lambda i: i.cast("string"))).alias("items"))
+        .agg(
+            F.array_sort(F.transform(F.collect_set("item"), lambda i: i.cast("string"))).alias("items"),
+            F.max(F.col("item").isNull()).alias("unnamed"),
+        )
     )
     none = F.array().cast("array<string>")
     return (
@@ -202,7 +206,7 @@ def contamination(
         .select(
             "doc_id", "row_key", "n_words",
             F.coalesce(_covered(F.col("hit_spans")), F.lit(0).cast("bigint")).alias("n_hit"),
-            F.coalesce("items", none).alias("items"), "hit_spans", *keep,
+            F.coalesce("items", none).alias("items"), F.coalesce("unnamed", F.lit(False)).alias("unnamed"), "hit_spans", *keep,
         )
     )
 
@@ -260,7 +264,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
         "doc_id", "n_words", "n_hit",
-        F.size("items").cast("bigint").alias("n_items"),
+        (F.size("items") + F.col("unnamed").cast("int")).cast("bigint").alias("n_items"),
         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
     )

@@ -14,6 +14,8 @@ power of two of its lines. All members of an interval but the first in corpus
 order are later copies. The shortest qualifying runs from each line on and up to
 each line cover exactly the maximal runs, so their union is what is deleted.
 
+A line is known by two independent 64-bit hashes of its bytes.
+
 Corpus order is (document id, null ids last, then text hash), then the line.
 Defined results: a null text stays null, an empty one is one empty line without
 words; both lose nothing. Repeated rows are copies: the first stays. A run may
@@ -55,7 +57,7 @@ def _line_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
 def _lines_of(column: pa.Array, min_words: int) -> Iterator[tuple[int, np.ndarray, list[np.ndarray]]]:
     """(row, rows' line counts, line arrays) for runs of texts.
 
-    Line arrays: number in the text, hash, bytes, last line of the shortest window
+    Line arrays: number in the text, two hashes, last line of the shortest window
     with enough words that begins here, first line of the shortest that ends here
     (-1: none).
     """
@@ -70,11 +72,11 @@ def _lines_of(column: pa.Array, min_words: int) -> Iterator[tuple[int, np.ndarra
         forward = np.where(stop <= first[owner + 1], stop - 1 - first[owner], -1)
         begin = np.searchsorted(total, total[1:] - min_words, side="right") - 1
         backward = np.where((begin >= first[owner]) & (total[1:] >= min_words), begin - first[owner], -1)
-        yield row, np.diff(first), [number, W.span_hashes(data, starts, ends).view(np.int64), ends - starts, forward, backward]
+        yield row, np.diff(first), [number, W.span_hashes(data, starts, ends).view(np.int64), W.byte_hashes(data, starts, ends, 1).view(np.int64), forward, backward]
 
 
 _LINE_SCHEMA = (
-    "row_key bigint, doc_id {kind}, text_hash bigint, line int, hash bigint, bytes bigint, until int, since int"
+    "row_key bigint, doc_id {kind}, text_hash bigint, line int, hash bigint, second bigint, until int, since int"
 )
 
 
@@ -83,13 +85,13 @@ def line_table(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row, counts, (number, hashes, size, forward, backward) in _lines_of(batch[3], min_words):
+            for row, counts, (number, hashes, second, forward, backward) in _lines_of(batch[3], min_words):
                 source = pa.array(np.repeat(np.arange(row, row + len(counts)), counts))
                 yield pa.RecordBatch.from_arrays(
                     [batch[k].take(source) for k in range(3)]
-                    + [pa.array(number.astype(np.int32)), pa.array(hashes), pa.array(size)]
+                    + [pa.array(number.astype(np.int32)), pa.array(hashes), pa.array(second)]
                     + [pa.array(forward.astype(np.int32)), pa.array(backward.astype(np.int32))],
-                    names=["row_key", "doc_id", "text_hash", "line", "hash", "bytes", "until", "since"],
+                    names=["row_key", "doc_id", "text_hash", "line", "hash", "second", "until", "since"],
                 )
 
     rows = documents.where("text is not null").select("row_key", "doc_id", F.xxhash64("text").alias("text_hash"), "text")
@@ -106,9 +108,9 @@ def later_copies(lines: DataFrame) -> DataFrame:
 
     ``lines`` is a written ``line_table``.
     """
-    repeated = lines.groupBy("hash", "bytes").count().where("count > 1").drop("count")
-    ids = written(_ranked(repeated, "hash", "bytes"), "line-ids")
-    level = written(lines.join(ids, ["hash", "bytes"]).select("row_key", "line", "rank"), "ranks-0")
+    repeated = lines.groupBy("hash", "second").count().where("count > 1").drop("count")
+    ids = written(_ranked(repeated, "hash", "second"), "line-ids")
+    level = written(lines.join(ids, ["hash", "second"]).select("row_key", "line", "rank"), "ranks-0")
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash", "row_key").alias("doc")
     windows = written(
         lines.where("until >= 0").select("row_key", place, F.col("line").alias("first"), F.col("until").alias("last"))

@@ -15,10 +15,12 @@ shingles can only be similar when they are equal.
 Sets that are equal form a class. Signatures join classes; what remains after
 two exact bounds (sizes, and the parity sketch: the bits in which two sketches
 differ are at most the shingles in which the sets differ) is verified on the
-sets themselves. Groups of copies are never expanded into pairs: each class is
-first compared with the smallest class it shares a signature with, links give
-components, and only members of different components in one bucket are compared
-further. No link between components is lost.
+sets themselves, which are written once for the classes that share one. Groups
+of copies are never expanded into pairs: in rounds, every bucket of a signature
+has an anchor, each class is compared with the anchor it shares most signatures
+with, and links give components. Buckets of one component are done. When the
+pairs across components are few for each member of the others, they are
+compared one by one. No link between components is lost.
 
 Words are lower-cased (A-Z) runs without ASCII white space, a shingle is five
 of them, a text of fewer words has one shingle of all of them.
@@ -33,7 +35,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from threadloom.llm import words as W
@@ -225,46 +226,50 @@ def _wide_close(na: Column, a: Column, nb: Column, b: Column) -> Column:
     return F.when((F.size(a) == 0) | (F.size(b) == 0), F.lit(True)).otherwise(differing * 9 <= na + nb)
 
 
-def _verified(rows: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The written pairs (a, b) of classes whose sets are similar.
+def _written_sets(rows: DataFrame, classes: DataFrame, members: DataFrame) -> DataFrame:
+    """(class, shingles) of every class that shares a signature, made again from one text each and written once.
 
-    The sets of the classes in question are made again from one text each; a
-    filter of fixed size over those rows' hashes spares the other texts. The
-    pairs are small beside the sets, which move once, to the smaller class.
+    A filter of fixed size over those texts' hashes spares the other texts; the
+    join behind it is exact.
     """
-    pairs = pairs.select("a", "b")
-    nodes = pairs.select(F.col("a").alias("class")).unionByName(pairs.select(F.col("b").alias("class"))).distinct()
-    asked = written(classes.join(nodes, "class", "left_semi").select("class", "rep"), "asked")
+    asked = written(classes.join(members.select("class").distinct(), "class", "left_semi").select("class", "rep"), "asked")
     shared = rows.sparkSession.sparkContext.broadcast(bitmap(asked, "rep"))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.frombuffer(shared.value, dtype=np.int64)
-        seen = np.zeros(0, dtype=np.uint64)  # a repeated row gives its set once in a task
+        seen: set[int] = set()  # a repeated row gives its set once in a task
         for batch in batches:
-            hashes = batch[0].to_numpy(zero_copy_only=False).view(np.uint64)
-            wanted = np.flatnonzero(in_bitmap(bits, hashes) & ~np.isin(hashes, seen))
-            fresh, first = np.unique(hashes[wanted], return_index=True)
-            seen = np.concatenate([seen, fresh])
-            taken = batch.take(pa.array(wanted[first]))
+            hashes = batch[0].to_numpy(zero_copy_only=False)
+            wanted = []
+            for at in np.flatnonzero(in_bitmap(bits, hashes.view(np.uint64))).tolist():
+                if hashes[at] not in seen:
+                    seen.add(int(hashes[at]))
+                    wanted.append(at)
+            taken = batch.take(pa.array(wanted, pa.int32()))
             for row, counts, grams in _shingle_sets(taken[1]):
                 yield pa.RecordBatch.from_arrays(
                     [taken[0].slice(row, len(counts)), pa.array(_class_hashes(counts, grams)), _list(grams, counts)], names=["rep", "class", "shingles"]
                 )
 
     made = rows.select("row_hash", "text").mapInArrow(scan, "rep bigint, class bigint, shingles array<bigint>")
-    sets = made.join(asked, ["class", "rep"], "left_semi").select("class", "shingles").persist(StorageLevel.DISK_ONLY)
+    found = written(made.join(asked, ["class", "rep"], "left_semi").select("class", "shingles"), "shingle-sets")
+    shared.unpersist()
+    return found
+
+
+def _verified(sets: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The written pairs (a, b) of classes whose sets are similar."""
+    pairs = pairs.select("a", "b")
     firsts = sets.join(pairs.select(F.col("a").alias("class")).distinct(), "class", "left_semi")
     both = F.size(F.array_intersect("x", "y"))
-    found = written(
+    # a set that is there twice gives the same link twice
+    return written(
         sets.select(F.col("class").alias("b"), F.col("shingles").alias("y")).join(pairs, "b")
         .join(firsts.select(F.col("class").alias("a"), F.col("shingles").alias("x")), "a")
         .where(both * 100 >= (F.size("x") + F.size("y") - both) * 80)
         .select("a", "b").distinct(),
         "links",
     )
-    sets.unpersist()
-    shared.unpersist()
-    return found
 
 
 def _labelled(members: DataFrame, labels: DataFrame | None) -> DataFrame:
@@ -321,32 +326,42 @@ def similar_documents(documents: DataFrame, doc_id: str = "doc_id", text: str =
         )
         return pairs.join(written(apart, "apart"), ["a", "b"], "left_anti")
 
+    shingle_sets = _written_sets(rows, classes, members)
     links, labels, tested = None, None, None
     placed = members.withColumn("component", F.col("class"))  # every bucket has several components yet
+    turn = 0
     while True:
-        anchor = placed.groupBy("signature").agg(F.min(F.struct("component", "class")).alias("anchor"))
+        # another member is the anchor in every round, the same one in all buckets of a group
+        rank = F.struct(F.xxhash64("class", F.lit(turn)).alias("turn"), "component", "class")
+        anchor = placed.groupBy("signature").agg(F.min(rank).alias("anchor"))
         offered = (
             placed.join(anchor, "signature").where("component <> anchor.component")
             .groupBy(F.col("anchor.class").alias("a"), F.col("class").alias("b")).agg(F.count("*").alias("common"))
         )
         if tested is not None:
             offered = offered.join(tested, ["a", "b"], "left_anti")
-        near = narrowed(written(bounded(offered), "near"))
-        offers = written(near.groupBy("b").agg(F.max_by("a", F.struct("common", "a")).alias("a")).select("a", "b"), "offers")
-        found = _verified(rows, classes, offers)
+        # of the anchors a class meets, the one it shares most signatures with
+        offers = written(offered.groupBy("b").agg(F.max_by("a", F.struct("common", "a")).alias("a")).select("a", "b"), "offers")
+        found = _verified(shingle_sets, narrowed(written(bounded(offers), "near")))
         tested = offers if tested is None else tested.unionByName(offers)
         won = found.count()
-        if won:
-            links = found if links is None else links.unionByName(found)
-            labels = written(components(links), "labels")
-            # buckets whose members are all of one component have nothing left to compare
-            relabelled = _labelled(placed.select("signature", "class"), labels)
-            mixed = (
-                relabelled.groupBy("signature").agg(F.min("component").alias("c"), F.max("component").alias("d"))
-                .where("c <> d").select("signature")
-            )
-            placed = written(relabelled.join(mixed, "signature", "left_semi"), "placed")
-        if won * 20 <= offers.count():  # anchors join little more; the exhaustive step is as good
+        turn += 1
+        if not won:
+            break
+        links = found if links is None else links.unionByName(found)
+        labels = written(components(links), "labels")
+        relabelled = _labelled(placed.select("signature", "class"), labels)
+        parts = relabelled.groupBy("signature", "component").agg(F.count("*").alias("n"))
+        # buckets whose members are all of one component have nothing left to compare
+        mixed = written(
+            parts.groupBy("signature").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("square"), F.count("*").alias("parts"))
+            .where("parts > 1"),
+            "mixed",
+        )
+        placed = written(relabelled.join(mixed, "signature", "left_semi"), "placed")
+        left = mixed.agg(F.sum("n").alias("members"), F.sum((F.col("n") * F.col("n") - F.col("square")) / 2).alias("pairs")).first()
+        # the pairs left are few for each member, or anchors join little more
+        if not left["members"] or left["pairs"] <= 4 * left["members"] or won * 50 <= offers.count():
             break
     # what no anchor has joined: pairs across components within a bucket
     open_rows = written(placed.join(facts, "class"), "open-members")
@@ -363,7 +378,7 @@ def similar_documents(documents: DataFrame, doc_id: str = "doc_id", text: str =
         .distinct()
     )
     pairs = crossing.join(tested, ["a", "b"], "left_anti").join(tested.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti")
-    found = _verified(rows, classes, written(narrowed(written(pairs, "near")), "crossing"))
+    found = _verified(shingle_sets, written(narrowed(written(pairs, "near")), "crossing"))
     if not found.isEmpty():
         links = found if links is None else links.unionByName(found)
         labels = written(components(links), "labels")

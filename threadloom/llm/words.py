@@ -9,12 +9,16 @@ bytes only.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from xxhash import xxh3_64_intdigest
 
 SLICE_BYTES = 1 << 21
+#: bytes whose polynomial hashes come from one running sum
+BLOCK_BYTES = 1 << 18
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
 _STEP = _U(0xD6E8FEB86659FD93)
@@ -24,6 +28,22 @@ _LOWER[65:91] += 32
 _POWERS: list[np.ndarray] = []
 
 
+def _give_back() -> None:
+    """Large arrays go back to the system when they are freed.
+
+    Workers are kept from stage to stage, and the allocators keep what a worker
+    once needed; beside a full JVM heap that is what an executor lacks.
+    """
+    pa.set_memory_pool(pa.system_memory_pool())
+    try:
+        ctypes.CDLL("libc.so.6").mallopt(-3, 1 << 20)  # M_MMAP_THRESHOLD; stating it keeps it from growing
+    except (OSError, AttributeError):
+        pass  # another C library
+
+
+_give_back()
+
+
 def byte_class(*ranges: tuple[int, int]) -> np.ndarray:
     """Table over bytes, true inside the inclusive ranges."""
     table = np.zeros(256, dtype=bool)
@@ -89,32 +109,46 @@ def spans(data: np.ndarray, offsets: np.ndarray, inside: np.ndarray) -> tuple[np
     return starts, ends, np.searchsorted(offsets, starts, side="right") - 1
 
 
-def _powers(length: int) -> tuple[np.ndarray, np.ndarray]:
-    if not _POWERS or len(_POWERS[0]) < length:
-        inverse = pow(_BASE, -1, 1 << 64)
-        for value in (_BASE, inverse):
-            steps = np.full(length, value, dtype=np.uint64)
+def _powers() -> list[np.ndarray]:
+    """Powers of the base and of its inverse, as many as a block has bytes."""
+    if not _POWERS:
+        for value in (_BASE, pow(_BASE, -1, 1 << 64)):
+            steps = np.full(BLOCK_BYTES + POLYNOMIAL_BYTES + 1, value, dtype=np.uint64)
             steps[0] = 1
             _POWERS.append(np.multiply.accumulate(steps))
-        del _POWERS[:-2]
-    return _POWERS[0], _POWERS[1]
+    return _POWERS
+
+
+#: a polynomial modulo 2^64 loses bits on long texts of a built pattern (Thue-Morse); longer spans are hashed one by one
+POLYNOMIAL_BYTES = 32
+
+
+def byte_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
+    """XXH3 of the bytes of each span."""
+    view = memoryview(np.ascontiguousarray(data))
+    return np.fromiter((xxh3_64_intdigest(view[a:b], seed) for a, b in zip(starts.tolist(), ends.tolist())), dtype=np.uint64, count=len(starts))
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit hash of the bytes of each span; equal bytes give equal hashes anywhere.
 
-    A polynomial over random byte codes, taken from a running sum, block by block.
+    A polynomial over random byte codes, taken from a running sum, block by
+    block; XXH3 for spans beyond ``POLYNOMIAL_BYTES``.
     """
     out = np.empty(len(starts), dtype=np.uint64)
-    first = 0
-    while first < len(starts):
-        last = max(int(np.searchsorted(ends, starts[first] + SLICE_BYTES, side="right")), first + 1)
+    long = ends - starts > POLYNOMIAL_BYTES
+    at = np.flatnonzero(long)
+    out[at] = byte_hashes(data, starts[at], ends[at])
+    at = np.flatnonzero(~long)
+    starts, ends, first = starts[at], ends[at], 0
+    up, down = _powers()
+    while first < len(at):
+        last = max(int(np.searchsorted(ends, starts[first] + BLOCK_BYTES, side="right")), first + 1)
         low, high = int(starts[first]), int(ends[last - 1])
-        up, down = _powers(max(high - low + 1, SLICE_BYTES + 1))
         sums = np.zeros(high - low + 1, dtype=np.uint64)
         np.cumsum(_BYTE_CODES[data[low:high]] * down[: high - low], out=sums[1:])
         a, b = starts[first:last] - low, ends[first:last] - low
-        out[first:last] = mix((sums[b] - sums[a]) * up[a] + (b - a).astype(np.uint64))
+        out[at[first:last]] = mix((sums[b] - sums[a]) * up[a] + (b - a).astype(np.uint64))
         first = last
     return out
 
