@@ -1,9 +1,10 @@
 from __future__ import annotations
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from threadloom.operators import prompts as pr, retrieval as rt
+from threadloom.operators import prompts as pr, reranking as rr, retrieval as rt
 
 
 @pytest.fixture(scope="module")
@@ -90,3 +91,54 @@ def test_context_layouts(spark):
     assert text("record").endswith("\n\nВопрос гражданина:\nq\n\nОтвет юриста:\na")
     with pytest.raises(ValueError):
         pr.context_text(F.lit(None), "nothing")
+
+
+def test_bounded_rerank_scores_less(spark):
+    """Same places as scoring everything, far fewer pairs; bounds that tell nothing cost nothing but pairs."""
+    rng = np.random.default_rng(6)
+    vocabulary = [f"w{i}" for i in range(60)] + [f"r{i}" for i in range(400)]
+    weight = np.r_[np.full(60, 3.0), np.full(400, 1.0)]
+    texts = []
+    for _ in range(50):  # each with five others that say much the same
+        said = rng.choice(vocabulary, rng.integers(8, 40), p=weight / weight.sum())
+        texts += [" ".join(np.where(rng.random(len(said)) < 0.15, rng.choice(vocabulary, len(said)), said)) for _ in range(6)]
+    texts[7] = ""
+    points = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id long, question string")
+    queries = points.filter("id < 20").select(F.col("id").alias("qid"), F.col("question").alias("q_question"))
+    pairs = queries.crossJoin(points).withColumn("rank", F.col("id") + 1)
+    rare = rr.rarest_words(queries.withColumnRenamed("q_question", "question"), points)
+    pairs = pairs.join(rare, "qid", "left")
+
+    def scorer():
+        def run(batch):
+            sets = [[{w for w in text.split(" ") if w} for text in pair] for pair in batch]
+            return [len(a & b) / len(a | b) if a | b else 0.0 for a, b in sets]
+
+        return run
+
+    every = rt.rerank(pairs).filter("rank <= 5").select("qid", "id", "rank")
+    wanted = sorted(map(tuple, every.collect()))
+    bound = rr.overlap_bound(F.col("q_question"), F.col("question"), F.col("rare"))
+    got = rr.bounded_rerank(pairs, scorer, bound, 5).persist()
+    assert sorted((r.qid, r.id, r["rank"]) for r in got.collect()) == wanted
+    seen = got.select("qid", "scored").distinct().agg(F.sum("scored")).first()[0]
+    assert seen < 0.4 * 20 * 300
+    idle = rr.bounded_rerank(pairs, scorer, F.lit(1.0), 5)
+    assert sorted((r.qid, r.id, r["rank"]) for r in idle.collect()) == wanted and idle.first().scored == 300
+    got.unpersist()
+
+
+def test_bounded_rerank_tells_failing_pairs(spark):
+    rows = [(1, i, i + 1, "q", "bad" if i == 2 else f"c{i}") for i in range(6)]
+    ranked = spark.createDataFrame(rows, "qid long, id long, rank long, q_question string, question string")
+
+    def scorer():
+        def run(batch):
+            if any(b == "bad" for _, b in batch):
+                raise ValueError("no")
+            return [int(b[1:]) / 10 for _, b in batch]
+
+        return run
+
+    got = rr.bounded_rerank(ranked, scorer, F.lit(1.0), 2, attempts=1, pause=0.0).collect()
+    assert [(r.id, r.pair_score, r["rank"]) for r in sorted(got, key=lambda r: r["rank"])] == [(5, 0.5, 1), (4, 0.4, 2), (2, None, 3)]

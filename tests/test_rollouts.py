@@ -3,7 +3,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import functions as F
 
-from threadloom.operators import rollouts as ro, stats
+from threadloom.operators import ordering, rollouts as ro, stats
 
 
 def test_reverse_scan_matches_the_loop(spark):
@@ -67,6 +67,49 @@ def test_quantiles_and_histogram(spark):
     spark.catalog.clearCache()
 
 
+def test_describe_of_offsets_groups_and_nothing(spark):
+    values = np.array([1e9 + k / 8 for k in range(64)])
+    df = spark.createDataFrame([("a", float(v)) for v in values] + [("b", 5.0), ("c", None)], "g string, x double")
+    by = {r.g: r for r in stats.describe(df, "x", ["g"]).collect()}
+    assert abs(by["a"]["std"] - values.std(ddof=1)) < 1e-9 and by["a"]["count"] == 64
+    assert (by["b"]["count"], by["b"]["std"], by["b"].q50) == (1, None, 5.0) and (by["c"]["count"], by["c"]["mean"]) == (0, None)
+    none = stats.describe(df.where("false"), "x").first()
+    assert (none["count"], none["mean"], none["std"], none.q25) == (0, None, None, None)
+
+
+def test_sketches_merge(spark):
+    rng = np.random.default_rng(2)
+    values = np.round(rng.gamma(2.0, 50.0, 40_000) + 1e6, 2)
+    df = spark.createDataFrame([(int(k % 7), float(v)) for k, v in enumerate(values)] + [(9, None)], "part int, x double")
+    parts = stats.sketch(df, "x", ["part"], k=1024)
+    assert parts.count() == 8
+    told = stats.describe_sketch(stats.merge_sketches(parts)).first()
+    assert told["count"] == 40_000 and abs(told["mean"] - values.mean()) < 1e-6 and abs(told["std"] - values.std(ddof=1)) < 1e-6
+    assert (told["min"], told["max"]) == (values.min(), values.max())
+    for name, f in (("q25", 0.25), ("q50", 0.5), ("q75", 0.75)):
+        low, high = (values < told[name]).mean(), (values <= told[name]).mean()
+        assert low - stats.rank_error(1024) <= f <= high + stats.rank_error(1024)
+    # one pass over the input, one row a task in the shuffle
+    plan = parts._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
+
+
+def test_running_moments(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    values = rng.normal(size=600) + 1e8
+    steps = np.sort(rng.integers(0, 100, 600))
+    rows = [(int(s), int((steps == s).sum()), float(values[steps == s].mean()), float(((values[steps == s] - values[steps == s].mean()) ** 2).sum())) for s in np.unique(steps)]
+    rows.append((1000, 0, 0.0, 0.0))
+    monkeypatch.setattr(ordering, "ROWS_PER_BUCKET", 17)
+    got = {r.step: r for r in stats.running_moments(spark.createDataFrame(rows, "step int, n long, mean double, m2 double"), "step").collect()}
+    for s in np.unique(steps):
+        upto = values[steps <= s]
+        assert got[s].n == len(upto) and abs(got[s].running_mean - upto.mean()) < 1e-6
+        # the batch means themselves are only known to 1.5e-8 at this size
+        assert len(upto) < 2 or abs(got[s].running_var / upto.var(ddof=1) - 1) < 1e-7
+    assert got[1000].n == 600
+
+
 def test_empty_bins_are_returned(spark):
     df = spark.createDataFrame([(0.0,), (10.0,)], "x double")
     assert [r.n for r in stats.histogram(df, "x").orderBy("bin").collect()] == [1] + [0] * 8 + [1]

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from threadloom.functions import models
 from threadloom.functions import text as tx
 from threadloom.functions import vectors as vx
-from threadloom.operators import ordering, retrieval as rt, stats
+from threadloom.operators import ordering, reranking as rr, retrieval as rt, stats
 from threadloom.operators.knn import dense_topk
 from threadloom.operators.postings import dealt, join_topk, load_index, search
 from threadloom.plans import inputs
@@ -237,6 +237,36 @@ def e3(spark, sf_dir):
     return rt.rerank(found, rt.length_ratio).select("qid", "id", "rank")
 
 
+@query(
+    "c9_bounded_rerank",
+    with_(POINTS, WORDS, DENSE, ranked("d", "dense", 50), reranked("best", "d", k=5)) + "SELECT qid, id, rank FROM best",
+)
+def c9_bounded(spark, sf_dir):
+    """The best five of fifty by a caller's scorer, which sees only pairs that may be among them."""
+    return bounded_context(spark, sf_dir, 50, 5).select("qid", "id", "rank")
+
+
+def bounded_context(spark, sf_dir, k, n):
+    pts = points(spark, sf_dir)
+    queries = self_queries(pts)
+    found = rt.attach_payload(dense_topk(queries, pts, k), queries, pts).join(rr.rarest_words(queries, pts), "qid", "left")
+    bound = rr.overlap_bound(F.col("q_question"), F.col("question"), F.col("rare"))
+    return rr.bounded_rerank(found, overlap_model, bound, n).drop("rare")
+
+
+@query(
+    "c14_bounded_two_stage",
+    with_(
+        POINTS, WORDS, DENSE, ranked("d", "dense", 20), reranked("first", "d", k=8),
+        reranked("second", "first", LENGTH_RATIO, 8),
+    )
+    + "SELECT qid, id, rank FROM second",
+)
+def c14_bounded(spark, sf_dir):
+    first = bounded_context(spark, sf_dir, 20, 8).drop("pair_score", "scored")
+    return rt.rerank(first, rt.length_ratio).select("qid", "id", "rank")
+
+
 @query(
     "c14_two_stage_rerank",
     with_(

@@ -201,6 +201,29 @@ def d6_price(spark, sf_dir):
     return rounded_describe(stats.describe(inputs.table(spark, sf_dir, "lineitem"), "l_extendedprice"))
 
 
+@query(
+    "d6_price_sketch",
+    f"""SELECT {DESCRIBE.split("round(quantile")[0].rstrip(", ")}, true AS q25_within, true AS q50_within, true AS q75_within
+FROM (SELECT l_extendedprice AS x FROM lineitem)""",
+)
+def d6_sketch(spark, sf_dir):
+    """Summaries per part, merged; each quartile's true rank is within four times the stated error."""
+    lines = inputs.table(spark, sf_dir, "lineitem")
+    merged = stats.merge_sketches(stats.sketch(lines, "l_extendedprice", ["l_returnflag"]))
+    told = stats.describe_sketch(merged)
+    quartile = {f: told.select(f"q{int(f * 100)}").scalar() for f in stats.QUARTILES}
+    x, slack = F.col("l_extendedprice"), 4 * stats.rank_error()
+    ranks = lines.agg(
+        *[
+            ((F.count_if(x < q) / F.count(x) <= f + slack) & (F.count_if(x <= q) / F.count(x) >= f - slack)).alias(f"q{int(f * 100)}_within")
+            for f, q in quartile.items()
+        ]
+    )
+    basic = told.select("count", F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std"), "min", "max")
+    held = ranks.select(F.struct(*ranks.columns)).scalar()
+    return basic.withColumn("_r", held).select(*basic.columns, "_r.*")
+
+
 HISTOGRAM = """
 edges AS (SELECT min(x) AS lo, max(x) AS hi FROM source),
 bins AS (SELECT unnest(range(1, 11)) AS bin),
@@ -442,6 +465,32 @@ def d20(spark, sf_dir):
     return stats.running_mean(batches, "step").select("step", F.round("running_mean", 9).alias("running_mean"))
 
 
+@query(
+    "d20_running_moments",
+    """WITH batches AS (SELECT event_id // 7 AS step, count(*) AS n, avg(value) AS mean, var_pop(value) * count(*) AS m2 FROM events GROUP BY 1),
+run AS (SELECT step, sum(n) OVER w AS n, sum(n * mean) OVER w / sum(n) OVER w AS mean, sum(m2 + n * mean * mean) OVER w AS square FROM batches WINDOW w AS (ORDER BY step))
+SELECT step, CAST(n AS BIGINT) AS n, round(mean, 6) AS running_mean, round((square - n * mean * mean) / (n - 1), 6) AS running_var, true AS same_far_away FROM run""",
+)
+def d20_moments(spark, sf_dir):
+    """Running mean and variance; the same values a thousand million away from 0 must have the same variance."""
+    far = 1e9
+
+    def run(value):
+        batches = (
+            inputs.table(spark, sf_dir, "events")
+            .groupBy(F.floor(F.col("event_id") / 7).cast("bigint").alias("step"))
+            .agg(F.count(F.lit(1)).alias("n"), F.avg(value).alias("mean"), (F.var_pop(value) * F.count(F.lit(1))).alias("m2"))
+        )
+        return stats.running_moments(batches, "step")
+
+    near = run(F.col("value"))
+    away = run(F.col("value") + far).select("step", F.col("running_mean").alias("mean_b"), F.col("running_var").alias("var_b"))
+    same = (F.abs(F.col("mean_b") - far - F.col("running_mean")) < 1e-5) & (F.abs(F.col("var_b") / F.col("running_var") - 1) < 1e-6)
+    return near.join(away, "step").select(
+        "step", "n", F.round("running_mean", 6).alias("running_mean"), F.round("running_var", 6).alias("running_var"), same.alias("same_far_away")
+    )
+
+
 @query(
     "d19_accuracy",
     """SELECT round(avg(CASE WHEN (d.n_chars > 1000) = (l.quality = 1) THEN 1.0 ELSE 0.0 END), 6) AS accuracy
