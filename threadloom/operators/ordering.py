@@ -3,6 +3,11 @@
 A global ``row_number`` or running sum over one window pulls every row into
 one task. Here rows are first cut into ordered buckets, bucket totals (a small
 table) are accumulated, and each bucket is then numbered on its own.
+
+Buckets follow measured counts: the key range is split into equal cells, cells
+that hold too many rows are split again, and neighbours are joined up to the
+wanted size. There are at least as many buckets as shuffle partitions and as
+many more as their size asks for.
 """
 
 from __future__ import annotations
@@ -13,9 +18,14 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-# Rows one bucket should hold; a bucket is sorted by one task.
+# Most rows one bucket should hold; a bucket is sorted by one task.
 ROWS_PER_BUCKET = 1_000_000
-MAX_BUCKETS = 4096
+# Parts of a cell that is split.
+CELLS = 256
+# Cut points that are compared in an expression; more are looked up in Arrow batches.
+COMPARED_CUTS = 32
+# Leading digits of a hex key that place it; they are exact in a double.
+HEX_DIGITS = 13
 
 
 def sample_key(id_col: Column, seed: int = 42) -> Column:
@@ -23,29 +33,76 @@ def sample_key(id_col: Column, seed: int = 42) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), id_col.cast("string")))
 
 
-def numeric_bounds(df: DataFrame, key: str, buckets: int | None = None) -> list[float]:
-    """Ordered cut points that spread ``key`` evenly over buckets."""
+def _wanted_rows(df: DataFrame, rows: int, buckets: int | None) -> int:
+    """Rows of a bucket."""
     if buckets is None:
-        rows = df.count()
-        buckets = min(MAX_BUCKETS, max(1, -(-rows // ROWS_PER_BUCKET)))
-    if buckets <= 1:
-        return []
-    steps = [i / buckets for i in range(1, buckets)]
-    cuts = df.agg(
-        F.percentile_approx(F.col(key).cast("double"), steps, 10 * MAX_BUCKETS).alias("c")
-    ).first()["c"]
-    return sorted(set(cuts or []))
+        buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        return max(1, min(ROWS_PER_BUCKET, -(-rows // buckets)))
+    return max(1, -(-rows // buckets))
 
 
-def bucket_of(key: Column, bounds: list[float]) -> Column:
+def numeric_bounds(df: DataFrame, key: str, buckets: int | None = None) -> list[float]:
+    """Ordered cut points of ``key``: a bucket holds the values up to its cut, and no more rows than wanted.
+
+    Only one value that is repeated more often, being one place in the order,
+    makes a larger bucket. Every level of splitting is one aggregate with a row
+    per cell that has values.
+    """
+    value = F.col(key).cast("double")
+    finite = df.select(F.when(F.abs(value) <= 1.7e308, value).alias("v")).filter(F.col("v").isNotNull())
+    low, high, rows = finite.agg(F.min("v"), F.max("v"), F.count("v")).first()
+    if not rows or low == high:
+        return []
+    wanted = _wanted_rows(df, rows, buckets)
+
+    def measured(cell: Column) -> pd.DataFrame:
+        found = finite.groupBy(cell.alias("cell")).agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
+        return found.toPandas().sort_values("low")
+
+    cells = measured(F.floor((F.col("v") - low) / (high / 2 - low / 2) * (CELLS / 2)))
+    while True:
+        cuts = cells["high"].to_numpy()
+        dense = cells[(cells["n"] > wanted) & (cells["low"] < cells["high"])]
+        if dense.empty:
+            break
+        # the lowest value of a dense cell is cut off too, in case it is what makes it dense
+        inner = [np.r_[a, np.linspace(a, b, CELLS + 1)[1:-1]] for a, b in zip(dense["low"], dense["high"])]
+        finer = np.unique(np.concatenate([cuts, *inner]))
+        if len(finer) == len(cuts):
+            break
+        cells = measured(bucket_of(F.col("v"), finer[:-1].tolist()))
+    held, out = 0, []
+    for n, top in zip(cells["n"], cells["high"]):
+        if held and held + n > wanted:
+            out.append(last)
+            held = 0
+        held, last = held + n, float(top)
+    return out
+
+
+def bucket_of(key: Column, bounds: Sequence[float]) -> Column:
     """Bucket number of a numeric key; buckets are ordered like the key."""
+    value = key.cast("double")
+    if len(bounds) <= COMPARED_CUTS:
+        number = F.lit(0)
+        for cut in bounds:
+            number = number + (value > F.lit(float(cut))).cast("int")
+        return number
     cuts = np.asarray(bounds)
 
     @F.pandas_udf("int")
     def locate(values: pd.Series) -> pd.Series:
         return pd.Series(np.searchsorted(cuts, values.to_numpy(dtype=float), side="left"))
 
-    return locate(key.cast("double"))
+    return locate(value)
+
+
+def hashed_bucket(df: DataFrame, key: str, buckets: int | None = None) -> Column:
+    """Bucket number of a hex digest, whose values are spread evenly."""
+    rows = df.count()
+    number = -(-rows // _wanted_rows(df, rows, buckets)) if rows else 1
+    place = F.conv(F.substring(F.col(key), 1, HEX_DIGITS), 16, 10).cast("double") / float(16**HEX_DIGITS)
+    return F.floor(place * number).cast("int")
 
 
 def running_total(
@@ -59,19 +116,11 @@ def running_total(
 ) -> DataFrame:
     """Inclusive running sum of ``weight`` (1 by default) in ``key`` order.
 
-    ``key`` must be unique within a partition. ``hashed_key`` marks a hex digest,
-    whose leading digits are already an even, ordered bucketing.
+    ``key`` must be unique within a partition. ``hashed_key`` marks a hex digest.
     """
     weight = F.lit(1).cast("bigint") if weight is None else weight
     upto = [Window.unboundedPreceding, Window.currentRow]
-    if hashed_key:
-        bucket = F.substring(F.col(key), 1, 3)
-    else:
-        bounds = numeric_bounds(df, key, buckets)
-        if not bounds:  # one bucket holds everything
-            whole = Window.partitionBy(*partition).orderBy(key).rowsBetween(*upto)
-            return df.withColumn("_w", weight).withColumn(out, F.sum("_w").over(whole)).drop("_w")
-        bucket = bucket_of(F.col(key), bounds)
+    bucket = hashed_bucket(df, key, buckets) if hashed_key else bucket_of(F.col(key), numeric_bounds(df, key, buckets))
     work = df.withColumn("_w", weight).withColumn("_b", bucket)
     totals = work.groupBy(*partition, "_b").agg(F.sum("_w").alias("_t"))
     before = (

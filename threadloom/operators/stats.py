@@ -240,8 +240,7 @@ def running_moments(batches: DataFrame, step: str) -> DataFrame:
     (a row per bucket), and every bucket is scanned on from there.
     """
     spark = batches.sparkSession
-    bounds = numeric_bounds(batches, step)
-    bucket = bucket_of(F.col(step), bounds) if bounds else F.lit(0)
+    bucket = bucket_of(F.col(step), numeric_bounds(batches, step))
     rows = batches.select(F.col(step).cast("double").alias("step"), F.col("n").cast("double"), "mean", "m2", bucket.alias("bucket"))
 
     def scan(part: pd.DataFrame, state: tuple[float, float, float]) -> list[tuple[float, float, float]]:
