@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -40,6 +41,16 @@ def written(frame: DataFrame, name: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def tidy(spark: SparkSession) -> None:
+    """Lets Spark remove the shuffle files of jobs that are over.
+
+    They go when the driver's JVM collects the plans that made them, which may
+    take longer than a disk lasts; nothing that is still held is touched.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def with_row_key(frame: DataFrame, *columns: str) -> DataFrame:
     """``columns`` and a ``row_key`` unique to each row; write it before it is used twice."""
     return frame.select(*columns, F.monotonically_increasing_id().alias("row_key"))

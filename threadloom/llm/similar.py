@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from threadloom.llm import words as W
-from threadloom.llm.base import bitmap, in_bitmap, query, table, written
+from threadloom.llm.base import bitmap, in_bitmap, query, table, tidy, written
 from threadloom.llm.components import components
 
 SHINGLE = 5
@@ -229,10 +229,11 @@ def _wide_close(na: Column, a: Column, nb: Column, b: Column) -> Column:
 def _written_sets(rows: DataFrame, classes: DataFrame, members: DataFrame) -> DataFrame:
     """(class, shingles) of every class that shares a signature, made again from one text each and written once.
 
-    A filter of fixed size over those texts' hashes spares the other texts; the
-    join behind it is exact.
+    A filter of fixed size over those texts' hashes spares the other texts. A few
+    more pass it, and a class may be there twice: both do no harm where the sets
+    are joined with pairs of classes, and no set is shuffled to prevent it.
     """
-    asked = written(classes.join(members.select("class").distinct(), "class", "left_semi").select("class", "rep"), "asked")
+    asked = classes.join(members.select("class").distinct(), "class", "left_semi").select("rep")
     shared = rows.sparkSession.sparkContext.broadcast(bitmap(asked, "rep"))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -252,7 +253,7 @@ def _written_sets(rows: DataFrame, classes: DataFrame, members: DataFrame) -> Da
                 )
 
     made = rows.select("row_hash", "text").mapInArrow(scan, "rep bigint, class bigint, shingles array<bigint>")
-    found = written(made.join(asked, ["class", "rep"], "left_semi").select("class", "shingles"), "shingle-sets")
+    found = written(made.where("class <> 0").select("class", "shingles"), "shingle-sets")
     shared.unpersist()
     return found
 
@@ -308,6 +309,7 @@ def similar_documents(documents: DataFrame, doc_id: str = "doc_id", text: str =
         .select("signature")
     )
     members = written(signed.join(shared.hint("shuffle_hash"), "signature").distinct(), "members")
+    tidy(documents.sparkSession)  # the signatures of all sets
     facts = classes.select("class", "n", "sketch")
     large = classes.where(F.size("wide") > 0).select("class", "n", "wide")
 
@@ -345,6 +347,7 @@ def similar_documents(documents: DataFrame, doc_id: str = "doc_id", text: str =
         found = _verified(shingle_sets, narrowed(written(bounded(offers), "near")))
         tested = offers if tested is None else tested.unionByName(offers)
         won = found.count()
+        tidy(documents.sparkSession)
         turn += 1
         if not won:
             break
