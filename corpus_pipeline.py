@@ -4,6 +4,14 @@ Each stage takes (spark, docs, sf_dir), decides over every row it is given and
 returns the rows that stay, with the columns of ``docs``; the last returns the
 pieces and their places. ``run`` writes each stage's rows as Parquet in the
 shared folder and reads them again.
+
+Defined results: a document with a null or empty text is scored like an empty
+one, has no line, near duplicate or benchmark word to lose, and is packed as its
+end token. Null ids are ids like any other and come last where the smallest
+counts; repeated rows are documents of their own to every stage but near
+duplicates, where one of them stays. Empty tables give empty results; without
+labels nothing is toxic, without a benchmark nothing is contaminated. Texts of
+any length are used whole.
 """
 
 from __future__ import annotations
@@ -11,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from threadloom.llm import decontaminate, lines, packing, similar, toxicity
-from threadloom.llm.base import table, written
+from threadloom.llm.base import table, tidy, written
 
 
 def _without(docs: DataFrame, row_hashes: DataFrame, how: str = "left_anti") -> DataFrame:
@@ -29,6 +37,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later copies of line runs of 50 words or more are cut out; documents that lose every word with them go."""
+    tidy(spark)
     done = lines.dedup_lines(docs, output=("__kept_text", "__n_deleted", "__runs"))
     done = done.where((F.col("__n_deleted") == 0) | F.col("__kept_text").rlike(r"[^\x20\x09-\x0D]"))
     changed = {"text": F.col("__kept_text")}
@@ -40,6 +49,7 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of similar documents the one with the smallest id stays (ids before null, ties by text hash)."""
+    tidy(spark)
     found = written(similar.similar_documents(docs).where("component is not null").select("doc_id", "row_hash", "component"), "groups")
     first = found.groupBy("component").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_hash")).alias("first"), F.count("*").alias("rows")
@@ -57,6 +67,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that share ten consecutive words (or a whole shorter item) with the benchmark go."""
+    tidy(spark)
     rows = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("row_hash"))
     found = decontaminate.contamination(rows, table(spark, sf_dir, "benchmark"), keep=("row_hash",))
     return _without(docs, written(found.where("n_hit > 0").select("row_hash").distinct(), "contaminated"))
@@ -64,6 +75,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Places of all pieces in sequences of at most 2048 tokens."""
+    tidy(spark)
     return packing.pack_documents(docs).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
