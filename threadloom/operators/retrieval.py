@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from threadloom.functions import text as tx
 from threadloom.operators.knn import ROUND_DIGITS, best_per_query, dense_topk, topk_among
 from threadloom.operators.postings import sparse_topk
+from threadloom.session import scratch_path
 
 Scorer = Callable[[Column, Column], Column]
 
@@ -229,25 +230,52 @@ def sweep(
     scorer: Scorer = token_overlap,
     id_col: str = "points",
 ) -> DataFrame:
-    """One ``param_*`` record column per retriever setting, joined on the id.
+    """One ``param_*`` record column per retriever setting.
 
-    The context of a retriever (a few rows per id) is computed once and kept;
-    its re-ranked setting starts from the same rows.
+    The lists of all retrievers are one long table of ids and ranks: it meets the
+    payload once, every pair is scored once per list, and one aggregate per
+    question turns the settings into columns.
     """
-    queries = queries_by_id(points, ids, id_col).persist()
-    contexts: dict[str, DataFrame] = {}
-    wide = ids
+    queries = queries_by_id(points, ids, id_col)
+    names = list(dict.fromkeys(name for name, _ in settings))
+    long = None
+    for name in names:
+        extra = {"limit_dense": 50} if name == "dense_sparse_query" else {}
+        fused = fuse([retriever(name, **extra)(queries, points)], limit=limit + 5)
+        part = fused.filter(F.col("rank") >= 2).select("qid", "id", "rank", F.lit(name).alias("retriever"))
+        long = part if long is None else long.unionByName(part)
+    asked = queries.select("qid", *[F.col(f).alias(f"q_{f}") for f in PAYLOAD_FIELDS])
+    kept = long.join(points.select("id", *PAYLOAD_FIELDS), "id").join(asked, "qid")
+    kept = kept.filter(F.col("question") != F.col("q_question"))
+    per_list = Window.partitionBy("qid", "retriever")
+    placed = kept.withColumn("pair_score", scorer(F.col("q_question"), F.col("question"))).withColumns(
+        {
+            "_plain": F.row_number().over(per_list.orderBy("rank")),
+            "_rerank": F.row_number().over(per_list.orderBy(F.desc("pair_score"), "rank")),
+            "_failed": F.count_if(F.col("pair_score").isNull()).over(per_list),
+        }
+    )
+    columns = []
     for name, use_rerank in settings:
-        if name not in contexts:
-            extra = {"limit_dense": 50} if name == "dense_sparse_query" else {}
-            ranking = retriever(name, **extra)(queries, points)
-            contexts[name] = context_rows(queries, points, ranking, limit).persist()
-        context = reranked_context(contexts[name], scorer) if use_rerank else contexts[name]
-        column = records(ids.select(id_col).distinct(), queries, context, id_col).withColumnRenamed(
-            "record", param_name(name, use_rerank)
-        )
-        wide = wide.join(column, id_col, "left")
-    return wide
+        wanted = F.col("retriever") == name
+        if use_rerank:  # a list with a pair that could not be scored gives no record
+            wanted = wanted & (F.col("_failed") == 0)
+        place = F.col("_rerank" if use_rerank else "_plain").alias("rank")
+        context = F.array_sort(F.collect_list(F.when(wanted, F.struct(place, *PAYLOAD_FIELDS))))
+        columns.append(context.alias(param_name(name, use_rerank)))
+    own = F.first(F.struct(*[F.col(f"q_{f}").alias(f) for f in PAYLOAD_FIELDS])).alias("_own")
+    nested = placed.groupBy("qid").agg(own, *columns)
+    records_of = [
+        F.when(
+            F.size(param_name(*setting)) > 0,
+            F.struct(
+                F.col("_own").alias("question_answer"),
+                F.transform(param_name(*setting), lambda c: F.struct(*[c[f].alias(f) for f in PAYLOAD_FIELDS])).alias("context"),
+            ),
+        ).alias(param_name(*setting))
+        for setting in settings
+    ]
+    return ids.join(nested.select(F.col("qid").alias(id_col), *records_of), id_col, "left")
 
 
 def complete_rows(wide: DataFrame) -> DataFrame:
@@ -320,6 +348,13 @@ def question_context(
 # --- comparison of search modes ---------------------------------------------
 
 
+def _kept(ranking: DataFrame, name: str) -> DataFrame:
+    """A ranking that is read several times, written once: ids, scores and ranks only."""
+    path = scratch_path(ranking.sparkSession, name)
+    ranking.write.parquet(path)
+    return ranking.sparkSession.read.schema(ranking.schema).parquet(path)
+
+
 def compare_modes(
     queries: DataFrame, points: DataFrame, n: int = 5, wide_limit: int = 1000, limit: int = 100
 ) -> DataFrame:
@@ -327,9 +362,8 @@ def compare_modes(
 
     Modes: dense, sparse, both fused, sparse then dense, dense then sparse.
     """
-    queries = queries.persist()
-    dense = dense_topk(queries, points, wide_limit).persist()
-    sparse = sparse_topk(queries, points, wide_limit).persist()
+    dense = _kept(dense_topk(queries, points, wide_limit), "dense-ranking")
+    sparse = _kept(sparse_topk(queries, points, wide_limit), "sparse-ranking")
     top = lambda ranking: ranking.filter(F.col("rank") <= limit)
     modes = {
         # Mode names, spelled as the result columns are.

@@ -197,9 +197,13 @@ def a12(spark, sf_dir):
 def a13(spark, sf_dir):
     kept = points(spark, sf_dir).filter("rating > 5").drop("dense")
     numbered = ordering.shuffled_position(kept, "id").withColumn("doc_no", F.col("rn") - 1)
-    dump = tb.point_dump(numbered)
-    tb.write_text(dump, scratch_path(spark, "dump.txt"))
-    return dump
+    path = scratch_path(spark, "dump.txt")
+    tb.write_text(tb.point_dump(numbered), path)
+    end = "\n\n\n" + " " * 12
+    blocks = spark.read.option("lineSep", f"{end}\n").text(path)
+    return blocks.select(
+        F.regexp_extract("value", "DOC ([0-9]+)", 1).cast("bigint").alias("doc_no"), F.concat("value", F.lit(end)).alias("value")
+    )
 
 
 @query("a14_comparison_csv", MODES + "SELECT mode, qid, id, rank, question FROM shown")
