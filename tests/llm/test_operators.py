@@ -259,6 +259,49 @@ def test_multi_index_of_repeated_rows(spark):
         assert part == list(enumerate([i for i in range(1, 41) if i != q][:20], 1))
 
 
+def test_multi_index_of_ties(spark, monkeypatch):
+    """Far more different vectors tie at the cut than there are places: of those met (here all) the smaller ids win."""
+    fitted = neighbours.fit
+
+    def everything(*given):
+        index = fitted(*given)
+        index.share = 1.0
+        return index
+
+    monkeypatch.setattr(neighbours, "fit", everything)
+    rng = np.random.default_rng(12)
+    rows = [(0, [1.0] * 8)] + [(1 + i, np.where(rng.permutation(8) < 4, 1.0, 0.0).tolist()) for i in range(400)]
+    rows = [(0, rows[0][1])] + [(500 - i, v) for i, (_, v) in enumerate(rows[1:])]
+    table = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").repartition(3)
+    got = neighbours.search(table, "vec_id = 0", 20, vector="embedding").orderBy("rank").collect()
+    wanted = sorted(i for i, _ in rows[1:])[:20]
+    assert [r["score"] for r in got] == [4.0] * 20
+    assert [r["vec_id"] for r in got] == wanted
+
+
+def test_words_beside_a_mention_of_any_length():
+    spans = [("email", 1015, 1030)]
+    text = " ".join("abcdefghij"[k] * 100 for k in range(10)) + "     " + "ann@mail.example" + "".join(" " + "klmnopqrst"[k] * 200 for k in range(10))
+    spans = [("email", text.index("ann@"), text.index("ann@") + 16)]
+    near = disclosure._Words(text, spans).near(*spans[0][1:])
+    assert [w[0] for w in near] == list("cdefghij") + list("klmnopqr") and {len(w) for w in near} == {100, 200}
+
+
+def test_masking_covers_overlapping_spans(spark):
+    texts = ["4111111111111111john@mail.example x", "+14155550123@mail.example", "a@b.c d"]
+    docs = frame(spark, list(enumerate(texts)))
+    clean = {r["doc_id"]: r["clean_text"] for r in disclosure.sanitise(docs).collect()}
+    assert clean == {0: "[email] x", 1: "[email]", 2: "[email] d"}
+
+
+def test_a_very_long_url(spark):
+    host, path = ".".join(["a"] * 3000 + ["example", "com"]), "/de" + "/x" * 4000
+    pages = spark.createDataFrame([(1, f"http://{host}{path}"), (2, f"http://{host}/en{path}")], "page_id bigint, url string")
+    rules = spark.createDataFrame([("example.com", "/de/", "block"), ("com", "/e", "block"), ("a.b.c.d", "/q/r/", "block")], "host string, path string, verdict string")
+    got = {r["page_id"]: (r["rule"], r["verdict"], r["path"]) for r in url_rules.judge(pages, rules, ["page_id"]).collect()}
+    assert got == {1: ("example.com/de/", "block", path), 2: ("com/e", "block", "/en" + path)}
+
+
 def test_disclosure(spark):
     rng = random.Random(6)
     rows = [(k, f"{sentence(rng, 30)} zanzibel {'xyzzyq' if k % 2 else ''} wrote from ann@mail.example {sentence(rng, 30)}") for k in range(6)]

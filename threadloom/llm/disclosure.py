@@ -26,6 +26,7 @@ not read.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,7 +39,6 @@ from threadloom.llm.base import bitmap, in_bitmap, query, table, written
 KINDS = ("email", "ip", "card", "phone")
 NEAR, SUPPORT = 8, 3
 GENERALISE, REMOVE = 0.8, 0.95
-CONTEXT_CHARACTERS = 400
 
 _LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
 _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
@@ -94,20 +94,30 @@ def _entity(kind: str, value: str) -> str:
     return f"{kind}:{value.lower() if kind in ('email', 'ip') else _NOT_DIGIT.sub('', value)}"
 
 
-def _context(text: str, start: int, end: int, spans) -> list[str]:
-    """Words near a mention, lower-cased, none inside a span or cut at the window's edge."""
-    before, after = max(0, start - CONTEXT_CHARACTERS), min(len(text), end + CONTEXT_CHARACTERS)
-    kept: list[list[str]] = []
-    for low, high in ((before, start), (end, after)):
-        piece = text[low:high].translate(_ASCII_LOWER)
-        words = []
-        for m in _WORD.finditer(piece):
-            a, b = low + m.start(), low + m.end()
-            whole = (a > low or low in (0, end)) and (b < high or high in (start, len(text)))
-            if whole and not any(a < e and s < b for _, s, e in spans):
-                words.append(m[0])
-        kept.append(words)
-    return kept[0][-NEAR:] + kept[1][:NEAR]
+class _Words:
+    """The words of a text that lie in no span, ASCII lower-cased, by their places."""
+
+    def __init__(self, text: str, spans):
+        low = text.translate(_ASCII_LOWER)
+        blocked = sorted((start, end) for _, start, end in spans)
+        self.starts: list[int] = []
+        self.ends: list[int] = []
+        self.words: list[str] = []
+        at, reach = 0, 0
+        for m in _WORD.finditer(low):
+            # spans that begin before the word's end, and how far they reach
+            while at < len(blocked) and blocked[at][0] < m.end():
+                reach = max(reach, blocked[at][1])
+                at += 1
+            if reach <= m.start():
+                self.starts.append(m.start())
+                self.ends.append(m.end())
+                self.words.append(m[0])
+
+    def near(self, start: int, end: int) -> list[str]:
+        """``NEAR`` words before and after a mention, however long they are."""
+        before, after = bisect_right(self.ends, start), bisect_left(self.starts, end)
+        return self.words[max(0, before - NEAR) : before] + self.words[after : after + NEAR]
 
 
 def _hashes(words: list[str]) -> list[int]:
@@ -140,8 +150,9 @@ def find_base(rows: DataFrame) -> DataFrame:
                     spans = base_spans(text)
                     spans_of[row + k] = [{"kind": kind, "start": s, "end": e} for kind, s, e in spans]
                     beside: dict[str, dict[str, None]] = {}
+                    words_of = _Words(text, spans) if spans else None
                     for kind, s, e in spans:
-                        beside.setdefault(_entity(kind, text[s:e]), {}).update(dict.fromkeys(_context(text, s, e, spans)))
+                        beside.setdefault(_entity(kind, text[s:e]), {}).update(dict.fromkeys(words_of.near(s, e)))
                     mentions_of[row + k] = [
                         {"entity": entity, "terms": [{"term": h, "word": w} for h, w in zip(_hashes(list(words)), words)]}
                         for entity, words in beside.items()
@@ -294,11 +305,20 @@ def _masked(text, spans, terms):
     if text is None:
         return None
     marks = [(s["start"], s["end"], f"[{s['kind']}]") for s in spans] + [(t["start"], t["end"], "" if t["removed"] else "[term]") for t in terms]
-    out, at = [], 0
+    # spans that overlap are one, marked as the widest of them
+    merged: list[list] = []
     for start, end, mark in sorted(marks):
-        if start >= at:
-            out.extend((text[at:start], mark))
-            at = end
+        if merged and start < merged[-1][1]:
+            last = merged[-1]
+            if end - start > last[3]:
+                last[2], last[3] = mark, end - start
+            last[1] = max(last[1], end)
+        else:
+            merged.append([start, end, mark, end - start])
+    out, at = [], 0
+    for start, end, mark, _ in merged:
+        out.extend((text[at:start], mark))
+        at = end
     return "".join(out) + text[at:]
 
 

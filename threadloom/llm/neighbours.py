@@ -114,14 +114,16 @@ def fit(sample: np.ndarray, entries: int, k: int, target: float = TARGET) -> Ind
     index = Index(_kmeans(sample[:, :cut], centres), _kmeans(sample[:, cut:], centres), 1.0) if sample.shape[1] > 1 else Index(
         _kmeans(sample, centres), np.zeros((1, 0)), 1.0
     )
-    asked = sample[:: max(1, len(sample) // 200)]
+    asked = np.arange(0, len(sample), max(1, len(sample) // 200))
     a, b = index.cells(sample)
     sizes = np.zeros((len(index.first), len(index.second)), dtype=np.int64)
     np.add.at(sizes, (a, b), 1)
     needed = []
-    for q in asked:
+    for own in asked:
+        q = sample[own]
         scores = sample @ q
-        true = np.argsort(-scores)[1 : k + 1]
+        scores[own] = -np.inf  # by inner product a vector need not be its own nearest
+        true = np.argsort(-scores)[: min(k, len(sample) - 1)]
         met, place = 0, {}
         for cell in walk(index.first @ q[:cut], index.second @ q[cut:], sizes, len(sample)):
             met += sizes[cell]
@@ -199,7 +201,7 @@ def search(rows: DataFrame, is_query: str, k: int = 20, vec_id: str = "vec_id",
         "block", F.pmod(F.hash("entry"), F.lit(blocks))
     )
     deal = F.array(*[F.lit(int(n)) for n in shelves])
-    shelved = placed.select("entry", "vector", "a", "b", F.pmod(F.xxhash64("entry"), F.element_at(deal, F.col("a") + 1)).cast("int").alias("shelf")).withColumn(
+    shelved = placed.select("entry", "vector", F.element_at("ids", 1).alias("least"), "a", "b", F.pmod(F.xxhash64("entry"), F.element_at(deal, F.col("a") + 1)).cast("int").alias("shelf")).withColumn(
         "block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
     )
 
@@ -208,7 +210,9 @@ def search(rows: DataFrame, is_query: str, k: int = 20, vec_id: str = "vec_id",
         if not len(left) or not len(right):
             return empty
         data, cell = np.stack(right["vector"].to_numpy()), right["b"].to_numpy()
-        ids, entry = left["entry"].to_numpy(), right["entry"].to_numpy()
+        ids, entry, least = left["entry"].to_numpy(), right["entry"].to_numpy(), right["least"].to_numpy()
+        # how far a sum may be off in another order of addition
+        size = np.abs(data).sum(axis=1).max() * np.finfo(float).eps * data.shape[1]
         width = int(cell.max()) + 1
         out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         for low in range(0, len(left), _STEP):
@@ -217,12 +221,14 @@ def search(rows: DataFrame, is_query: str, k: int = 20, vec_id: str = "vec_id",
             for r, seconds in enumerate(left["seconds"].to_numpy()[low : low + _STEP]):
                 allowed[r, seconds[seconds < width]] = True
             scores = np.where(allowed[:, cell], asked @ data.T, -np.inf)
-            keep = min(k + 8, len(data))  # a few more: the exact sums below may order them otherwise
-            top = np.argpartition(-scores, keep - 1, axis=1)[:, :keep]
-            r, c = np.repeat(np.arange(len(asked)), keep), top.ravel()
-            met = scores[r, c] > -np.inf
-            r, c = r[met], c[met]
-            out.append((ids[low + r], entry[c], (asked[r] * data[c]).sum(axis=1)))
+            best = min(k + 1, len(data))
+            edge = np.partition(scores, len(data) - best, axis=1)[:, len(data) - best]
+            for r in range(len(asked)):
+                # everything that may tie with the last place; the exact sums and the ids decide
+                c = np.flatnonzero((scores[r] >= edge[r] - 4 * size * np.abs(asked[r]).max()) & (scores[r] > -np.inf))
+                exact = (asked[r] * data[c]).sum(axis=1)
+                order = np.lexsort((least[c], -exact))[:best]
+                out.append((np.full(len(order), ids[low + r]), entry[c[order]], exact[order]))
         return pd.DataFrame({n: np.concatenate([part[i] for part in out]) for i, n in enumerate(("query", "entry", "score"))})
 
     keys = ["a", "shelf", "block"]

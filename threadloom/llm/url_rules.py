@@ -32,31 +32,19 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
-def host_suffixes(host: Column) -> Column:
-    """The host and what remains of it after each dot."""
-    labels = F.split(host, r"\.")
-    return F.when(host == "", F.array().cast("array<string>")).otherwise(
-        F.array_distinct(
-            F.transform(
-                F.sequence(F.lit(1), F.size(labels)),
-                lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."),
-            )
-        )
-    )
+def host_suffixes(host: Column, labels: list[int]) -> Column:
+    """The last labels of the host, as many as some rule has."""
+    parts = F.split(host, r"\.")
+    found = [F.when((host != "") & (F.size(parts) >= n), F.array_join(F.slice(parts, -n, n), ".")) for n in labels]
+    return F.array_compact(F.array(*found)) if found else F.array().cast("array<string>")
 
 
-def path_prefixes(path: Column, lengths: list[int]) -> Column:
-    """The prefixes that end with a slash, and those of the given lengths."""
-    parts = F.split(path, "/")
-    slashed = F.when(
-        F.size(parts) > 1,
-        F.transform(
-            F.sequence(F.lit(1), F.size(parts) - 1),
-            lambda i: F.concat(F.array_join(F.slice(parts, 1, i), "/"), F.lit("/")),
-        ),
-    ).otherwise(F.array().cast("array<string>"))
-    cut = [F.when(F.length(path) >= n, F.substring(path, 1, n)) for n in lengths]
-    return F.array_distinct(F.array_compact(F.concat(slashed, F.array(*cut)))) if cut else F.array_distinct(slashed)
+def path_prefixes(path: Column, slashes: list[int], lengths: list[int]) -> Column:
+    """The prefixes up to the slashes that some rule ends with, and those of the given lengths."""
+    count = F.size(F.split(path, "/")) - 1
+    found = [F.when(count >= n, F.concat(F.substring_index(path, "/", n), F.lit("/"))) for n in slashes]
+    found += [F.when(F.length(path) >= n, F.substring(path, 1, n)) for n in lengths]
+    return F.array_distinct(F.array_compact(F.array(*found))) if found else F.array().cast("array<string>")
 
 
 def digest(host: Column, path: Column) -> Column:
@@ -66,16 +54,22 @@ def digest(host: Column, path: Column) -> Column:
 def judge(pages: DataFrame, rules: DataFrame, keep: list[str], url: str = "url", default: str = "allow") -> DataFrame:
     """``keep`` columns, host, path, rule and verdict of every row of ``pages``.
 
-    ``rules`` has host, path and verdict ('allow' or 'block'). Rule paths that
-    end with a slash are met by the slash prefixes of a URL; the lengths of the
-    others (as many as differ) are read once to know which prefixes to form.
+    ``rules`` has host, path and verdict ('allow' or 'block'). How many labels
+    rule hosts have, how many slashes the paths that end with one, and how long
+    the others are, is read once (as many rows as differ): only such suffixes and
+    prefixes of a URL can meet a rule, so a URL of any length has a number of
+    expressions that the rules bound.
     """
     rules = rules.select(F.translate("host", UPPER, LOWER).alias("host"), "path", "verdict").where(
         "host is not null and path is not null"
     )
-    lengths = sorted(
-        row[0] for row in rules.where(~F.col("path").endswith("/")).select(F.length("path")).distinct().collect()
-    )
+    slashed = F.col("path").endswith("/")
+    shapes = rules.select(
+        F.size(F.split("host", r"\.")).alias("labels"),
+        F.when(slashed, F.size(F.split("path", "/")) - 1).alias("slashes"),
+        F.when(~slashed, F.length("path")).alias("length"),
+    ).distinct().collect()
+    labels, slashes, lengths = (sorted({row[i] for row in shapes} - {None}) for i in range(3))
     signed = (
         rules.groupBy("host", "path")
         .agg(F.max("verdict").alias("rule_verdict"))  # 'block' is the larger word
@@ -95,8 +89,8 @@ def judge(pages: DataFrame, rules: DataFrame, keep: list[str], url: str = "url",
     )
     expressions = F.flatten(
         F.transform(
-            host_suffixes(F.col("host")),
-            lambda h: F.transform(path_prefixes(F.col("path"), lengths), lambda p: digest(h, p)),
+            host_suffixes(F.col("host"), labels),
+            lambda h: F.transform(path_prefixes(F.col("path"), slashes, lengths), lambda p: digest(h, p)),
         )
     )
     expanded = rows.withColumn("url_digest", F.explode_outer(expressions)).withColumn(
