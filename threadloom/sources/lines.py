@@ -7,6 +7,7 @@ import json
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
@@ -28,6 +29,8 @@ def read_lines(spark: SparkSession, path: str, partitions: int | None = None) ->
 
 
 def _with_source(spark: SparkSession) -> None:
+    """Registers the source; its code travels by value, as not every runner of a source sees shipped packages."""
+    cloudpickle.register_pickle_by_value(zst)
     spark.dataSource.register(zst.ZstLines)
 
 
