@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from threadloom import schemas
 from threadloom.functions import models
+from threadloom.plans import table_queries
 from threadloom.sources import lines as ln, tables as tb
 from threadloom.sources.collection import Collection
 from threadloom.streaming.upsert import stream_parts, upsert_stream
@@ -164,6 +165,20 @@ def test_streams_into_a_filled_collection(spark, tmp_path):
     assert {r.id: r.v for r in store.read().collect()} == {0: "b", 1: "a", 2: "y", 7: "c"}
 
 
+@pytest.mark.parametrize("files", [1, 3])
+def test_a_table_of_one_file_or_many_streams_whole(spark, tmp_path, files):
+    rows = spark.range(40).select(F.col("id").alias("doc_id"), F.lit("t").alias("text"))
+    rows.repartition(files).write.parquet(str(tmp_path / "documents.parquet"))
+    if files == 1:  # the table as one file
+        part = next((tmp_path / "documents.parquet").glob("part-*"))
+        (tmp_path / "one").mkdir()
+        (tmp_path / "one" / "documents.parquet").write_bytes(part.read_bytes())
+    folder = str(tmp_path / "one" if files == 1 else tmp_path)
+    found = {r["id"]: r["answer"] for r in table_queries.i1(spark, folder).collect()}
+    assert found == {n: f"answer {n}" for n in range(40)}
+    assert table_queries.i1_two_streams(spark, folder).where("question = 'second'").count() == 40
+
+
 def test_encoder_reports_failures(spark):
     def broken():
         def call(texts):

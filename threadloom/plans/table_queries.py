@@ -283,7 +283,7 @@ def a18(spark, sf_dir):
 def i1(spark, sf_dir):
     collection = Collection(spark, scratch_path(spark, "stream_points"))
     schema = inputs.table(spark, sf_dir, "documents").schema
-    arriving = stream_parts(spark, sf_dir, schema, "documents.parquet")
+    arriving = stream_parts(spark, f"{sf_dir}/{{documents.parquet}}", schema, "*")
     as_payload = lambda df: df.select(
         F.col("doc_id").alias("id"),
         F.col("text").alias("question"),
@@ -305,7 +305,7 @@ def i1_two_streams(spark, sf_dir):
     schema = inputs.table(spark, sf_dir, "documents").schema
     for word in ("first", "second"):
         rows = lambda df, word=word: df.select(F.col("doc_id").alias("id"), F.lit(word).alias("question"))
-        arriving = stream_parts(spark, sf_dir, schema, "documents.parquet")
+        arriving = stream_parts(spark, f"{sf_dir}/{{documents.parquet}}", schema, "*")
         upsert_stream(arriving, collection, scratch_path(spark, f"state_{word}"), "id", rows).awaitTermination()
     return collection.read()
 

@@ -15,6 +15,10 @@ from threadloom.sources.collection import Collection
 def stream_parts(
     spark: SparkSession, folder: str, schema: T.StructType, pattern: str = "*.parquet", files_per_batch: int = 16
 ) -> DataFrame:
+    """Part files of a folder as they arrive.
+
+    A table that may be one file is given as a glob such as ``{name}``: Spark wants any other path to be a folder.
+    """
     return (
         spark.readStream.schema(schema)
         .option("pathGlobFilter", pattern)
