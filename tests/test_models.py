@@ -131,3 +131,24 @@ def test_failed_calls_are_asked_for_again(spark, tmp_path):
     flag.write_text("")
     assert ask() == {1: ("GOOD", None), 2: ("BAD", None), 3: ("BAD", None), 4: (None, None)}
     assert ledger.stored().count() == 2
+
+
+def test_batches_of_long_texts_are_bounded(spark):
+    """A worker sees few long texts at a time, whatever the number of rows a batch may have."""
+    from threadloom.session import BATCH_BYTES, bound_batches
+
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    given = spark.conf.get(key)
+    try:
+        spark.conf.set(key, str(64 << 20))
+        bound_batches(spark)
+        assert spark.conf.get(key) == str(BATCH_BYTES)
+        texts = spark.range(0, 2000, 1, 1).select(F.repeat(F.lit("x"), 20_000).alias("prompt"))
+        seen = lambda: lambda prompts: [str(len(prompts))] * len(prompts)
+        said = models.generate(texts, "prompt", seen, batch_size=10_000).agg(F.max(F.col("generated").cast("int"))).first()[0]
+        assert said <= BATCH_BYTES // 20_000 + 1
+        spark.conf.set(key, "1000000")
+        bound_batches(spark)
+        assert spark.conf.get(key) == "1000000"
+    finally:
+        spark.conf.set(key, given)
