@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from threadloom.functions import models
-from threadloom.operators import knn, postings
+from threadloom.operators import blocks, knn, postings
 
 K = 4
 
@@ -152,6 +152,25 @@ def test_negative_and_zero_weights_still_share_a_term(spark):
     assert sorted((r.id, r.score) for r in rows) == [(1, 0.0), (2, 0.0)]
 
 
+@pytest.mark.parametrize("work", [3, 2_000_000])
+def test_large_query_sides_meet_points_in_blocks(monkeypatch, spark, tmp_path, data, points, work):
+    """One-off and stored search give the same rows block by block; the plan shuffles no sums of pairs."""
+    for name, value in {"BLOCK_ENTRIES": 60, "BLOCK_QUERIES": 25, "LEAST_ENTRIES": 40, "WORK": work}.items():
+        monkeypatch.setattr(blocks, name, value)
+    monkeypatch.setattr(knn, "CELLS", 300)
+    monkeypatch.setattr(postings, "MANY_POSTINGS", 0)
+    monkeypatch.setattr(postings, "MANY_ENTRIES", 0)
+    queries = points.withColumnRenamed("id", "qid")
+    index = postings.build_index(points, str(tmp_path), piece_rows=7)
+    for found in (postings.sparse_topk(queries, points, K), postings.search(queries, index, K)):
+        assert result(found) == expected(data, "sparse", K)
+        assert "sum(part" not in found._jdf.queryExecution().toString()
+    signed = spark.createDataFrame([(1, {"a": 0.0}), (2, {"a": -1.0, "b": 1.0}), (3, {"c": 2.0}), (4, None)], "id long, text_sparse map<string,double>")
+    asked = spark.createDataFrame([(9, {"a": 1.0, "b": 1.0}), (8, None)], "qid long, text_sparse map<string,double>")
+    rows = postings.sparse_topk(asked, signed, 5).collect()
+    assert sorted((r.qid, r.id, r.score) for r in rows) == [(9, 1, 0.0), (9, 2, 0.0)]
+
+
 def test_dimensions_must_agree(spark):
     points = spark.createDataFrame([(1, [1.0, 2.0])], "id long, dense array<float>")
     queries = spark.createDataFrame([(1, [1.0, 2.0, 3.0])], "qid long, dense array<float>")
