@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from pyspark.sql import functions as F
@@ -176,3 +177,64 @@ def test_dimensions_must_agree(spark):
     queries = spark.createDataFrame([(1, [1.0, 2.0, 3.0])], "qid long, dense array<float>")
     with pytest.raises(Exception, match="dimension"):
         knn.dense_topk(queries, points, 1).collect()
+
+
+@pytest.mark.parametrize("few", [0, 16])
+def test_cells_and_blocks_agree(monkeypatch, data, points, few):
+    """Few cells: points pass the query blocks, whose results leave a task ranked; many cells: as before."""
+    for module, name, value in [
+        (knn, "QUERY_BLOCK", 40), (knn, "POINT_BLOCK", 25), (knn, "CELLS", 500), (knn, "FEW_CELLS", few), (blocks, "BLOCK_QUERIES", 25)
+    ]:
+        monkeypatch.setattr(module, name, value)
+    found = knn.dense_topk(points.withColumnRenamed("id", "qid"), points, K, max_shipped=0)
+    assert result(found) == expected(data, "dense", K)
+    assert ("Window" in found._jdf.queryExecution().toString()) == (few == 0)
+
+
+@pytest.mark.parametrize("kind", ["dense", "sparse"])
+def test_no_search_in_blocks_ranks_its_rows_again(monkeypatch, spark, data, points, kind):
+    """Rows leave a query block ranked; they are not shuffled for it, neither from a search nor from a re-ranking."""
+    for name, value in {"BLOCK_ENTRIES": 60, "BLOCK_QUERIES": 25, "LEAST_ENTRIES": 40, "RESULT_ROWS": 7}.items():
+        monkeypatch.setattr(blocks, name, value)
+    monkeypatch.setattr(postings, "MANY_ENTRIES", 0)
+    queries = points.withColumnRenamed("id", "qid")
+    pairs = {q: list(range(q % 7, 90, 3)) for q in range(90)}
+    candidates = spark.createDataFrame([(q, i) for q in pairs for i in pairs[q] * 2], "qid long, id long")
+    vector = "dense" if kind == "dense" else "text_sparse"
+    among = knn.topk_among(candidates, queries, points, K, kind, vector, max_shipped=0)
+    assert result(among) == expected(data, kind, K, pairs)
+    searched = knn.dense_topk(queries, points, K, max_shipped=0) if kind == "dense" else postings.sparse_topk(queries, points, K)
+    assert result(searched) == expected(data, kind, K)
+    for found in (among, searched):
+        assert "Window" not in found._jdf.queryExecution().toString()
+
+
+@pytest.mark.parametrize("k,width", [(1, 5), (4, 3), (4, 50), (40, 9), (500, 64)])
+def test_running_best_keeps_the_smallest_ids_of_ties(monkeypatch, k, width):
+    monkeypatch.setattr(knn, "CELLS", 60)
+    rng = np.random.default_rng(k)
+    scores = np.round(rng.integers(-3, 4, (13, 300)) / 3 + rng.random((13, 300)) * 1e-8, 9)
+    shared, ids = rng.random((13, 300)) < 0.8, rng.permutation(300)
+    shared[4] = False
+    kept = knn._Best(13, k)
+    for start in range(0, 300, width):
+        tile = slice(start, start + width)
+        kept.add(scores[:, tile], ids[tile], shared[:, tile])
+    rows, found, values, rank = kept.result()
+    for row in range(13):
+        rounded = np.round(scores[row], knn.ROUND_DIGITS)
+        want = sorted((-rounded[i], ids[i]) for i in range(300) if shared[row, i])[:k]
+        own = rows == row
+        assert [(-s, i) for s, i in zip(values[own], found[own])] == want
+        assert rank[own].tolist() == list(range(1, len(want) + 1))
+    assert knn._Best(3, k).result() is None
+
+
+def test_frequent_terms_as_columns_give_the_same_sums():
+    rng = np.random.default_rng(5)
+    maps = [{f"t{j}": float(rng.integers(1, 5)) for j in range(40) if rng.random() < 1 / (1 + j / 3)} for _ in range(80)]
+    lists = lambda part: (pa.array([list(m) for m in part]), pa.array([list(m.values()) for m in part]))
+    inverted = blocks._Inverted(*lists(maps[:30]))
+    assert 0 < inverted.columns.shape[1] < len(inverted.terms)
+    scores = np.concatenate([s for _, s, _ in inverted.score(*lists(maps[30:]))], axis=1)
+    assert np.allclose(scores, [[dot(a, b) or 0.0 for b in maps[30:]] for a in maps[:30]])
