@@ -152,3 +152,20 @@ def test_batches_of_long_texts_are_bounded(spark):
         assert spark.conf.get(key) == "1000000"
     finally:
         spark.conf.set(key, given)
+
+
+def test_words_are_counted_by_key_in_bounded_tasks(spark, monkeypatch):
+    """Texts move once by their key, to as many tasks as their length asks for; repeated ids are one."""
+    monkeypatch.setattr(models, "COUNTED_CHARACTERS", 50)
+    rows = [(k % 40, f"a b a w{k} W{k % 7}  ") for k in range(60)] + [(None, "x x"), (99, None), (98, " ")]
+    docs = spark.createDataFrame(rows, "id long, text string")
+    counted = models.lexical_rows(docs, "id", "text", ("id", "term", "weight"))
+    want = {}
+    for key, text in rows:
+        for word in (text or "").lower().split(" "):
+            if word:
+                want[key, word] = want.get((key, word), 0.0) + 1.0
+    plan = counted._jdf.queryExecution().executedPlan().toString()
+    characters = sum(len(t or "") for _, t in rows)
+    assert plan.count("Exchange") == 1 and f", {-(-characters // 50)})" in plan
+    assert {(r.id, r.term): r.weight for r in counted.collect()} == want
