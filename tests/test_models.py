@@ -133,6 +133,22 @@ def test_failed_calls_are_asked_for_again(spark, tmp_path):
     assert ledger.stored().count() == 2
 
 
+def test_answers_do_not_move_their_rows(spark, tmp_path):
+    """Rows that ask for themselves are answered where they stand; the same question again, and no question, keep their rows."""
+    rows = spark.createDataFrame([(n, f"text {n}", None if n % 10 == 0 else f"ask {n}") for n in range(200)], "id int, text string, prompt string")
+    rows = rows.withColumn("model", F.lit("m"))
+    ledger = AnswerLedger(spark, str(tmp_path / "ledger"))
+    ask = lambda some: ledger.answers(some, "prompt", {"m": models.echo_generator()})
+    first = ask(rows)
+    assert "Exchange" not in first._jdf.queryExecution().executedPlan().toString()
+    told = {(r.id, r.text, r.answer) for r in first.collect()}
+    assert told == {(n, f"text {n}", None if n % 10 == 0 else f"echo: ask {n}") for n in range(200)}
+    more = rows.unionByName(rows.withColumn("id", F.col("id") + 200).withColumn("prompt", F.concat("prompt", F.lit("!"))))
+    again = ask(more.unionByName(more)).collect()
+    assert len(again) == 800 and ledger.stored().count() == 360
+    assert all(r.answer == (None if r.prompt is None else "echo: " + r.prompt) for r in again)
+
+
 def test_batches_of_long_texts_are_bounded(spark):
     """A worker sees few long texts at a time, whatever the number of rows a batch may have."""
     from threadloom.session import BATCH_BYTES, bound_batches
