@@ -435,3 +435,23 @@ def test_pipeline_stages(spark, corpus, tmp_path):
     assert 400 not in kept["decontamination"] and {d for d, _ in clean} <= set(kept["decontamination"])
     packed = corpus_pipeline.STAGES[-1][1](spark, docs, root)
     assert sorted({r["doc_id"] for r in packed.collect()}) == sorted(set(kept["decontamination"]))
+
+
+def test_folded_sketches_tell_large_sets_apart(spark):
+    """The small sketches of large unrelated sets are full; folded wide ones tell them apart, and keep every similar pair."""
+    from threadloom.llm import similar
+
+    random = np.random.default_rng(5)
+    for n in (1100, 3000, 9000):
+        first, other = (np.unique(random.integers(0, 1 << 63, n).astype(np.uint64)) for _ in range(2))
+        close = np.unique(np.concatenate([first[: len(first) * 9 // 10], other[: len(first) // 20]]))
+        counts = np.array([len(first), len(close), len(other)])
+        grams = np.concatenate([first, close, other])
+        words, sizes = similar._wide_sketches(counts, grams)
+        lists = [part.tolist() for part in np.split(words, np.cumsum(sizes)[:-1])]
+        rows = [(k, int(counts[k]), lists[k]) for k in range(3)]
+        table = spark.createDataFrame(rows, "k int, n bigint, wide array<bigint>").withColumn("folded", similar._folded(F.col("wide")))
+        x, y = table.where("k = 0").alias("x"), table.where("k > 0").alias("y")
+        told = x.crossJoin(y).select("y.k", similar._wide_close(F.col("x.n"), F.col("x.folded"), F.col("y.n"), F.col("y.folded")).alias("near"), F.size("y.folded").alias("words"))
+        found = {r.k: (r.near, r.words) for r in told.collect()}
+        assert found[1][0] and not found[2][0] and found[1][1] <= similar.FOLDED_WORDS

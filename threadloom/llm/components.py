@@ -23,6 +23,7 @@ def _state(links: DataFrame) -> tuple:
 def components(links: DataFrame) -> DataFrame:
     """(node, component) of every node in ``links`` (a, b); the component is its smallest node."""
     current = written(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "links")
+    state = _state(current)
     while True:
         # large star: larger neighbours of a node point to the smallest of its neighbourhood
         around = _both(current)
@@ -37,8 +38,8 @@ def components(links: DataFrame) -> DataFrame:
             .distinct()
         )
         small = written(small, "small-star")
-        state, current = _state(current), small
-        if _state(small) == state:
+        before, state, current = state, _state(small), small
+        if state == before:
             break
     return current.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
         current.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()

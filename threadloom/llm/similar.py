@@ -17,8 +17,9 @@ two exact bounds (sizes, and the parity sketch: the bits in which two sketches
 differ are at most the shingles in which the sets differ) is verified on the
 sets themselves, which are written once for the classes that share one. Groups
 of copies are never expanded into pairs: in rounds, every bucket of a signature
-has an anchor, each class is compared with the anchor it shares most signatures
-with, and links give components. Buckets of one component are done. When the
+has an anchor, each class is compared with the closest (by the parity sketches) of
+the anchors it meets, and links give components. Of buckets that hold the same
+classes one is kept. Buckets of one component are done. When the
 pairs across components are few for each member of the others, they are
 compared one by one. No link between components is lost.
 
@@ -44,7 +45,9 @@ from threadloom.llm.components import components
 SHINGLE = 5
 SKETCH_WORDS = 16
 WIDE_FROM = 1024  # larger sets crowd the small sketch
+FOLDED_WORDS = 64  # of a wide sketch that goes with every signature
 FIRST_BAND = 4  # sets below this size are similar only when equal
+ROUNDS = 16  # of anchors; whatever they leave is compared pair by pair
 _GROUPS = 0.32  # groups of an instance for each shingle at the lower edge of its band
 _U = np.uint64
 
@@ -205,12 +208,16 @@ def set_table(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(scan, _SET_SCHEMA.format(kind=dict(rows.dtypes)["doc_id"]))
 
 
-def _close(na: Column, a: Column, nb: Column, b: Column) -> Column:
-    """Necessary for similarity 0.8; exact counts for the sizes, a bound for the content."""
+def _differing(a: Column, b: Column) -> Column:
     differing = F.bit_count(a[0].bitwiseXOR(b[0]))
     for i in range(1, SKETCH_WORDS):
         differing = differing + F.bit_count(a[i].bitwiseXOR(b[i]))
-    return (F.least(na, nb) * 5 >= F.greatest(na, nb) * 4) & (differing * 9 <= na + nb)
+    return differing
+
+
+def _close(na: Column, a: Column, nb: Column, b: Column) -> Column:
+    """Necessary for similarity 0.8; exact counts for the sizes, a bound for the content."""
+    return (F.least(na, nb) * 5 >= F.greatest(na, nb) * 4) & (_differing(a, b) * 9 <= na + nb)
 
 
 def _wide_close(na: Column, a: Column, nb: Column, b: Column) -> Column:
@@ -226,6 +233,13 @@ def _wide_close(na: Column, a: Column, nb: Column, b: Column) -> Column:
     return F.when((F.size(a) == 0) | (F.size(b) == 0), F.lit(True)).otherwise(differing * 9 <= na + nb)
 
 
+def _folded(wide: Column) -> Column:
+    """A wide sketch of at most ``FOLDED_WORDS`` words, by the parity of those that fall together."""
+    parts = F.sequence(F.lit(0), F.floor(F.size(wide) / FOLDED_WORDS).cast("int") - 1)
+    word = lambda i: F.aggregate(parts, F.lit(0).cast("bigint"), lambda total, k: total.bitwiseXOR(F.get(wide, i + k * FOLDED_WORDS)))
+    return F.when(F.size(wide) > FOLDED_WORDS, F.transform(F.sequence(F.lit(0), F.lit(FOLDED_WORDS - 1)), word)).otherwise(wide)
+
+
 def _written_sets(rows: DataFrame, classes: DataFrame, members: DataFrame) -> DataFrame:
     """(class, shingles) of every class that shares a signature, made again from one text each and written once.
 
@@ -291,7 +305,7 @@ def similar_documents(documents: DataFrame, doc_id: str = "doc_id", text: str =
         full.groupBy("class").agg(
             F.min("doc_id").alias("low_id"), F.min("row_hash").alias("rep"), F.count("*").alias("copies"),
             F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"), F.first("wide").alias("wide"),
-        ),
+        ).withColumn("folded", _folded(F.col("wide"))),
         "classes",
     )
     total = sets.count()
@@ -309,15 +323,20 @@ def similar_documents(documents: DataFrame, doc_id: str = "doc_id", text: str =
         .select("signature")
     )
     members = written(signed.join(shared.hint("shuffle_hash"), "signature").distinct(), "members")
+    # similar sets share many signatures: of buckets with the same classes one is enough
+    alike = members.groupBy("signature").agg(
+        F.count("*").alias("n"), F.bit_xor(F.xxhash64("class")).alias("h"), F.bit_xor(F.xxhash64("class", F.lit("second"))).alias("second")
+    )
+    members = written(members.join(alike.groupBy("n", "h", "second").agg(F.min("signature").alias("signature")), "signature", "left_semi"), "buckets")
     tidy(documents.sparkSession)  # the signatures of all sets
-    facts = classes.select("class", "n", "sketch")
+    facts = classes.select("class", "n", "sketch", "folded")
     large = classes.where(F.size("wide") > 0).select("class", "n", "wide")
 
     def bounded(pairs: DataFrame) -> DataFrame:
-        """The pairs that the small sketches leave."""
-        side = lambda k: facts.select(F.col("class").alias(k), F.col("n").alias(f"n_{k}"), F.col("sketch").alias(f"s_{k}"))
-        left = pairs.join(side("a"), "a").join(side("b"), "b")
-        return left.where(_close(F.col("n_a"), F.col("s_a"), F.col("n_b"), F.col("s_b"))).select(*pairs.columns)
+        """The pairs that the small and folded sketches leave, and by how many bits their sketches differ."""
+        side = lambda k: facts.select(F.col("class").alias(k), F.col("n").alias(f"n_{k}"), F.col("sketch").alias(f"s_{k}"), F.col("folded").alias(f"f_{k}"))
+        left = pairs.join(side("a"), "a").join(side("b"), "b").where(_close(F.col("n_a"), F.col("s_a"), F.col("n_b"), F.col("s_b")))
+        return left.where(_wide_close(F.col("n_a"), F.col("f_a"), F.col("n_b"), F.col("f_b"))).select("a", "b", _differing(F.col("s_a"), F.col("s_b")).alias("bits"))
 
     def narrowed(pairs: DataFrame) -> DataFrame:
         """Of written pairs those that the wide sketches leave; only large sets have one."""
@@ -338,13 +357,13 @@ def similar_documents(documents: DataFrame, doc_id: str = "doc_id", text: str =
         anchor = placed.groupBy("signature").agg(F.min(rank).alias("anchor"))
         offered = (
             placed.join(anchor, "signature").where("component <> anchor.component")
-            .groupBy(F.col("anchor.class").alias("a"), F.col("class").alias("b")).agg(F.count("*").alias("common"))
+            .select(F.col("anchor.class").alias("a"), F.col("class").alias("b")).distinct()
         )
         if tested is not None:
             offered = offered.join(tested, ["a", "b"], "left_anti")
-        # of the anchors a class meets, the one it shares most signatures with
-        offers = written(offered.groupBy("b").agg(F.max_by("a", F.struct("common", "a")).alias("a")).select("a", "b"), "offers")
-        found = _verified(shingle_sets, narrowed(written(bounded(offers), "near")))
+        # of the anchors a class meets and may be similar to, the one whose sketch differs least
+        offers = written(bounded(offered).groupBy("b").agg(F.min_by("a", F.struct("bits", "a")).alias("a")).select("a", "b"), "offers")
+        found = _verified(shingle_sets, narrowed(offers))
         tested = offers if tested is None else tested.unionByName(offers)
         won = found.count()
         tidy(documents.sparkSession)
@@ -363,24 +382,34 @@ def similar_documents(documents: DataFrame, doc_id: str = "doc_id", text: str =
         )
         placed = written(relabelled.join(mixed, "signature", "left_semi"), "placed")
         left = mixed.agg(F.sum("n").alias("members"), F.sum((F.col("n") * F.col("n") - F.col("square")) / 2).alias("pairs")).first()
-        # the pairs left are few for each member, or anchors join little more
-        if not left["members"] or left["pairs"] <= 4 * left["members"] or won * 50 <= offers.count():
+        # the pairs left are few for each member, or few classes meet an anchor that may be similar, or anchors join little more
+        met = offers.count()
+        if not left["members"] or left["pairs"] <= 4 * left["members"] or met * 2000 <= left["members"] or won * 50 <= met or turn == ROUNDS:
             break
     # what no anchor has joined: pairs across components within a bucket
     open_rows = written(placed.join(facts, "class"), "open-members")
-    x, y = open_rows.alias("x"), open_rows.alias("y")
-    crossing = (
-        x.join(
-            y,
-            (F.col("x.signature") == F.col("y.signature"))
-            & (F.col("x.class") < F.col("y.class"))
-            & (F.col("x.component") != F.col("y.component"))
-            & _close(F.col("x.n"), F.col("x.sketch"), F.col("y.n"), F.col("y.sketch")),
+
+    def crossing(x: DataFrame, y: DataFrame, also: Column) -> DataFrame:
+        """Pairs of classes of different components that the sketches leave."""
+        return (
+            x.alias("x").join(
+                y.alias("y"),
+                (F.col("x.signature") == F.col("y.signature"))
+                & (F.col("x.class") < F.col("y.class"))
+                & (F.col("x.component") != F.col("y.component"))
+                & _close(F.col("x.n"), F.col("x.sketch"), F.col("y.n"), F.col("y.sketch"))
+                & also,
+            )
+            .select(F.col("x.class").alias("a"), F.col("y.class").alias("b"))
+            .distinct()
         )
-        .select(F.col("x.class").alias("a"), F.col("y.class").alias("b"))
-        .distinct()
+
+    plain, wide = open_rows.drop("folded"), open_rows.where(F.col("n") >= WIDE_FROM)
+    # the small sketches of two large sets tell little
+    pairs = crossing(plain, plain, (F.col("x.n") < WIDE_FROM) | (F.col("y.n") < WIDE_FROM)).unionByName(
+        crossing(wide, wide, _wide_close(F.col("x.n"), F.col("x.folded"), F.col("y.n"), F.col("y.folded")))
     )
-    pairs = crossing.join(tested, ["a", "b"], "left_anti").join(tested.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti")
+    pairs = pairs.join(tested, ["a", "b"], "left_anti").join(tested.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti")
     found = _verified(shingle_sets, written(narrowed(written(pairs, "near")), "crossing"))
     if not found.isEmpty():
         links = found if links is None else links.unionByName(found)
