@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from threadloom.llm import decontaminate, lines, packing, similar, toxicity
 from threadloom.llm.base import table, tidy, written
+from threadloom.session import bound_batches
 
 
 def _without(docs: DataFrame, row_hashes: DataFrame, how: str = "left_anti") -> DataFrame:
@@ -79,12 +80,22 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def _bounded(stage):
+    """The stage with bounded Arrow batches, also where a caller runs it by itself."""
+
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        bound_batches(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
 STAGES = [
-    ("toxicity", drop_toxic),
-    ("line_dedup", drop_repeated_lines),
-    ("near_duplicates", drop_near_duplicates),
-    ("decontamination", drop_contaminated),
-    ("packing", pack),
+    ("toxicity", _bounded(drop_toxic)),
+    ("line_dedup", _bounded(drop_repeated_lines)),
+    ("near_duplicates", _bounded(drop_near_duplicates)),
+    ("decontamination", _bounded(drop_contaminated)),
+    ("packing", _bounded(pack)),
 ]
 
 #: a trained classifier and a packing plan are not expressible in SQL

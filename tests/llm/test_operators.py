@@ -455,3 +455,18 @@ def test_folded_sketches_tell_large_sets_apart(spark):
         told = x.crossJoin(y).select("y.k", similar._wide_close(F.col("x.n"), F.col("x.folded"), F.col("y.n"), F.col("y.folded")).alias("near"), F.size("y.folded").alias("words"))
         found = {r.k: (r.near, r.words) for r in told.collect()}
         assert found[1][0] and not found[2][0] and found[1][1] <= similar.FOLDED_WORDS
+
+
+def test_stages_bound_their_batches(spark):
+    """Also where a caller runs a stage by itself in a session of its own settings."""
+    from threadloom.session import BATCH_BYTES
+
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    given = spark.conf.get(key)
+    try:
+        spark.conf.set(key, str(1 << 30))
+        docs = spark.createDataFrame([(1, "some words")], "doc_id bigint, text string")
+        dict(corpus_pipeline.STAGES)["packing"](spark, docs, "")
+        assert int(spark.conf.get(key)) == BATCH_BYTES
+    finally:
+        spark.conf.set(key, given)

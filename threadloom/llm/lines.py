@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from threadloom.llm import words as W
-from threadloom.llm.base import query, table, written
+from threadloom.llm.base import query, table, tidy, written
 
 MIN_WORDS = 50
 
@@ -141,7 +141,9 @@ def later_copies(lines: DataFrame) -> DataFrame:
             .where("members > 1")
         )
         found = keyed.join(interval, ["size", "head", "tail"]).where(F.struct("doc", "first") > F.col("origin"))
-        later = later.unionByName(found.select("row_key", "first", "last"))
+        # written round by round: the plans stay small, and their shuffle files can go
+        later = later.unionByName(written(found.select("row_key", "first", "last"), f"later-{depth}"))
+        tidy(lines.sparkSession)
         depth += 1
         if deepest < 1 << depth:
             break
