@@ -94,6 +94,20 @@ def test_components_of_a_chain_and_a_star(spark):
     assert got == {**{i: 0 for i in range(31)}, **{j: 100 for j in range(100, 120)}}
 
 
+def test_few_links_make_few_files(spark, tmp_path, monkeypatch):
+    paths = []
+    monkeypatch.setattr("threadloom.llm.base.scratch_path", lambda _, name: paths.append(tmp_path / f"{len(paths)}-{name}") or str(paths[-1]))
+    links = spark.createDataFrame([(i, i + 1) for i in range(40)], "a bigint, b bigint").repartition(16)
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        labels = components(links)
+        assert {r["component"] for r in labels.collect()} == {0} and labels.rdd.getNumPartitions() == 1
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    assert len(paths) > 2 and all(len(list(path.glob("part-*"))) <= 1 for path in paths)
+
+
 def _line_runs(rows, min_words=50):
     order = sorted(range(len(rows)), key=lambda k: (rows[k][0] is None, rows[k][0] or 0))
     split = {k: (rows[k][1].split("\n") if rows[k][1] is not None else []) for k in order}
