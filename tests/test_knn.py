@@ -238,3 +238,30 @@ def test_frequent_terms_as_columns_give_the_same_sums():
     assert 0 < inverted.columns.shape[1] < len(inverted.terms)
     scores = np.concatenate([s for _, s, _ in inverted.score(*lists(maps[30:]))], axis=1)
     assert np.allclose(scores, [[dot(a, b) or 0.0 for b in maps[30:]] for a in maps[:30]])
+
+
+@pytest.mark.parametrize("kind", ["dense", "sparse", "among"])
+def test_points_are_not_copied_for_every_query_block(monkeypatch, data, points, kind):
+    """Query blocks read the one stream of points; a plan shuffles the rows of the queries and nothing else."""
+    for name, value in {"BLOCK_QUERIES": 10, "LEAST_ENTRIES": 40}.items():
+        monkeypatch.setattr(blocks, name, value)
+    monkeypatch.setattr(postings, "MANY_ENTRIES", 0)
+    queries = points.withColumnRenamed("id", "qid")
+    pairs = {q: list(range(q % 7, 90, 3)) for q in range(90)}
+    if kind == "dense":
+        found = knn.dense_topk(queries, points, K, max_shipped=0)
+    elif kind == "sparse":
+        found = postings.sparse_topk(queries, points, K)
+    else:
+        candidates = points.sparkSession.createDataFrame([(q, i) for q in pairs for i in pairs[q]], "qid long, id long")
+        found = knn.topk_among(candidates, queries, points, K, "dense", "dense", max_shipped=0)
+    assert result(found) == expected(data, "sparse" if kind == "sparse" else "dense", K, pairs if kind == "among" else None)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("CartesianProduct") == 1 and plan.count("Exchange") == 1
+
+
+def test_repeated_queries_have_their_candidates_each(spark, points):
+    queries = points.where("id < 3").withColumnRenamed("id", "qid")
+    candidates = spark.createDataFrame([(0, 5), (2, 9), (0, 5), (77, 5)], "qid long, id long")
+    found = knn.topk_among(candidates, queries.unionByName(queries.where("qid = 0")), points, K, "dense", "dense", max_shipped=0)
+    assert sorted((r.qid, r.id) for r in found.collect()) == [(0, 5), (0, 5), (2, 9)]
