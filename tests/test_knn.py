@@ -266,3 +266,11 @@ def test_repeated_queries_have_their_candidates_each(spark, points):
     candidates = spark.createDataFrame([(0, 5), (2, 9), (0, 5), (77, 5)], "qid long, id long")
     found = knn.topk_among(candidates, queries.unionByName(queries.where("qid = 0")), points, K, "dense", "dense", max_shipped=0)
     assert sorted((r.qid, r.id) for r in found.collect()) == [(0, 5), (0, 5), (2, 9)]
+
+
+def test_search_of_many_postings_moves_no_query_terms(monkeypatch, tmp_path, data, points):
+    """Counts of the terms decide; the terms of every query are not written with their statistics for it."""
+    monkeypatch.setattr(postings, "MANY_POSTINGS", 0)
+    monkeypatch.setattr(postings, "known_terms", None)
+    index = postings.build_index(points, str(tmp_path))
+    assert result(postings.search(points.withColumnRenamed("id", "qid"), index, K)) == expected(data, "sparse", K)
