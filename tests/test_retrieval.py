@@ -142,3 +142,25 @@ def test_bounded_rerank_tells_failing_pairs(spark):
 
     got = rr.bounded_rerank(ranked, scorer, F.lit(1.0), 2, attempts=1, pause=0.0).collect()
     assert [(r.id, r.pair_score, r["rank"]) for r in sorted(got, key=lambda r: r["rank"])] == [(5, 0.5, 1), (4, 0.4, 2), (2, None, 3)]
+
+
+def test_bounded_rerank_streams_its_groups(spark):
+    """Questions that go on over several batches are one group; the scorer is made once a task, not once a question."""
+    made = spark.sparkContext.accumulator(0)
+
+    def make():
+        made.add(1)
+        return lambda pairs: [len(b) % 5 / 5 for _, b in pairs]
+
+    rows = [(q, i, i + 1, "q", "x" * ((q * i) % 7)) for q in range(40) for i in range(9)]
+    ranked = spark.createDataFrame(rows, "qid long, id long, rank long, q_question string, question string")
+    former = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
+    try:
+        got = rr.bounded_rerank(ranked, make, F.lit(1.0), 3).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", former)
+    assert 0 < made.value <= 8
+    for q in range(40):
+        want = sorted((-(len(r[4]) % 5 / 5), r[2], r[1]) for r in rows if r[0] == q)[:3]
+        assert sorted((r["rank"], r.id, r.scored) for r in got if r.qid == q) == [(n + 1, w[2], 9) for n, w in enumerate(want)]

@@ -4,15 +4,17 @@ A pair scorer is the costly step of a search. Where a cheap upper bound of the
 score is known, candidates are scored in the order of their bounds, and a
 question stops once its n-th best score is out of reach of every bound left. The
 places are those of scoring everything. A question's candidates are one group of
-bounded length (the limit of the search that found them).
+bounded length (the limit of the search that found them); a task gets its groups
+in order and holds one of them besides an Arrow batch.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql import types as T
 
@@ -69,32 +71,59 @@ def bounded_rerank(
     Pairs that the model fails on are returned behind the others, with a NULL
     score, so that a caller can tell them.
     """
-    rows = ranked.withColumn("_bound", bound)
     kept = [f for f in ranked.schema.fields if f.name != "rank"]
     schema = T.StructType(
         [*kept, T.StructField("pair_score", T.DoubleType()), T.StructField("rank", T.LongType()), T.StructField("scored", T.LongType())]
     )
+    names = [f.name for f in kept]
+    order = [F.col("qid"), F.desc_nulls_last("_bound"), F.col("rank")]
+    rows = ranked.withColumn("_bound", bound).repartition("qid").sortWithinPartitions(*order)
 
-    def best(group: pd.DataFrame) -> pd.DataFrame:
-        call = models.isolated(make_scorer(), attempts, pause)
-        group = group.sort_values(["_bound", "rank"], ascending=[False, True], kind="stable")
+    def place(group: pa.Table, call) -> tuple[list[int], list, int]:
+        """Rows of the best and of the failed pairs, their scores, and the number of pairs seen."""
         # a hair above the bound: scores are rounded
-        bounds = group["_bound"].to_numpy(dtype=float) + 10.0**-ROUND_DIGITS
-        scores = np.full(len(group), np.nan)
-        at = 0
-        while at < len(group):
-            known = np.sort(scores[:at][~np.isnan(scores[:at])])[::-1]
-            if len(known) >= n and known[n - 1] > bounds[at]:
+        bounds = [np.nan if x is None else x + 10.0**-ROUND_DIGITS for x in group.column("_bound").to_pylist()]
+        scores, known = [], []
+        while len(scores) < len(bounds):
+            if len(known) >= n and known[n - 1] > bounds[len(scores)]:
                 break
-            stop = min(at + batch_size, len(group))
-            pairs = [list(p) for p in zip(group[question].iloc[at:stop], group[text].iloc[at:stop])]
-            found, _ = call(pairs)
-            scores[at:stop] = [np.nan if x is None else x for x in found]
-            at = stop
-        seen = group.iloc[:at].assign(pair_score=_rounded(scores[:at]), scored=at)
-        good = seen[seen["pair_score"].notna()].sort_values(["pair_score", "rank"], ascending=[False, True]).head(n)
-        failed = seen[seen["pair_score"].isna()].sort_values("rank")
-        placed = pd.concat([good, failed])
-        return placed.assign(rank=np.arange(1, len(placed) + 1))[[f.name for f in schema.fields]]
-
-    return rows.groupBy("qid").applyInPandas(best, schema)
+            part = group.slice(len(scores), batch_size)
+            found, _ = call([list(p) for p in zip(part.column(question).to_pylist(), part.column(text).to_pylist())])
+            scores += [None if x is None or x != x else x for x in found]
+            known = sorted((x for x in scores if x is not None), reverse=True)
+        former = group.column("rank").to_pylist()
+        rounded = [None if x is None else float(_rounded(np.float64(x))) for x in scores]
+        good = sorted((i for i, x in enumerate(rounded) if x is not None), key=lambda i: (-rounded[i], former[i]))[:n]
+        failed = sorted((i for i, x in enumerate(rounded) if x is None), key=lambda i: former[i])
+        return good + failed, [rounded[i] for i in good + failed], len(scores)
+
+    def answers(table: pa.Table, starts: np.ndarray, call) -> pa.RecordBatch:
+        """Placed rows of the groups between the starts."""
+        at, scores, ranks, seen = [], [], [], []
+        for start, stop in zip(starts[:-1].tolist(), starts[1:].tolist()):
+            picked, values, scored = place(table.slice(start, stop - start), call)
+            at += [start + i for i in picked]
+            scores += values
+            ranks += range(1, len(picked) + 1)
+            seen += [scored] * len(picked)
+        columns = [table.column(name).take(pa.array(at, pa.int64())).combine_chunks() for name in names]
+        columns += [pa.array(scores, pa.float64()), pa.array(ranks, pa.int64()), pa.array(seen, pa.int64())]
+        return pa.RecordBatch.from_arrays(columns, names=schema.fieldNames())
+
+    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        call, left = models.isolated(make_scorer(), attempts, pause), []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            table = pa.Table.from_batches([*left, batch]).combine_chunks()
+            qid = table.column("qid").combine_chunks()
+            starts = np.r_[0, 1 + np.flatnonzero(pc.not_equal(qid[1:], qid[:-1]).to_numpy(zero_copy_only=False))]
+            # the last group may go on in the next batch
+            left = table.slice(starts[-1]).to_batches()
+            if len(starts) > 1:
+                yield answers(table, starts, call)
+        if left:
+            table = pa.Table.from_batches(left)
+            yield answers(table, np.array([0, table.num_rows]), call)
+
+    return rows.mapInArrow(best, schema)
