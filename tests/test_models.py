@@ -185,3 +185,24 @@ def test_words_are_counted_by_key_in_bounded_tasks(spark, monkeypatch):
     characters = sum(len(t or "") for _, t in rows)
     assert plan.count("Exchange") == 1 and f", {-(-characters // 50)})" in plan
     assert {(r.id, r.term): r.weight for r in counted.collect()} == want
+
+
+def test_rows_that_ask_are_told_by_bits(spark, tmp_path, monkeypatch):
+    """A bit for each row says which one asks; no list of rows is joined to their texts."""
+    written = {}
+    plain = AnswerLedger._written
+    monkeypatch.setattr(AnswerLedger, "_written", lambda self, rows, name: written.setdefault(name, plain(self, rows, name)))
+    asked = spark.sparkContext.accumulator(0)
+
+    def make():
+        def run(prompts):
+            asked.add(len(prompts))
+            return [p + "!" for p in prompts]
+
+        return run
+
+    rows = spark.range(0, 70_000, 1, 2).select("id", F.concat(F.lit("p"), F.col("id") % 50_000).alias("prompt"), F.lit("m").alias("model"))
+    got = AnswerLedger(spark, str(tmp_path / "ledger")).answers(rows, "prompt", {"m": make})
+    assert got.count() == 70_000 and got.where("answer = concat(prompt, '!') and prompt = concat('p', id % 50000)").count() == 70_000
+    assert asked.value == 50_000
+    assert "rest" not in written and written["first"].columns == ["_bucket", "_bits"] and written["first"].count() <= 5
